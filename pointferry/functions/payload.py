@@ -66,17 +66,21 @@ def keep_payload(payload: Column, names: list[str] | None) -> Column:
     return payload if not names else fields_to_payload(keep_fields(payload.cast(FIELDS_TYPE), names))
 
 
+_FINITE_TEXT = (
+    r"(?i)\A[+-]?(?:(?:\d++\.?\d*+|\.\d++)(?:e[+-]?\d++)?|0x(?:[0-9a-f]++\.?[0-9a-f]*+|\.[0-9a-f]++)p[+-]?\d++)\z"
+)
+_NON_FINITE_TEXT = r"(?i)\A(?:[+-]?inf(?:inity)?|nan)\z"
+
+
 def parse_numeric_or_text(text: Column) -> Column:
     """A double where the text is a number, else the text itself.
 
-    Hexadecimal floats and digit separators are not numbers here; a trailing type letter, which
-    a Spark cast would accept, is not one either.
+    The pattern is stricter than a cast, which would trim blanks and take a type letter (``1d``).
+    A number too large for a double is not parsed and stays text.
     """
-    number = F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
-    return F.when(number.isNotNull(), number.cast("variant")).otherwise(text.cast("variant"))
-
-
-NUMBER_TEXT = r"(?i)\A[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)\z"
+    number = text.try_cast("double")
+    finite = text.rlike(_FINITE_TEXT) & (F.abs(number) < F.lit(float("inf")))
+    return F.when(finite | text.rlike(_NON_FINITE_TEXT), number.cast("variant")).otherwise(text.cast("variant"))
 
 
 def rfc3339(value: Column) -> Column:

@@ -125,17 +125,38 @@ _FULL_ARRAY = rf"^ARRAY<(?:{_NUMBER_KINDS})>$"
 _ANY_ARRAY = rf"^ARRAY<(?:{_NUMBER_KINDS}|VOID)>$"
 
 
+def candidate_vector(value: Column, empty_is_vector: bool) -> Column:
+    """The floats of a JSON list of numbers, possibly with NULL elements; else NULL."""
+    kind = F.schema_of_variant(value)
+    return F.when(
+        kind.rlike(_ANY_ARRAY if empty_is_vector else _FULL_ARRAY), value.try_cast("array<float>")
+    )
+
+
+def is_whole(floats: Column) -> Column:
+    """Whether a candidate is there and has no NULL element."""
+    return floats.isNotNull() & ~F.coalesce(F.exists(floats, lambda x: x.isNull()), F.lit(False))
+
+
 def variant_vector(value: Column, empty_is_vector: bool) -> Column:
     """The floats of a JSON list whose elements are all numbers, else NULL.
 
     The kind test alone would let a list with a JSON null through, and a cast alone would turn
     ``["1"]`` or ``[true]`` into floats; both are needed.
     """
-    kind = F.schema_of_variant(value)
-    floats = F.when(
-        kind.rlike(_ANY_ARRAY if empty_is_vector else _FULL_ARRAY), value.try_cast("array<float>")
-    )
-    return F.when(~F.exists(floats, lambda x: x.isNull()), floats)
+    floats = candidate_vector(value, empty_is_vector)
+    return F.when(is_whole(floats), floats)
+
+
+def candidate_vectors(fields: Column, empty_is_vector: bool, only: list[str] | None = None) -> Column:
+    """Every field's candidate floats. ``only`` limits the test to fields a mapping declares."""
+    tested = fields if only is None else F.map_filter(fields, lambda k, _: k.isin(list(only)))
+    return F.transform_values(tested, lambda _, v: candidate_vector(v, empty_is_vector))
+
+
+def whole_vectors(candidates: Column) -> Column:
+    """The candidates that are vectors, as a named-vector map."""
+    return F.transform_values(F.map_filter(candidates, lambda _, v: is_whole(v)), lambda _, v: dense(v))
 
 
 def as_vector_nonempty(value: Column) -> Column:
@@ -148,8 +169,8 @@ def as_vector_or_empty(value: Column) -> Column:
     return variant_vector(value, empty_is_vector=True)
 
 
-_DOUBLE = r"-?\d++\.\d++(?:[eE][+-]?\d++)?"
-_DOUBLE_LIST = rf"\A\[(?:{_DOUBLE}(?:,{_DOUBLE})*+)?\]\z"
+_DOUBLE = r"\s*+-?\d++(?:\.\d++(?:[eE][+-]?\d++)?|[eE][+-]?\d++)\s*+"
+_DOUBLE_LIST = rf"\A\[(?:{_DOUBLE}(?:,{_DOUBLE})*+|\s*+)\]\z"
 
 
 def as_vector_doubles(list_text: Column) -> Column:

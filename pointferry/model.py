@@ -110,7 +110,7 @@ def flat_view(
     out = [id_text(F.col("id")).alias("point_id"), shard_text(F.col("shard_key")).alias("shard")]
     for name, prefix in (vectors or {}).items():
         data = F.try_element_at(F.col("vectors"), F.lit(name))["data"]
-        out.append(F.coalesce(F.size(data), F.lit(-1)).alias(f"{prefix}_dim"))
+        out.append(F.coalesce(F.size(data), F.lit(-1)).cast("bigint").alias(f"{prefix}_dim"))
         out.append(F.coalesce(vector_checksum(data), F.lit(0)).alias(f"{prefix}_sum"))
     for name, type_name in (payload or {}).items():
         out.append(payload_value(F.col("payload"), name, type_name).alias(name))
