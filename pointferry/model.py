@@ -100,12 +100,13 @@ def flat_view(
     vectors: dict[str, str] | None = None,
     payload: dict[str, str] | None = None,
     kinds: list[str] | None = None,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Scalar columns of a point table, for comparison and reports.
 
     ``vectors`` maps a vector name to an output prefix (``<prefix>_dim``, ``<prefix>_sum``),
     ``payload`` maps a field to the type it is read with, ``kinds`` lists the fields whose kind is
-    reported as ``<field>_kind``.
+    reported as ``<field>_kind``; ``extra`` adds columns of one's own.
     """
     out = [id_text(F.col("id")).alias("point_id"), shard_text(F.col("shard_key")).alias("shard")]
     for name, prefix in (vectors or {}).items():
@@ -116,4 +117,6 @@ def flat_view(
         out.append(payload_value(F.col("payload"), name, type_name).alias(name))
     for name in kinds or []:
         out.append(payload_kind(F.col("payload"), name).alias(f"{name}_kind"))
+    for name, column in (extra or {}).items():
+        out.append(column.alias(name))
     return points.select(*out)

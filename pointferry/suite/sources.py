@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pointferry import sources as src
-from pointferry.model import flat_view, vector_checksum
+from pointferry.model import flat_view, payload_value, vector_checksum
 from pointferry.suite import sql, staging
 
 
 def s01_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = src.normalize_collection(staging.collection_raw(spark, sf_dir))
-    flat = flat_view(
-        points.withColumn("payload_text", F.try_variant_get("payload", "$.text", "string")),
+    terms = F.try_element_at(F.col("vectors"), F.lit("terms"))
+    index_sum = F.aggregate(terms["indices"], F.lit(0).cast("bigint"), lambda a, x: a + x)
+    count = F.try_element_at(F.col("vectors"), F.lit("multi"))["vectors_count"]
+    return flat_view(
+        points,
         vectors={"": "plain", "text": "text", "multi": "multi"},
         payload={"lang": "string", "source": "string", "n_chars": "bigint"},
+        extra={
+            "terms_index_sum": F.coalesce(index_sum, F.lit(0)),
+            "multi_count": F.coalesce(count, F.lit(0)).cast("bigint"),
+            "text_length": F.length(payload_value(F.col("payload"), "text")).cast("bigint"),
+        },
     )
-    terms = F.try_element_at(F.col("vectors"), F.lit("terms"))
-    sizes = points.select(
-        F.coalesce(F.col("id.uuid"), F.col("id.num").cast("string")).alias("point_id"),
-        F.coalesce(F.aggregate(terms["indices"], F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)).alias("terms_index_sum"),
-        F.coalesce(F.try_element_at(F.col("vectors"), F.lit("multi"))["vectors_count"], F.lit(0)).cast("bigint").alias("multi_count"),
-        F.length(F.try_variant_get("payload", "$.text", "string")).cast("bigint").alias("text_length"),
-    )
-    return flat.join(sizes, "point_id")
 
 
 S01_SQL = f"""
@@ -49,18 +49,16 @@ def s02_milvus(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = src.normalize_milvus(
         staging.milvus_raw(spark, sf_dir), pk="o_orderkey", json_columns=["meta"], partitions=["F", "O"]
     )
-    flat = flat_view(
-        points.withColumn("payload", F.col("payload")),
+    return flat_view(
+        points,
         vectors={"vec": "vec"},
         payload={"price": "double", "small": "bigint", "priority": "string", "large": "boolean"},
         kinds=["small", "meta"],
+        extra={
+            "meta_cust": F.try_variant_get("payload", "$.meta.cust", "double"),
+            "meta_cust_kind": F.lower(F.schema_of_variant(F.variant_get("payload", "$.meta.cust", "variant"))),
+        },
     )
-    meta = points.select(
-        F.col("id.num").cast("string").alias("point_id"),
-        F.try_variant_get("payload", "$.meta.cust", "double").alias("meta_cust"),
-        F.lower(F.schema_of_variant(F.variant_get("payload", "$.meta.cust", "variant"))).alias("meta_cust_kind"),
-    )
-    return flat.join(meta, "point_id")
 
 
 S02_SQL = f"""
@@ -75,18 +73,14 @@ FROM t WHERE o_orderstatus IN ('F', 'O')
 def s03_pinecone(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = src.normalize_pinecone(staging.pinecone_raw(spark, sf_dir))
     sparse = F.try_element_at(F.col("vectors"), F.lit("sparse_vector"))
-    total = F.aggregate(sparse["indices"], F.lit(0).cast("bigint"), lambda a, x: a + x)
-    extra = points.select(
-        F.col("id.uuid").alias("point_id"),
-        F.coalesce(total, F.lit(-1)).alias("position_sum"),
-    )
-    flat = flat_view(
+    position_sum = F.aggregate(sparse["indices"], F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return flat_view(
         points,
         vectors={"": "dense", "sparse_vector": "sparse"},
         payload={"__id__": "string", "segment": "string", "bal": "double", "nation": "double"},
         kinds=["nation"],
+        extra={"position_sum": F.coalesce(position_sum, F.lit(-1))},
     )
-    return flat.join(extra, "point_id")
 
 
 S03_SQL = f"""
@@ -302,18 +296,18 @@ FROM embeddings
 
 def s11_s3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = src.normalize_s3_vectors(staging.s3_raw(spark, sf_dir))
-    flat = flat_view(
+
+    def element_kind(position: int) -> Column:
+        element = F.try_variant_get("payload", f"$.nest.n[{position}]", "variant")
+        return F.coalesce(F.lower(F.schema_of_variant(element)), F.lit("missing"))
+
+    return flat_view(
         points,
         vectors={"": "plain"},
         payload={"__id__": "string", "size": "bigint", "price": "double", "whole": "double", "big": "double", "brand": "string"},
         kinds=["size", "price", "whole", "big"],
+        extra={"n0_kind": element_kind(0), "n1_kind": element_kind(1)},
     )
-    nested = points.select(
-        F.col("id.uuid").alias("point_id"),
-        F.coalesce(F.lower(F.schema_of_variant(F.try_variant_get("payload", "$.nest.n[0]", "variant"))), F.lit("missing")).alias("n0_kind"),
-        F.coalesce(F.lower(F.schema_of_variant(F.try_variant_get("payload", "$.nest.n[1]", "variant"))), F.lit("missing")).alias("n1_kind"),
-    )
-    return flat.join(nested, "point_id")
 
 
 S11_SQL = f"""
