@@ -82,7 +82,7 @@ def resume_ranges(ranges: DataFrame, records: DataFrame, source: str, workers: i
     """
     key_type = ranges.schema["end_key"].dataType
     named = ranges.withColumn("name", range_offset_name(F.lit(source), F.lit(workers), F.col("range_id")))
-    stored = start_offsets(records).select("name", F.col("offset").cast(key_type).alias("_offset"), "offset_count")
+    stored = start_offsets(records).select("name", F.col("offset").try_cast(key_type).alias("_offset"), "offset_count")
     joined = named.join(stored, "name", "left")
     done = F.col("_offset").isNotNull() & F.col("end_key").isNotNull() & (F.col("_offset") >= F.col("end_key"))
     return joined.select(

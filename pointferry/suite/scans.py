@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointferry.functions.payload import fields_to_payload, json_fields, keep_payload
@@ -59,14 +61,30 @@ def p06_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("o_orderkey", "o_orderstatus")
 
 
+def _range_bounds(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """Start and end of every worker range over the orders."""
+    sample = ranges.boundary_sample(_orders(spark, sf_dir), "o_orderkey", WORKERS)
+    ends = ranges.boundaries_of(ranges.ranges_per_worker(sample, "o_orderkey", WORKERS))
+    return list(zip([None] + ends, ends + [None]))
+
+
+def _scan_all_ranges(spark: SparkSession, sf_dir: str, scan_one) -> DataFrame:
+    lines = staging.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    parts = [
+        scan_one(lines, "l_orderkey", start, end).withColumn("range_id", F.lit(i))
+        for i, (start, end) in enumerate(_range_bounds(spark, sf_dir))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p07_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = staging.table(spark, sf_dir, "lineitem")
-    return scan.range_scan(lines, "l_orderkey", 200, 1200).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    """The whole table, range by range: every row comes out once."""
+    return _scan_all_ranges(spark, sf_dir, scan.range_scan)
 
 
 def p08_closed_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = staging.table(spark, sf_dir, "lineitem")
-    return scan.closed_range_scan(lines, "l_orderkey", 200, 1200).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    """The whole table by ranges closed on both sides: rows on a boundary come out twice."""
+    return _scan_all_ranges(spark, sf_dir, scan.closed_range_scan)
 
 
 def p09_boundary_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,16 +107,26 @@ def p10a_ranges_per_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_ranges(ranges.ranges_per_worker(sample, "o_orderkey", WORKERS))
 
 
-P10A_SQL = f"""
-WITH s AS ({SAMPLE_SQL}),
+_WORKER_RANGES = f"""
+s AS ({SAMPLE_SQL}),
 k AS (SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM s),
 w AS (SELECT CASE WHEN max(n) < {WORKERS} THEN max(n) + 1 ELSE {WORKERS} END AS ranges, max(n) AS n FROM k),
 b AS (SELECT i.i AS i, (SELECT key FROM k WHERE pos = (i.i * w.n) // w.ranges) AS key
       FROM w, unnest(generate_series(1, w.ranges - 1)) AS i(i)),
-e AS (SELECT i - 1 AS range_id, key AS end_key FROM b UNION ALL SELECT ranges - 1, NULL FROM w)
-SELECT range_id::INTEGER AS range_id, coalesce(lag(end_key) OVER (ORDER BY range_id)::VARCHAR, '-') AS start_key,
-       coalesce(end_key::VARCHAR, '-') AS end_key
-FROM e
+e AS (SELECT i - 1 AS range_id, key AS end_key FROM b UNION ALL SELECT ranges - 1, NULL FROM w),
+r AS (SELECT range_id::INTEGER AS range_id, lag(end_key) OVER (ORDER BY range_id) AS start_key, end_key FROM e)
+"""
+P10A_SQL = f"""
+WITH {_WORKER_RANGES}
+SELECT range_id, coalesce(start_key::VARCHAR, '-') AS start_key, coalesce(end_key::VARCHAR, '-') AS end_key FROM r
+"""
+
+
+def _range_scan_sql(low: str) -> str:
+    return f"""
+WITH {_WORKER_RANGES}
+SELECT l_orderkey, l_linenumber, range_id FROM lineitem
+JOIN r ON (start_key IS NULL OR l_orderkey {low} start_key) AND (end_key IS NULL OR l_orderkey <= end_key)
 """
 
 
@@ -224,14 +252,8 @@ ENTRIES = {
         p06_prune,
         "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority = '1-URGENT'",
     ),
-    "p07_range_scan": (
-        p07_range_scan,
-        "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey > 200 AND l_orderkey <= 1200",
-    ),
-    "p08_closed_range_scan": (
-        p08_closed_range_scan,
-        "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey BETWEEN 200 AND 1200",
-    ),
+    "p07_range_scan": (p07_range_scan, _range_scan_sql(">")),
+    "p08_closed_range_scan": (p08_closed_range_scan, _range_scan_sql(">=")),
     "p09_boundary_sample": (p09_boundary_sample, SAMPLE_SQL),
     "p10a_ranges_per_worker": (p10a_ranges_per_worker, P10A_SQL),
     "p10b_ranges_per_key": (p10b_ranges_per_key, P10B_SQL),
