@@ -40,9 +40,7 @@ def to_point_uuid(text: Column) -> Column:
     Both candidates sit in an array instead of two CASE branches: code generation shares a common
     subexpression only where it is always evaluated, and so hashes each text once, not five times.
     """
-    return F.when(
-        text.isNotNull(), F.get(F.array(uuid5_url(text), text), is_uuid(text).cast("int"))
-    )
+    return F.get(F.array(uuid5_url(text), text), is_uuid(text).cast("int"))
 
 
 def uuid_id(text: Column) -> Column:

@@ -48,15 +48,8 @@ def merge_named(base: Column, override: Column) -> Column:
 
 
 def clone_vectors(vectors: Column) -> Column:
-    """Copy data, positions and counts of every vector; absent stays absent."""
-    return F.transform_values(
-        vectors,
-        lambda _, v: F.struct(
-            v["data"].cast("array<float>").alias("data"),
-            v["indices"].cast("array<bigint>").alias("indices"),
-            v["vectors_count"].cast("int").alias("vectors_count"),
-        ),
-    ).cast(VECTORS_TYPE)
+    """Vectors in the point's own type: data, positions and counts as they are, absent stays absent."""
+    return vectors.cast(VECTORS_TYPE)
 
 
 # --- binary vectors -------------------------------------------------------------------------
@@ -128,9 +121,8 @@ _ANY_ARRAY = rf"^ARRAY<(?:{_NUMBER_KINDS}|VOID)>$"
 def candidate_vector(value: Column, empty_is_vector: bool) -> Column:
     """The floats of a JSON list of numbers, possibly with NULL elements; else NULL."""
     kind = F.schema_of_variant(value)
-    return F.when(
-        kind.rlike(_ANY_ARRAY if empty_is_vector else _FULL_ARRAY), value.try_cast("array<float>")
-    )
+    doubles = value.try_cast("array<double>")
+    return F.when(kind.rlike(_ANY_ARRAY if empty_is_vector else _FULL_ARRAY), doubles.cast("array<float>"))
 
 
 def is_whole(floats: Column) -> Column:
@@ -173,10 +165,15 @@ _DOUBLE = r"\s*+-?\d++(?:\.\d++(?:[eE][+-]?\d++)?|[eE][+-]?\d++)\s*+"
 _DOUBLE_LIST = rf"\A\[(?:{_DOUBLE}(?:,{_DOUBLE})*+|\s*+)\]\z"
 
 
-def as_vector_doubles(list_text: Column) -> Column:
-    """Document-store rule: every element is written as a double; the empty list is a vector.
+def is_double_list(list_text: Column) -> Column:
+    """Whether a JSON list's elements are all written as doubles; the empty list counts.
 
-    Works on the list's JSON text, because a VARIANT array reports one merged kind and so hides a
-    whole number among doubles.
+    Works on the text, because a VARIANT array reports one merged kind and so hides a whole number
+    among doubles.
     """
-    return F.when(list_text.rlike(_DOUBLE_LIST), F.from_json(list_text, "array<float>"))
+    return list_text.rlike(_DOUBLE_LIST)
+
+
+def as_vector_doubles(list_text: Column) -> Column:
+    """Document-store rule: a list of doubles or the empty list."""
+    return F.when(is_double_list(list_text), F.from_json(list_text, "array<double>").cast("array<float>"))

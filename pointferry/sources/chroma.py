@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, with_document, with_field
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, no_fields, with_document, with_field
 from pointferry.functions.vectors import dense, named
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
@@ -26,10 +25,10 @@ def normalize_chroma(
         "embedding",
         "document",
         "metadata",
-        json_fields(numbers_to_double(F.col("metadata"))).alias("_fields"),
+        json_fields(F.col("metadata")).alias("_fields"),
         *carried(raw, source_ord),
     )
-    with_id = with_field(F.coalesce(F.col("_fields"), no_fields()), id_field, F.col("id"))
+    with_id = with_field(F.coalesce(double_numbers(F.col("_fields")), no_fields()), id_field, F.col("id"))
     return to_points(
         staged.withColumn("_with_id", with_id),
         id_col=hashed_id(F.col("id")),

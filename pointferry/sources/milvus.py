@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pointferry.functions.ids import is_uuid, make_point_id
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, typed_fields
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, typed_fields
 from pointferry.functions.vectors import dense, named
 from pointferry.sources.base import to_points
 
@@ -32,8 +31,7 @@ def extract_scalar(value: Column, data_type: T.DataType) -> Column:
 
 def extract_json_object(text: Column) -> Column:
     """A JSON column, which must hold an object; its numbers are doubles."""
-    parsed = F.try_parse_json(numbers_to_double(text))
-    return F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)
+    return fields_to_payload(double_numbers(json_fields(text)))
 
 
 def normalize_milvus(
@@ -67,7 +65,7 @@ def normalize_milvus(
     else:
         checks.append((key < 0, "negative primary key"))
     if json_columns:
-        bad = [F.col(c).isNotNull() & extract_json_object(F.col(c)).isNull() for c in json_columns]
+        bad = [F.col(c).isNotNull() & json_fields(F.col(c)).isNull() for c in json_columns]
         checks.append((reduce(lambda a, b: a | b, bad), "JSON column is not an object"))
     return to_points(
         raw,

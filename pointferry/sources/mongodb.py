@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pointferry.functions.ids import hashed_id, objectid_text
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, json_fields, with_field
-from pointferry.functions.vectors import as_vector_doubles, dense, named
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, with_field
+from pointferry.functions.vectors import dense, is_double_list, named
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
 
 
@@ -25,20 +24,19 @@ def normalize_mongodb(
     # One parse hands out the listed fields as their JSON text, where whole numbers and doubles differ.
     text_schema = T.StructType([T.StructField(f, T.StringType()) for f in vector_fields])
     staged = raw.select(
-        json_fields(numbers_to_double(F.col("doc"))).alias("_fields"),
+        json_fields(F.col("doc")).alias("_fields"),
         F.from_json("doc", text_schema).alias("_text"),
         *carried(raw, source_ord),
     )
     doc_id = F.try_element_at(F.col("_fields"), F.lit("_id"))
     object_id = F.try_variant_get(doc_id, "$['$oid']", "string")
     id_text = F.when(F.schema_of_variant(doc_id) == "STRING", doc_id.try_cast("string")).otherwise(objectid_text(object_id))
-    vectors = [
-        F.when(
-            F.schema_of_variant(F.try_element_at(F.col("_fields"), F.lit(f))).startswith("ARRAY<"),
-            as_vector_doubles(F.col("_text")[f]),
-        ).alias(f"_vec_{i}")
-        for i, f in enumerate(vector_fields)
-    ]
+    def vector(field: str) -> Column:
+        # A text field that reads like a list is told apart by the cast, a list with a whole number by its text.
+        floats = F.try_element_at(F.col("_fields"), F.lit(field)).try_cast("array<double>").cast("array<float>")
+        return F.when(is_double_list(F.col("_text")[field]), floats)
+
+    vectors = [vector(f).alias(f"_vec_{i}") for i, f in enumerate(vector_fields)]
     has_id = (F.schema_of_variant(doc_id) == "STRING") | object_id.isNotNull()
     staged = staged.select(
         "_fields", F.when(has_id, id_text).alias("_id_text"), *vectors, *carried(raw, source_ord)
@@ -47,7 +45,7 @@ def normalize_mongodb(
     found = F.array(*[F.when(c.isNotNull(), F.lit(f)) for f, c in vector_columns.items()])
     rest = F.map_filter("_fields", lambda k, _: (k != "_id") & ~F.coalesce(F.array_contains(F.array_compact(found), k), F.lit(False)))
     return to_points(
-        staged.withColumn("_rest", rest),
+        staged.withColumn("_rest", double_numbers(rest)),
         id_col=hashed_id(F.col("_id_text")),
         vectors=named({f: F.when(c.isNotNull(), dense(c)) for f, c in vector_columns.items()}),
         payload=fields_to_payload(with_field(F.col("_rest"), id_field, F.col("_id_text"), wins=False)),

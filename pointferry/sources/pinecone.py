@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, with_field
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, no_fields, with_field
 from pointferry.functions.vectors import dense, named, sparse
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
@@ -30,7 +29,7 @@ def normalize_pinecone(
         "sparse_indices",
         "sparse_values",
         "metadata",
-        json_fields(numbers_to_double(F.col("metadata"))).alias("_fields"),
+        json_fields(F.col("metadata")).alias("_fields"),
         *carried(raw, source_ord),
     )
     has_sparse = F.col("sparse_indices").isNotNull() & F.col("sparse_values").isNotNull()
@@ -43,7 +42,7 @@ def normalize_pinecone(
                 sparse_vector: F.when(has_sparse, sparse(F.col("sparse_indices"), F.col("sparse_values"))),
             }
         ),
-        payload=fields_to_payload(with_field(F.coalesce(F.col("_fields"), no_fields()), id_field, F.col("id"))),
+        payload=fields_to_payload(with_field(F.coalesce(double_numbers(F.col("_fields")), no_fields()), id_field, F.col("id"))),
         source_ord=source_ord,
         checks=[
             (F.col("id").isNull(), "missing id"),

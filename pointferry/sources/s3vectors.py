@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
-from pointferry.functions.numbers import typed_numbers
-from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, with_field
+from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, typed_number_fields, with_field
 from pointferry.functions.vectors import dense, named
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
@@ -20,14 +19,14 @@ def normalize_s3_vectors(
         "key",
         "data",
         "metadata",
-        json_fields(typed_numbers(F.col("metadata"))).alias("_fields"),
+        json_fields(F.col("metadata")).alias("_fields"),
         *carried(raw, source_ord),
     )
     return to_points(
         staged,
         id_col=hashed_id(F.col("key")),
         vectors=named({DEFAULT_VECTOR: dense(F.col("data"))}),
-        payload=fields_to_payload(with_field(F.coalesce(F.col("_fields"), no_fields()), id_field, F.col("key"))),
+        payload=fields_to_payload(with_field(F.coalesce(typed_number_fields(F.col("_fields")), no_fields()), id_field, F.col("key"))),
         source_ord=source_ord,
         checks=[
             (F.col("key").isNull(), "missing key"),

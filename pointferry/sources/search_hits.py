@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, with_field
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, no_fields, with_field
 from pointferry.functions.vectors import candidate_vectors, merge_named, whole_vectors
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
 
@@ -34,8 +33,8 @@ def _normalize_hits(
     # Each step is its own projection because its result is used more than once in the next one.
     staged = raw.select(
         "_id",
-        json_fields(numbers_to_double(F.col("_source"))).alias("_body"),
-        (json_fields(numbers_to_double(F.col("fields"))) if use_fields else no_fields()).alias("_extra"),
+        json_fields(F.col("_source")).alias("_body"),
+        (json_fields(F.col("fields")) if use_fields else no_fields()).alias("_extra"),
         *carried(raw, source_ord),
     )
     staged = staged.withColumns({"_body_cand": candidates("_body"), "_extra_cand": candidates("_extra")})
@@ -46,7 +45,7 @@ def _normalize_hits(
     rest = F.map_filter("_body", lambda k, _: ~F.map_contains_key(body_vectors, k))
     vectors = merge_named(body_vectors, F.col("_extra_vec")) if use_fields else body_vectors
     return to_points(
-        staged.withColumn("_rest", rest),
+        staged.withColumn("_rest", double_numbers(rest)),
         id_col=hashed_id(F.col("_id")),
         vectors=vectors,
         payload=fields_to_payload(with_field(F.col("_rest"), id_field, F.col("_id"), wins=False)),

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import uuid_id
-from pointferry.functions.numbers import numbers_to_double
-from pointferry.functions.payload import fields_to_payload, json_fields, keep_fields
+from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, keep_fields
 from pointferry.functions.vectors import dense, named
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import carried, to_points
@@ -30,7 +29,7 @@ def normalize_weaviate(
     staged = raw.select(
         "id",
         vector.alias("_vector"),
-        json_fields(numbers_to_double(F.col("properties"))).alias("_fields"),
+        json_fields(F.col("properties")).alias("_fields"),
         *carried(raw, source_ord),
     )
     properties = F.map_filter(F.col("_fields"), lambda k, _: k != _SYSTEM_PROPERTY)
@@ -38,7 +37,7 @@ def normalize_weaviate(
         staged,
         id_col=uuid_id(F.col("id")),
         vectors=named({DEFAULT_VECTOR: dense(F.col("_vector"))}),
-        payload=fields_to_payload(keep_fields(properties, include_properties)),
+        payload=fields_to_payload(double_numbers(keep_fields(properties, include_properties))),
         source_ord=source_ord,
         checks=[
             (F.col("id").isNull(), "missing id field"),
