@@ -7,12 +7,10 @@ step turns the map into one VARIANT object.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F, types as T
 
 from pointferry.functions.ids import binary_uuid
-from pointferry.functions.numbers import numbers_to_double, typed_numbers
+from pointferry.functions.numbers import numbers_to_double
 
 FIELDS_TYPE = T.MapType(T.StringType(), T.VariantType())
 FIELDS_DDL = "map<string,variant>"
@@ -32,27 +30,22 @@ def json_fields(json_text: Column) -> Column:
     return variant_fields(F.try_parse_json(json_text))
 
 
-def _rewritten(value: Column, rewrite: Callable[[Column], Column], scalar_kinds: str) -> Column:
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(kind.rlike("^(?:OBJECT|ARRAY)<"), F.parse_json(rewrite(F.to_json(value))))
-        .when(kind.rlike(scalar_kinds), value.cast("double").cast("variant"))
-        .otherwise(value)
-    )
-
-
 def double_numbers(fields: Column) -> Column:
     """Every number in the fields becomes a double, at any depth.
 
     A single number is cast; only nested values go through their text, so long texts and vectors,
     which are most of a record, are not scanned again.
     """
-    return F.transform_values(fields, lambda _, v: _rewritten(v, numbers_to_double, "^(?:BIGINT|DECIMAL|FLOAT)"))
 
+    def doubled(_: Column, value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        return (
+            F.when(kind.rlike("^(?:OBJECT|ARRAY)<"), F.parse_json(numbers_to_double(F.to_json(value))))
+            .when(kind.rlike("^(?:BIGINT|DECIMAL|FLOAT)"), value.cast("double").cast("variant"))
+            .otherwise(value)
+        )
 
-def typed_number_fields(fields: Column) -> Column:
-    """Whole numbers of 64 bits stay whole, other numbers become doubles, at any depth."""
-    return F.transform_values(fields, lambda _, v: _rewritten(v, typed_numbers, "^(?:DECIMAL|FLOAT)"))
+    return F.transform_values(fields, doubled)
 
 
 def fields_to_payload(fields: Column) -> Column:

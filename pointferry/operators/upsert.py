@@ -7,11 +7,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pointferry.model import POINT_COLUMNS, shard_text
 
 
+# Ids sent to every task when they replace a join's shuffle: about 50 bytes each.
+MAX_BROADCAST_IDS = 1_000_000
+
+
 def _content_hash(df: DataFrame) -> Column:
     """Breaks ties between writes with the same order number, so a replay picks the same one."""
-    payload = F.to_json(F.col("payload")) if "payload" in df.columns else F.lit("")
-    vectors = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("vectors")))) if "vectors" in df.columns else F.lit("")
-    return F.xxhash64(payload, vectors)
+    parts = []
+    if "payload" in df.columns:
+        parts.append(F.to_json("payload"))
+    if "vectors" in df.columns:
+        parts.append(F.sort_array(F.map_entries("vectors")))
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
 def latest_by_id(writes: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -26,10 +33,18 @@ def latest_by_id(writes: DataFrame, order: list[str] | None = None) -> DataFrame
     return writes.groupBy("id").agg(winner.alias("_w")).select("id", "_w.*")
 
 
-def upsert(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """The table after a batch: ids in the batch are replaced, all others are kept."""
-    latest = latest_by_id(batch)
-    kept = existing.join(latest.select("id"), "id", "left_anti")
+def upsert(existing: DataFrame, batch: DataFrame, order: list[str] | None = None, batch_rows: int | None = None) -> DataFrame:
+    """The table after a batch: ids in the batch are replaced, all others are kept.
+
+    Only the batch is reduced to one point per id; the table has one already. ``batch_rows``, where
+    the caller knows it, bounds the batch's ids: few enough are sent to all tasks and the table is
+    not shuffled, more are joined by shuffle.
+    """
+    latest = latest_by_id(batch, order)
+    ids = latest.select("id")
+    if batch_rows is not None and batch_rows <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    kept = existing.join(ids, "id", "left_anti")
     return kept.select(*POINT_COLUMNS).unionByName(latest.select(*POINT_COLUMNS))
 
 

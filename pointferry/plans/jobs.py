@@ -63,10 +63,11 @@ def copy_ranges(
         sample = boundary_sample(raw, key, workers)
         planned = ranges_per_key(sample, key) if per_sampled_key else ranges_per_worker(sample, key, workers)
         planned.coalesce(1).write.parquet(_plan_folder(plans_folder, source, run_id))
-        progress.store_one(plan_name, run_id, planned.count())
     else:
         run_id = stored["offset"]
     ranges = spark.read.parquet(_plan_folder(plans_folder, source, run_id))
+    if stored is None:
+        progress.store_one(plan_name, run_id, ranges.count())
     boundaries = [r["end_key"] for r in ranges.filter("end_key is not null").orderBy("range_id").collect()]
 
     pending = [r for r in resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect() if not r["done"]]

@@ -7,8 +7,8 @@ Layout below the table folder::
 
 A batch only ever adds a folder: an upsert costs what the batch weighs and never rewrites the
 table. Ids are hashes, so a batch touches every part of the table, and rewriting the parts it
-touches would mean rewriting all of it. Reading reduces base and newer commits to the last write
-per id; ``compact`` does that once and for all. A folder counts when Spark's own ``_SUCCESS``
+touches would mean rewriting all of it. Reading puts the last write per id of newer commits over
+the base; ``compact`` does that once and for all. A folder counts when Spark's own ``_SUCCESS``
 marker is in it, so a job that dies half-way leaves nothing visible, and a batch is found again by
 its writer and number, so repeating it changes nothing. One job writes a table at a time.
 """
@@ -21,9 +21,11 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pointferry.model import POINT_COLUMNS, POINT_SCHEMA
-from pointferry.operators.upsert import latest_by_id, shard_write_layout
+from pointferry.operators.upsert import MAX_BROADCAST_IDS, latest_by_id, shard_write_layout, upsert
+from pointferry.session import scratch_dir
 
 _COMMIT_NAME = re.compile(r"^commit-(\d+)__(.*)__(\d+)$")
+_WRITE_ORDER = ["commit_seq", "source_ord"]
 _BASE_NAME = re.compile(r"^upto=(\d+)$")
 
 
@@ -74,37 +76,42 @@ class PointTable:
         """Rows written by one commit, from the files' footers."""
         return self.spark.read.schema(POINT_SCHEMA).parquet(folder).count()
 
-    def writes(self) -> DataFrame:
-        """All live writes with the number of their commit; the base comes before every commit."""
-        upto, commits = self._state()
-        parts = []
-        if upto:
-            base = self.spark.read.schema(_BASE_SCHEMA).parquet(f"{self.path}/base/upto={upto}")
-            parts.append(base.select(*POINT_COLUMNS, F.lit(upto).cast("bigint").alias("commit_seq")))
-        if commits:
-            # One relation over all commit folders, so the plan does not grow with their number.
-            folders = [f"{self.path}/commits/{m.group(0)}" for m in commits]
-            log = self.spark.read.schema(POINT_SCHEMA).parquet(*folders)
-            number = F.regexp_extract(F.col("_metadata.file_path"), r"/commit-(\d+)__", 1).cast("bigint")
-            parts.append(log.select(*POINT_COLUMNS, number.alias("commit_seq")))
-        if not parts:
-            return self.spark.createDataFrame([], POINT_SCHEMA).withColumn("commit_seq", F.lit(0).cast("bigint"))
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    def _base(self, upto: int) -> DataFrame:
+        return self.spark.read.schema(_BASE_SCHEMA).parquet(f"{self.path}/base/upto={upto}")
+
+    def _log(self, commits: list[re.Match]) -> DataFrame:
+        """All writes of some commits, with each commit's number."""
+        # One relation over all commit folders, so the plan does not grow with their number.
+        log = self.spark.read.schema(POINT_SCHEMA).parquet(*self._folders(commits))
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/commit-(\d+)__", 1).cast("bigint")
+        return log.select(*POINT_COLUMNS, number.alias("commit_seq"))
+
+    def _folders(self, commits: list[re.Match]) -> list[str]:
+        return [f"{self.path}/commits/{m.group(0)}" for m in commits]
 
     def read(self) -> DataFrame:
-        """The table: one point per id. A freshly compacted table is read as it lies."""
+        """The table: one point per id.
+
+        A compacted table is read as it lies. With newer commits on top, only those are reduced,
+        and the base gives up the ids they replace.
+        """
         upto, commits = self._state()
-        if upto and not commits:
-            return self.writes().select(*POINT_COLUMNS)
-        return latest_by_id(self.writes(), ["commit_seq", "source_ord"]).select(*POINT_COLUMNS)
+        if not upto and not commits:
+            return self.spark.createDataFrame([], POINT_SCHEMA)
+        if not commits:
+            return self._base(upto).select(*POINT_COLUMNS)
+        log = self._log(commits)
+        if not upto:
+            return latest_by_id(log, _WRITE_ORDER).select(*POINT_COLUMNS)
+        rows = self.spark.read.schema(POINT_SCHEMA).parquet(*self._folders(commits)).count()
+        return upsert(self._base(upto), log, _WRITE_ORDER, batch_rows=rows)
 
     def read_shard(self, shard: str) -> DataFrame:
         """One shard of a compacted table; other shards' folders are not opened."""
         upto, commits = self._state()
         if not upto or commits:
             raise ValueError("compact the table before reading one shard")
-        base = self.spark.read.schema(_BASE_SCHEMA).parquet(f"{self.path}/base/upto={upto}")
-        return base.filter(F.col("shard") == shard).select(*POINT_COLUMNS)
+        return self._base(upto).filter(F.col("shard") == shard).select(*POINT_COLUMNS)
 
     def compact(self) -> int:
         """Fold all commits into a new base, partitioned by shard. Returns its sequence number."""
@@ -112,6 +119,24 @@ class PointTable:
         if not commits:
             return upto
         seq = int(commits[-1].group(1))
-        latest = latest_by_id(self.writes(), ["commit_seq", "source_ord"]).select(*POINT_COLUMNS)
+        latest = self.read() if upto else self._first_base(commits)
         shard_write_layout(latest).write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/base/upto={seq}")
         return seq
+
+    def _first_base(self, commits: list[re.Match]) -> DataFrame:
+        """One point per id from commits alone.
+
+        A first load mostly writes every id once. The ids written more often are found on the id
+        column alone; if they are few, only their writes are reduced and all others pass through
+        without a shuffle of vectors and payloads.
+        """
+        log = self._log(commits)
+        repeated_dir = scratch_dir(self.spark, "repeated-ids")
+        repeated = log.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+        repeated.write.parquet(repeated_dir)
+        repeated = self.spark.read.schema(T.StructType([POINT_SCHEMA["id"]])).parquet(repeated_dir)
+        if repeated.count() > MAX_BROADCAST_IDS:
+            return latest_by_id(log, _WRITE_ORDER).select(*POINT_COLUMNS)
+        once = log.join(F.broadcast(repeated), "id", "left_anti").select(*POINT_COLUMNS)
+        many = latest_by_id(log.join(F.broadcast(repeated), "id", "left_semi"), _WRITE_ORDER)
+        return once.unionByName(many.select(*POINT_COLUMNS))

@@ -32,9 +32,11 @@ def normalize_mongodb(
     object_id = F.try_variant_get(doc_id, "$['$oid']", "string")
     id_text = F.when(F.schema_of_variant(doc_id) == "STRING", doc_id.try_cast("string")).otherwise(objectid_text(object_id))
     def vector(field: str) -> Column:
-        # A text field that reads like a list is told apart by the cast, a list with a whole number by its text.
-        floats = F.try_element_at(F.col("_fields"), F.lit(field)).try_cast("array<double>").cast("array<float>")
-        return F.when(is_double_list(F.col("_text")[field]), floats)
+        # A text field that reads like a list is told apart by having no first element.
+        value = F.try_element_at(F.col("_fields"), F.lit(field))
+        is_list = F.try_variant_get(value, "$[0]", "variant").isNotNull() | (F.schema_of_variant(value) == "ARRAY<VOID>")
+        floats = F.from_json(F.col("_text")[field], "array<double>").cast("array<float>")
+        return F.when(is_double_list(F.col("_text")[field]) & is_list, floats)
 
     vectors = [vector(f).alias(f"_vec_{i}") for i, f in enumerate(vector_fields)]
     has_id = (F.schema_of_variant(doc_id) == "STRING") | object_id.isNotNull()
