@@ -22,6 +22,8 @@ RETRY_STEP_SECONDS = 0.1
 class RetryableError(Exception):
     """Raised by a client for a write worth repeating."""
 
+    retryable = True
+
 
 class PointClient:
     """What a store has to offer. One client is opened per task."""
@@ -66,8 +68,9 @@ class PointStoreWriter(DataSourceWriter):
             try:
                 client.upsert(batch)
                 return len(batch)
-            except RetryableError:
-                if attempt == WRITE_ATTEMPTS:
+            except Exception as error:
+                # By attribute, not by class: a class sent along with a job is another object in the task.
+                if not getattr(error, "retryable", False) or attempt == WRITE_ATTEMPTS:
                     raise
                 time.sleep(attempt * RETRY_STEP_SECONDS)
         return 0
