@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pointferry.functions.ids import id_order_key
+from pointferry.operators.sizing import broadcast_if_small
 
 
 def project(df: DataFrame, columns: list[str] | None, key: str) -> DataFrame:
@@ -83,8 +84,8 @@ def exact_count(df: DataFrame, by: list[str] | None = None, name: str = "n_rows"
 
 
 def list_then_fetch(ids: DataFrame, records: DataFrame, key: str) -> DataFrame:
-    """The records of a list of ids; an id without a record is skipped."""
-    return ids.select(key).join(records, key, "inner")
+    """The records of a list of ids, each once; an id without a record is skipped."""
+    return records.join(ids.select(key), key, "left_semi")
 
 
 def split_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -92,10 +93,13 @@ def split_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
     A range copy needs a key that is never NULL and names one row. The counts are taken on the key
     column alone, combined before the shuffle, so a key held by very many rows costs no more than
-    others. Only repeated keys are joined back.
+    others. The repeated keys are measured: normally they are few, and then the rows themselves are
+    not shuffled to find them.
     """
-    repeated = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-    good = df.filter(F.col(key).isNotNull()).join(repeated, key, "left_anti")
+    present = df.filter(F.col(key).isNotNull())
+    counts = present.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = broadcast_if_small(counts.filter("_n > 1").select(key), "repeated-keys")
+    good = present.join(repeated, key, "left_anti")
     without = df.filter(F.col(key).isNull()).withColumn("reject_reason", F.lit("key is NULL"))
-    twice = df.join(repeated, key, "left_semi").withColumn("reject_reason", F.lit("key is not unique"))
+    twice = present.join(repeated, key, "left_semi").withColumn("reject_reason", F.lit("key is not unique"))
     return good, without.unionByName(twice)

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pointferry.model import POINT_COLUMNS, shard_text
-
-
-# Ids sent to every task when they replace a join's shuffle: about 50 bytes each.
-MAX_BROADCAST_IDS = 1_000_000
+from pointferry.operators.sizing import MAX_BROADCAST_ROWS
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -42,7 +39,7 @@ def upsert(existing: DataFrame, batch: DataFrame, order: list[str] | None = None
     """
     latest = latest_by_id(batch, order)
     ids = latest.select("id")
-    if batch_rows is not None and batch_rows <= MAX_BROADCAST_IDS:
+    if batch_rows is not None and batch_rows <= MAX_BROADCAST_ROWS:
         ids = F.broadcast(ids)
     kept = existing.join(ids, "id", "left_anti")
     return kept.select(*POINT_COLUMNS).unionByName(latest.select(*POINT_COLUMNS))

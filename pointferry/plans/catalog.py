@@ -113,6 +113,17 @@ def fields_from_type_text(columns: DataFrame) -> DataFrame:
     return vectors.select("collection", F.col("column").alias("field"), F.lit("dense").alias("kind"), checked.alias("size"))
 
 
+def _shapes(vectors: Column) -> Column:
+    """Kind and size of every vector, so that what is exploded no longer carries the numbers."""
+    return F.transform_values(
+        vectors,
+        lambda _, v: F.struct(
+            F.when(v["indices"].isNotNull(), F.lit("sparse")).otherwise(F.lit("dense")).alias("kind"),
+            F.size(v["data"]).cast("bigint").alias("size"),
+        ),
+    )
+
+
 def fields_from_points(points: DataFrame, collection: str | Column) -> DataFrame:
     """Vector fields found in the data, dense and sparse, with the sizes seen.
 
@@ -120,15 +131,10 @@ def fields_from_points(points: DataFrame, collection: str | Column) -> DataFrame
     gets a NULL size, for size_conflicts().
     """
     name = F.lit(collection) if isinstance(collection, str) else collection
-    each = points.select(name.alias("collection"), F.explode("vectors").alias("field", "v"))
-    sized = each.select(
-        "collection",
-        "field",
-        F.when(F.col("v.indices").isNotNull(), F.lit("sparse")).otherwise(F.lit("dense")).alias("kind"),
-        F.size("v.data").alias("n"),
-    )
-    agg = sized.groupBy("collection", "field", "kind").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    size = F.when((F.col("kind") == "dense") & (F.col("low") == F.col("high")), F.col("high").cast("bigint"))
+    each = points.select(name.alias("collection"), F.explode(_shapes(F.col("vectors"))).alias("field", "v"))
+    sized = each.select("collection", "field", "v.kind", "v.size")
+    agg = sized.groupBy("collection", "field", "kind").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    size = F.when((F.col("kind") == "dense") & (F.col("low") == F.col("high")), F.col("high"))
     return agg.select("collection", "field", "kind", size.alias("size"))
 
 
@@ -168,21 +174,16 @@ def missing_indexes(source: DataFrame, target: DataFrame) -> DataFrame:
 def size_violations(points: DataFrame, params: DataFrame) -> DataFrame:
     """Vectors whose field or size the target does not have.
 
-    The catalog side has one row per field of one collection; each vector is compared with it by
-    an equi-join on the field, on ids and sizes only.
+    ``params`` are the fields of one collection, one row each. They enter as one looked-up map, not
+    as a join: joined on the field, all vectors of a field would meet in one task.
     """
-    each = points.select("id", F.explode("vectors").alias("field", "v"))
-    sized = each.select(
-        "id",
-        "field",
-        F.when(F.col("v.indices").isNotNull(), F.lit("sparse")).otherwise(F.lit("dense")).alias("kind"),
-        F.size("v.data").cast("bigint").alias("size"),
-    )
-    known = params.select("field", F.col("kind").alias("_kind"), F.col("size").alias("_size"))
-    joined = sized.join(known, "field", "left")
+    row = F.struct("field", F.struct("kind", "size").alias("v"))
+    target = params.agg(F.map_from_entries(F.collect_list(row))).scalar()
+    each = points.select("id", F.explode(_shapes(F.col("vectors"))).alias("field", "v"))
+    sized = each.select("id", "field", "v.kind", "v.size", F.try_element_at(target, F.col("field")).alias("t"))
     reason = (
-        F.when(F.col("_kind").isNull(), F.lit("unknown vector field"))
-        .when(F.col("kind") != F.col("_kind"), F.lit("other kind of vector"))
-        .when((F.col("kind") == "dense") & (F.col("size") != F.col("_size")), F.lit("other size"))
+        F.when(F.col("t").isNull(), F.lit("unknown vector field"))
+        .when(F.col("kind") != F.col("t.kind"), F.lit("other kind of vector"))
+        .when((F.col("kind") == "dense") & (F.col("size") != F.col("t.size")), F.lit("other size"))
     )
-    return joined.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("id", "field", "size", "reason")
+    return sized.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select("id", "field", "size", "reason")

@@ -80,7 +80,7 @@ def copy_ranges(
         table.append(normalizer(rows.drop("range_id")), writer=f"{source}-{run_id}-{covers}")
         progress.store(_range_offsets(spark, rows, key, step))
     report = CopyReport(raw.count(), table.read().count(), len(steps))
-    if cleanup and report.complete:
+    if cleanup:
         progress.delete(source)
     return report
 

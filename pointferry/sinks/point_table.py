@@ -21,8 +21,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pointferry.model import POINT_COLUMNS, POINT_SCHEMA
-from pointferry.operators.upsert import MAX_BROADCAST_IDS, latest_by_id, shard_write_layout, upsert
-from pointferry.session import scratch_dir
+from pointferry.operators.sizing import measured
+from pointferry.operators.upsert import latest_by_id, shard_write_layout, upsert
 
 _COMMIT_NAME = re.compile(r"^commit-(\d+)__(.*)__(\d+)$")
 _WRITE_ORDER = ["commit_seq", "source_ord"]
@@ -39,36 +39,40 @@ class PointTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _committed(self, folder: str, pattern: re.Pattern) -> list[re.Match]:
-        """Names of finished sub-folders, oldest first; the listing is one entry per commit."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+    def _fs(self):
+        path = self._path("")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+
+    def _names(self, folder: str, pattern: re.Pattern) -> list[re.Match]:
+        """Sub-folder names in order of their number, finished or not; one entry per commit."""
+        fs = self._fs()
+        if not fs.exists(self._path(folder)):
             return []
-        found = []
-        for status in fs.listStatus(path):
-            match = pattern.match(status.getPath().getName())
-            if match and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                found.append(match)
-        return sorted(found, key=lambda m: int(m.group(1)))
+        matches = [pattern.match(s.getPath().getName()) for s in fs.listStatus(self._path(folder))]
+        return sorted((m for m in matches if m), key=lambda m: int(m.group(1)))
+
+    def _finished(self, folder: str, name: str) -> bool:
+        return self._fs().exists(self._path(f"{folder}/{name}/_SUCCESS"))
 
     def _state(self) -> tuple[int, list[re.Match]]:
         """The newest base's sequence number (0 is none) and the commits after it."""
-        bases = self._committed("base", _BASE_NAME)
+        bases = [m for m in self._names("base", _BASE_NAME) if self._finished("base", m.group(0))]
         upto = int(bases[-1].group(1)) if bases else 0
-        return upto, [m for m in self._committed("commits", _COMMIT_NAME) if int(m.group(1)) > upto]
+        newer = [m for m in self._names("commits", _COMMIT_NAME) if int(m.group(1)) > upto]
+        return upto, [m for m in newer if self._finished("commits", m.group(0))]
 
     def append(self, points: DataFrame, writer: str, batch: int = 0) -> str:
         """Write one batch and return its folder; a batch that is in the table already is not written again."""
         writer = quote(writer, safe="")
-        done = self._committed("commits", _COMMIT_NAME)
-        for m in done:
-            if m.group(2) == writer and int(m.group(3)) == batch:
+        commits = self._names("commits", _COMMIT_NAME)
+        for m in commits:
+            if m.group(2) == writer and int(m.group(3)) == batch and self._finished("commits", m.group(0)):
                 return f"{self.path}/commits/{m.group(0)}"
-        upto, _ = self._state()
-        seq = max([upto] + [int(m.group(1)) for m in done]) + 1
-        folder = f"{self.path}/commits/commit-{seq}__{writer}__{batch}"
+        numbers = [int(m.group(1)) for m in commits + self._names("base", _BASE_NAME)]
+        folder = f"{self.path}/commits/commit-{max(numbers, default=0) + 1}__{writer}__{batch}"
         points.select(*POINT_COLUMNS).write.mode("overwrite").parquet(folder)
         return folder
 
@@ -131,12 +135,28 @@ class PointTable:
         without a shuffle of vectors and payloads.
         """
         log = self._log(commits)
-        repeated_dir = scratch_dir(self.spark, "repeated-ids")
         repeated = log.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-        repeated.write.parquet(repeated_dir)
-        repeated = self.spark.read.schema(T.StructType([POINT_SCHEMA["id"]])).parquet(repeated_dir)
-        if repeated.count() > MAX_BROADCAST_IDS:
+        repeated, small = measured(repeated, "repeated-ids")
+        if not small:
             return latest_by_id(log, _WRITE_ORDER).select(*POINT_COLUMNS)
         once = log.join(F.broadcast(repeated), "id", "left_anti").select(*POINT_COLUMNS)
         many = latest_by_id(log.join(F.broadcast(repeated), "id", "left_semi"), _WRITE_ORDER)
         return once.unionByName(many.select(*POINT_COLUMNS))
+
+    def vacuum(self) -> int:
+        """Free what the newest base replaced: older bases, and the data of commits it holds.
+
+        A commit's folder and marker stay, so its batch is still recognised. Not to be run while
+        others read the table. Returns the number of paths deleted.
+        """
+        upto, _ = self._state()
+        fs, deleted = self._fs(), 0
+        for m in self._names("base", _BASE_NAME):
+            if int(m.group(1)) < upto:
+                deleted += bool(fs.delete(self._path(f"base/{m.group(0)}"), True))
+        for m in self._names("commits", _COMMIT_NAME):
+            if int(m.group(1)) <= upto:
+                for status in fs.listStatus(self._path(f"commits/{m.group(0)}")):
+                    if status.getPath().getName() != "_SUCCESS":
+                        deleted += bool(fs.delete(status.getPath(), True))
+        return deleted

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from pointferry.operators import ranges as rg, scan
+from pointferry.operators import ranges as rg, scan, sizing
 
 
 def _keys(spark, keys, ddl="bigint"):
@@ -99,7 +99,9 @@ def test_projection_needs_key_and_known_columns(spark):
         scan.project(df, ["id", "c"], "id")
 
 
-def test_split_keys_with_one_very_hot_key(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_split_keys_with_one_very_hot_key(spark, monkeypatch, limit):
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", limit)
     df = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(-1)).when(F.col("id") % 100 != 0, F.col("id")).alias("k"), "id")
     good, bad = scan.split_keys(df, "k")
     counts = {r["reject_reason"]: r["count"] for r in bad.groupBy("reject_reason").count().collect()}

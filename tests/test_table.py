@@ -8,9 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointferry.model import POINT_COLUMNS
-from pointferry.operators import upsert as up
+from pointferry.operators import sizing, upsert as up
 from pointferry.plans.jobs import copy_all, copy_ranges
-from pointferry.sinks import point_table as pt
 from pointferry.sinks.point_table import PointTable
 from pointferry.sources import normalize_pg
 from pointferry.streaming.progress import ProgressStore
@@ -58,7 +57,7 @@ def test_upsert_by_broadcast_and_by_shuffle_agree(spark):
     want = {1: "a", 2: "B2", 3: "c", 4: "D"}
     assert content(up.upsert(table, batch)) == want
     assert content(up.upsert(table, batch, batch_rows=3)) == want
-    assert content(up.upsert(table, batch, batch_rows=up.MAX_BROADCAST_IDS + 1)) == want
+    assert content(up.upsert(table, batch, batch_rows=sizing.MAX_BROADCAST_ROWS + 1)) == want
 
 
 def test_commits_replay_and_compaction(spark, tmp_path):
@@ -81,11 +80,26 @@ def test_commits_replay_and_compaction(spark, tmp_path):
     assert content(table.read()) == {1: "A", 2: "B", 3: "c", 4: "d"}
 
 
+def test_vacuum_keeps_the_table_and_its_memory_of_batches(spark, tmp_path):
+    table = PointTable(spark, str(tmp_path / "t"))
+    table.append(writes(spark, [(1, "a", 0)]), "w", 0)
+    table.compact()
+    table.append(writes(spark, [(2, "b", 0)]), "w", 1)
+    table.compact()
+    table.append(writes(spark, [(3, "c", 0)]), "w", 2)
+    assert table.vacuum() > 0 and table.vacuum() == 0
+    assert content(table.read()) == {1: "a", 2: "b", 3: "c"}
+    assert [p.name for p in (tmp_path / "t" / "base").iterdir()] == ["upto=2"]
+    table.append(writes(spark, [(1, "again", 9)]), "w", 0)
+    table.compact()
+    assert content(table.read()) == {1: "a", 2: "b", 3: "c"}
+
+
 def test_first_base_by_both_ways(spark, tmp_path, monkeypatch):
     rows = [(n, f"t{n}", 0) for n in range(50)] + [(7, "late", 1), (9, "late", 1)]
     want = {**{n: f"t{n}" for n in range(50)}, 7: "late", 9: "late"}
-    for limit in (up.MAX_BROADCAST_IDS, 1):
-        monkeypatch.setattr(pt, "MAX_BROADCAST_IDS", limit)
+    for limit in (sizing.MAX_BROADCAST_ROWS, 1):
+        monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", limit)
         table = PointTable(spark, str(tmp_path / f"t{limit}"))
         table.append(writes(spark, rows), "w")
         table.compact()
