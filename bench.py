@@ -14,10 +14,12 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F  # noqa: E402
 
 from pointferry import sources as src  # noqa: E402
+from pointferry.functions.ids import number_id, uuid5_url  # noqa: E402
 from pointferry.functions.payload import keep_payload  # noqa: E402
+from pointferry.functions.vectors import dense, named  # noqa: E402
 from pointferry.operators import search, verify  # noqa: E402
 from pointferry.operators.ranges import assign_ranges, boundary_sample, ranges_per_key, ranges_per_worker  # noqa: E402
 from pointferry.operators.upsert import latest_by_id  # noqa: E402
@@ -32,20 +34,73 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = 3
 
-SOURCES: dict[str, tuple[str, Callable, dict]] = {
-    "s01_collection": ("collection", staging.collection_raw, {}),
-    "s02_milvus": ("milvus", staging.milvus_raw, {"pk": "o_orderkey", "json_columns": ["meta"]}),
-    "s03_pinecone": ("pinecone", staging.pinecone_raw, {}),
-    "s04_chroma": ("chroma", staging.chroma_raw, {}),
-    "s05_weaviate": ("weaviate", staging.weaviate_raw, {"vector_name": "title"}),
-    "s06_redis": ("redis", staging.redis_raw, {"attrs": staging.REDIS_ATTRIBUTES}),
-    "s07_mongodb": ("mongodb", staging.mongodb_raw, {"vector_fields": ["text_embedding", "image_embedding"]}),
-    "s08_opensearch": ("opensearch", staging.opensearch_raw, {}),
-    "s09_elasticsearch": ("elasticsearch", staging.elasticsearch_raw, {}),
-    "s10_pg": ("pg", staging.pg_raw, {"key_column": "o_orderkey", "vector_columns": ["embedding"]}),
-    "s11_s3": ("s3", staging.s3_raw, {}),
-    "s12_faiss": ("faiss", lambda spark, d: staging.faiss_raw(spark, d)[0], {}),
-}
+def order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per order, with a vector and its other columns as JSON: what most sources are staged from."""
+    orders = staging.with_vector(spark, sf_dir, staging.table(spark, sf_dir, "orders"), "o_orderkey")
+    wide = F.col("embedding").cast("array<double>")
+    plain = ["o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+    return orders.select(
+        F.col("o_orderkey").alias("number"),
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("id"),
+        "embedding",
+        wide.alias("wide"),
+        F.to_json(F.struct(*plain)).alias("json"),
+        F.to_json(F.struct(*plain, wide.alias("vec"))).alias("json_with_vector"),
+        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("_id"), *plain, wide.alias("vec"))).alias("doc"),
+        F.to_json(F.struct(wide.alias("hidden"))).alias("hidden"),
+        F.col("o_orderstatus").alias("status"),
+    )
+
+
+def from_orders(**columns: Column) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: order_columns(spark, sf_dir).select(*[c.alias(n) for n, c in columns.items()])
+
+
+def sources() -> dict[str, tuple[str, Callable, dict]]:
+    """Per timing: the source, how its raw table is made, and the options."""
+    return {
+        "s01_collection": (
+            "collection",
+            from_orders(
+                id=number_id(F.col("number")),
+                vectors=named({"": dense(F.col("embedding"))}),
+                payload=F.parse_json("json"),
+                shard_key=F.struct(F.col("status").alias("keyword"), F.lit(None).cast("decimal(20,0)").alias("number")),
+                source_ord=F.col("number"),
+            ),
+            {},
+        ),
+        "s02_milvus": ("milvus", staging.milvus_raw, {"pk": "o_orderkey", "json_columns": ["meta"]}),
+        "s03_pinecone": (
+            "pinecone",
+            from_orders(
+                id=F.col("id"),
+                values=F.col("embedding"),
+                sparse_indices=F.array(F.col("number")),
+                sparse_values=F.array(F.lit(0.5).cast("float")),
+                metadata=F.col("json"),
+                namespace=F.col("status"),
+            ),
+            {},
+        ),
+        "s04_chroma": (
+            "chroma",
+            from_orders(id=F.col("id"), embedding=F.col("embedding"), document=F.col("json"), metadata=F.col("json")),
+            {},
+        ),
+        "s05_weaviate": (
+            "weaviate",
+            from_orders(id=uuid5_url(F.col("id")), vector=F.col("wide"), vectors=F.create_map(F.lit("t"), F.col("wide")), properties=F.col("json"), tenant=F.col("status")),
+            {"vector_name": "t"},
+        ),
+        "s06_redis": ("redis", staging.redis_raw, {"attrs": staging.REDIS_ATTRIBUTES}),
+        "s07_mongodb": ("mongodb", from_orders(doc=F.col("doc")), {"vector_fields": ["vec"]}),
+        "s08_opensearch": ("opensearch", from_orders(_id=F.col("id"), _source=F.col("json_with_vector")), {}),
+        "s09_elasticsearch": ("elasticsearch", from_orders(_id=F.col("id"), _source=F.col("json"), fields=F.col("hidden")), {}),
+        "s10_pg": ("pg", staging.pg_raw, {"key_column": "o_orderkey", "vector_columns": ["embedding"]}),
+        "s11_s3": ("s3", from_orders(key=F.col("id"), data=F.col("embedding"), metadata=F.col("json")), {}),
+        "s12_faiss": ("faiss", from_orders(pos=F.col("number"), vector=F.col("embedding")), {}),
+    }
 
 
 def timed(run: Callable[[], object], runs: int = RUNS) -> float:
@@ -92,7 +147,7 @@ def main() -> None:
     queries: dict[str, float] = {}
     rates: dict[str, int] = {}
 
-    for name, (source, make_raw, options) in SOURCES.items():
+    for name, (source, make_raw, options) in sources().items():
         raw = stage(spark, make_raw(spark, SF_DIR), name)
         rows = raw.count()
         queries[name] = timed(lambda: noop(src.normalize(source, raw, **options)))

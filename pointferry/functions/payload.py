@@ -30,6 +30,11 @@ def json_fields(json_text: Column) -> Column:
     return variant_fields(F.try_parse_json(json_text))
 
 
+def is_bad_object(json_text: Column, fields: Column) -> Column:
+    """Whether a text that should hold an object, or nothing, holds something else."""
+    return json_text.isNotNull() & fields.isNull() & (F.trim(json_text) != "null")
+
+
 def double_numbers(fields: Column) -> Column:
     """Every number in the fields becomes a double, at any depth.
 
@@ -112,7 +117,7 @@ def rfc3339_utc(value: Column) -> Column:
     return F.date_format(value.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-_KEPT = (T.BooleanType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.NullType, T.VariantType)
+_KEPT = (T.BooleanType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.NullType)
 
 
 def sanitize(value: Column, data_type: T.DataType) -> Column:
@@ -126,6 +131,9 @@ def sanitize(value: Column, data_type: T.DataType) -> Column:
         return value.cast("double")
     if isinstance(data_type, _KEPT):
         return value
+    if isinstance(data_type, T.VariantType):
+        # A JSON column: its numbers are doubles.
+        return F.parse_json(numbers_to_double(F.to_json(value)))
     if isinstance(data_type, T.TimestampType):
         return rfc3339(value)
     if isinstance(data_type, (T.TimestampNTZType, T.DateType)):

@@ -55,7 +55,8 @@ def distance(a: Column, b: Column, metric: str) -> Column:
 def nearest(points: DataFrame, query: list[float], k: int, metric: str = "cosine") -> DataFrame:
     """The ``k`` nearest points of one query vector: (point_id, vector) in, a top-k plan out."""
     literal = F.array(*[F.lit(float(x)) for x in query]).cast("array<float>")
-    scored = points.select("point_id", distance(F.col("vector"), literal, metric).alias("distance"))
+    there = points.filter(F.col("vector").isNotNull())
+    scored = there.select("point_id", distance(F.col("vector"), literal, metric).alias("distance"))
     return scored.orderBy("distance", "point_id").limit(k)
 
 
@@ -145,7 +146,7 @@ def nearest_batch(
     the bound and each slice takes its own pass, so nothing is left out.
     """
     _check_metric(metric)
-    points = points.select(F.col("point_id").cast("string"), F.col("vector").cast("array<float>"))
+    points = points.select(F.col("point_id").cast("string"), F.col("vector").cast("array<float>")).filter("vector is not null")
     queries = queries.select(F.col("query_id").cast("string"), F.col("vector").cast("array<float>"))
     size = queries.agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim"), F.min(F.size("vector")).alias("low")

@@ -59,6 +59,12 @@ def metric_of(word: Column, source: str) -> Column:
     return F.coalesce(metric, F.lit(FALLBACK_METRIC[source])) if source in FALLBACK_METRIC else metric
 
 
+def required_metric(word: Column, source: str) -> Column:
+    """As metric_of, for sources where an unknown word is an error."""
+    message = F.format_string("unsupported distance metric: %s", F.coalesce(word, F.lit("none")))
+    return F.coalesce(metric_of(word, source), F.raise_error(message).cast("string"))
+
+
 def metric_option(field: Column, options: dict[str, str], source: str, mode: str = "fail") -> Column:
     """The metric of a field from per-field options, with the source's default.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
-from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, no_fields, with_document, with_field
+from pointferry.functions.payload import double_numbers, fields_to_payload, is_bad_object, json_fields, no_fields, with_document, with_field
 from pointferry.functions.vectors import dense, named
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
@@ -37,7 +37,7 @@ def normalize_chroma(
         source_ord=source_ord,
         checks=[
             (F.col("id").isNull(), "missing id"),
-            (F.col("metadata").isNotNull() & F.col("_fields").isNull(), "metadata is not a JSON object"),
+            (is_bad_object(F.col("metadata"), F.col("_fields")), "metadata is not a JSON object"),
         ],
         mode=mode,
     )

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pointferry.functions.ids import is_uuid, make_point_id
-from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, typed_fields
+from pointferry.functions.payload import double_numbers, fields_to_payload, is_bad_object, json_fields, typed_fields
 from pointferry.functions.vectors import dense, named
 from pointferry.sources.base import to_points
 
@@ -65,7 +65,7 @@ def normalize_milvus(
     else:
         checks.append((key < 0, "negative primary key"))
     if json_columns:
-        bad = [F.col(c).isNotNull() & json_fields(F.col(c)).isNull() for c in json_columns]
+        bad = [is_bad_object(F.col(c), json_fields(F.col(c))) for c in json_columns]
         checks.append((reduce(lambda a, b: a | b, bad), "JSON column is not an object"))
     return to_points(
         raw,

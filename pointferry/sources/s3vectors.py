@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id
 from pointferry.functions.numbers import typed_numbers
-from pointferry.functions.payload import fields_to_payload, json_fields, no_fields, with_field
+from pointferry.functions.payload import fields_to_payload, is_bad_object, json_fields, no_fields, with_field
 from pointferry.functions.vectors import dense, named
 from pointferry.model import DEFAULT_VECTOR
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
@@ -32,7 +32,7 @@ def normalize_s3_vectors(
         checks=[
             (F.col("key").isNull(), "missing key"),
             (F.col("data").isNull(), "unexpected vector data type"),
-            (F.col("metadata").isNotNull() & F.col("_fields").isNull(), "metadata is not a JSON object"),
+            (is_bad_object(F.col("metadata"), F.col("_fields")), "metadata is not a JSON object"),
         ],
         mode=mode,
     )

@@ -157,6 +157,20 @@ def test_metric_rules(spark):
     assert got == ["cosine", "dot"]
 
 
+def test_required_metric(spark):
+    words = spark.createDataFrame([("cosine",), ("euclidean",)], "w string")
+    assert [r[0] for r in words.select(catalog.required_metric(F.col("w"), "s3")).collect()] == ["cosine", "euclid"]
+    with pytest.raises(PySparkException, match="unsupported distance metric: dotproduct"):
+        words.select(catalog.required_metric(F.lit("dotproduct"), "s3")).collect()
+
+
+def test_points_without_the_vector_are_not_found(spark):
+    points = spark.createDataFrame([("a", [1.0]), ("b", None)], "point_id string, vector array<float>")
+    q = spark.createDataFrame([("q", [1.0])], "query_id string, vector array<float>")
+    assert [r["point_id"] for r in search.nearest_batch(points, q, 5, "euclid").collect()] == ["a"]
+    assert [r["point_id"] for r in search.nearest(points, [1.0], 5, "euclid").collect()] == ["a"]
+
+
 def test_dispatch_rejects_other_kinds(spark):
     schema = "collection string, vector_type string, dimension int, metric string"
     with pytest.raises(PySparkException, match="unsupported vector type: hybrid"):

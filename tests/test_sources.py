@@ -50,7 +50,7 @@ def test_pinecone(spark):
         [
             ("a", [1.0, 2.0], None, None, None, "n1"),
             (U, None, [4294967295, 0], [0.5, 0.25], '{"__id__":"clash","n":1,"l":[1,{"x":2}]}', "n1"),
-            ("é", None, None, None, "{}", "n2"),
+            ("é", None, None, None, " null ", "n2"),
         ],
         src.RAW_SCHEMAS["pinecone"],
     )
@@ -199,6 +199,13 @@ def test_pg(spark):
         src.normalize("pg", raw, key_column="id", vector_columns=[], columns=["age"])
 
 
+def test_pg_json_column_numbers_are_doubles(spark):
+    raw = spark.sql("""SELECT 1 AS id, parse_json('{"a":[1,2.5],"b":{"c":7}}') AS j, parse_json('null') AS k""")
+    points = src.normalize("pg", raw, key_column="id", vector_columns=[])
+    kinds = points.select(F.schema_of_variant(F.variant_get("payload", "$.j", "variant")), F.schema_of_variant(F.variant_get("payload", "$.k", "variant"))).first()
+    assert tuple(kinds) == ("OBJECT<a: ARRAY<DOUBLE>, b: OBJECT<c: DOUBLE>>", "VOID")
+
+
 def test_s3_keeps_whole_numbers(spark):
     raw = spark.createDataFrame([("vector-0", [1.0], '{"age":30,"h":1.5,"__id__":9}'), ("x", None, None)], src.RAW_SCHEMAS["s3"])
     points = src.normalize("s3", raw, mode="quarantine")
