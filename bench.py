@@ -45,9 +45,9 @@ def order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "embedding",
         wide.alias("wide"),
         F.to_json(F.struct(*plain)).alias("json"),
-        F.to_json(F.struct(*plain, wide.alias("vec"))).alias("json_with_vector"),
-        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("_id"), *plain, wide.alias("vec"))).alias("doc"),
-        F.to_json(F.struct(wide.alias("hidden"))).alias("hidden"),
+        F.to_json(F.struct(*plain, F.col("embedding").alias("vec"))).alias("json_with_vector"),
+        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("_id"), *plain, F.col("embedding").alias("vec"))).alias("doc"),
+        F.to_json(F.struct(F.col("embedding").alias("hidden"))).alias("hidden"),
         F.col("o_orderstatus").alias("status"),
     )
 

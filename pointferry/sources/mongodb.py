@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from pointferry.functions.ids import hashed_id, objectid_text
 from pointferry.functions.payload import double_numbers, fields_to_payload, json_fields, with_field
-from pointferry.functions.vectors import dense, is_double_list, named
+from pointferry.functions.vectors import as_vector_doubles, dense, named
 from pointferry.sources.base import DEFAULT_ID_FIELD, carried, to_points
 
 
@@ -21,24 +21,13 @@ def normalize_mongodb(
     """Only listed fields are tried as vectors; one that is not a list of doubles stays payload."""
     if not vector_fields:
         raise ValueError("vector_fields is required")
-    # One parse hands out the listed fields as their JSON text, where whole numbers and doubles differ.
-    text_schema = T.StructType([T.StructField(f, T.StringType()) for f in vector_fields])
-    staged = raw.select(
-        json_fields(F.col("doc")).alias("_fields"),
-        F.from_json("doc", text_schema).alias("_text"),
-        *carried(raw, source_ord),
-    )
+    staged = raw.select(json_fields(F.col("doc")).alias("_fields"), *carried(raw, source_ord))
     doc_id = F.try_element_at(F.col("_fields"), F.lit("_id"))
     object_id = F.try_variant_get(doc_id, "$['$oid']", "string")
     id_text = F.when(F.schema_of_variant(doc_id) == "STRING", doc_id.try_cast("string")).otherwise(objectid_text(object_id))
-    def vector(field: str) -> Column:
-        # A text field that reads like a list is told apart by having no first element.
-        value = F.try_element_at(F.col("_fields"), F.lit(field))
-        is_list = F.try_variant_get(value, "$[0]", "variant").isNotNull() | (F.schema_of_variant(value) == "ARRAY<VOID>")
-        floats = F.from_json(F.col("_text")[field], "array<double>").cast("array<float>")
-        return F.when(is_double_list(F.col("_text")[field]) & is_list, floats)
-
-    vectors = [vector(f).alias(f"_vec_{i}") for i, f in enumerate(vector_fields)]
+    vectors = [
+        as_vector_doubles(F.try_element_at(F.col("_fields"), F.lit(f))).alias(f"_vec_{i}") for i, f in enumerate(vector_fields)
+    ]
     has_id = (F.schema_of_variant(doc_id) == "STRING") | object_id.isNotNull()
     staged = staged.select(
         "_fields", F.when(has_id, id_text).alias("_id_text"), *vectors, *carried(raw, source_ord)

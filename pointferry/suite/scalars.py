@@ -127,7 +127,7 @@ def _as_vector(kind: str):
         v = {
             "nonempty": lambda: vec.as_vector_nonempty(parsed),
             "or_empty": lambda: vec.as_vector_or_empty(parsed),
-            "doubles": lambda: vec.as_vector_doubles(F.col("text")),
+            "doubles": lambda: vec.as_vector_doubles(parsed),
         }[kind]()
         found = lists.select("event_id", v.alias("v"))
         return found.select(

@@ -166,7 +166,7 @@ def mongodb_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string(
             '{"_id":%s,"text_embedding":%s,"image_embedding":%s,"non_vector":[1.5,2.5],"segment":"%s","nation":%d,"when":{"$date":"2024-01-01T00:00:00Z"}}',
             doc_id,
-            F.to_json(F.col("embedding").cast("array<double>")),
+            F.to_json(F.col("embedding")),
             image,
             "c_mktsegment",
             "c_nationkey",
@@ -176,7 +176,7 @@ def mongodb_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def opensearch_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = with_vector(spark, sf_dir, table(spark, sf_dir, "pages"), "page_id")
-    body = F.struct("url", "html", F.col("embedding").cast("array<double>").alias("vec"), F.col("page_id").alias("n"))
+    body = F.struct("url", "html", F.col("embedding").alias("vec"), F.col("page_id").alias("n"))
     # Lists of mixed kinds have no column type, so they are added to the text.
     extra = F.lit(',"empty":[],"mixed":[1,"2"],"holes":[1,null],"nested":{"a":1,"b":[1,2]}}')
     return pages.select(
@@ -190,7 +190,7 @@ def elasticsearch_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     conv = with_vector(spark, sf_dir, conv, "conv_id")
     body = F.struct("role", "text", "turn", F.array("turn", "conv_id").alias("pair"), F.expr("array()").cast("array<int>").alias("empty"))
-    emb = F.col("embedding").cast("array<double>")
+    emb = F.col("embedding")
     fields = F.struct(emb.alias("hidden"), F.slice(emb, 1, 3).alias("pair"), F.array("role").alias("role"))
     return conv.select(
         F.concat_ws("/", _int("conv_id"), _int("turn")).alias("_id"),

@@ -58,7 +58,7 @@ VECTOR_CASES = [
 def test_what_counts_as_a_vector(spark, text, full, empty, doubles):
     assert _one(spark, text, lambda v: vec.as_vector_nonempty(F.parse_json(v))) == full
     assert _one(spark, text, lambda v: vec.as_vector_or_empty(F.parse_json(v))) == empty
-    assert _one(spark, text, vec.as_vector_doubles) == doubles
+    assert _one(spark, text, lambda v: vec.as_vector_doubles(F.parse_json(v))) == doubles
 
 
 def test_narrowing_overflows_to_infinity(spark):
