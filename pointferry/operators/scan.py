@@ -84,8 +84,11 @@ def exact_count(df: DataFrame, by: list[str] | None = None, name: str = "n_rows"
 
 
 def list_then_fetch(ids: DataFrame, records: DataFrame, key: str) -> DataFrame:
-    """The records of a list of ids, each once; an id without a record is skipped."""
-    return records.join(ids.select(key), key, "left_semi")
+    """The records of a list of ids, each once; an id without a record is skipped.
+
+    Repeats in the list are dropped before the shuffle, whose partitioning the join then reuses.
+    """
+    return records.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def split_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -52,6 +52,9 @@ def copy_ranges(
     The ranges are written down before the first step and read back on resume. Each step is one
     distributed job over its ranges; when it is through, every range of it stores its own offset
     and count. The key must be unique and never NULL, see split_keys().
+
+    A step reads what its outer bounds do not prune, which is little where the export is sorted or
+    indexed by the key. For an unsorted one take few steps: one, the default, reads it once.
     """
     spark: SparkSession = raw.sparkSession
     plan_name = f"{source}-workers-{workers}-plan"
