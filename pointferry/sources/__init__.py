@@ -43,4 +43,13 @@ def normalize(source: str, raw: DataFrame, **options) -> DataFrame:
     return NORMALIZERS[source](raw, **options)
 
 
-__all__ = ["NORMALIZERS", "RAW_SCHEMAS", "accepted", "normalize", "read_staged", "read_table", "rejected"]
+__all__ = [
+    "NORMALIZERS",
+    "RAW_SCHEMAS",
+    "accepted",
+    "normalize",
+    "normalize_collection",
+    "read_staged",
+    "read_table",
+    "rejected",
+]
