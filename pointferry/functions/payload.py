@@ -13,7 +13,6 @@ from pointferry.functions.ids import binary_uuid
 from pointferry.functions.numbers import numbers_to_double
 
 FIELDS_TYPE = T.MapType(T.StringType(), T.VariantType())
-FIELDS_DDL = "map<string,variant>"
 
 
 def no_fields() -> Column:

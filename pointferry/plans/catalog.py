@@ -134,7 +134,7 @@ def fields_from_points(points: DataFrame, collection: str | Column) -> DataFrame
     """Vector fields found in the data, dense and sparse, with the sizes seen.
 
     Aggregated before the shuffle to one row per field and task. A dense field whose sizes differ
-    gets a NULL size, for size_conflicts().
+    gets a NULL size, which no target can be created with.
     """
     name = F.lit(collection) if isinstance(collection, str) else collection
     each = points.select(name.alias("collection"), F.explode(_shapes(F.col("vectors"))).alias("field", "v"))

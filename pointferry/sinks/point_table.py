@@ -137,7 +137,8 @@ class PointTable:
         log = self._log(commits)
         repeated = log.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
         repeated, small = measured(repeated, "repeated-ids")
-        if not small:
+        rows = self.spark.read.schema(POINT_SCHEMA).parquet(*self._folders(commits)).count()
+        if not small or repeated.count() > rows // 8:
             return latest_by_id(log, _WRITE_ORDER).select(*POINT_COLUMNS)
         once = log.join(F.broadcast(repeated), "id", "left_anti").select(*POINT_COLUMNS)
         many = latest_by_id(log.join(F.broadcast(repeated), "id", "left_semi"), _WRITE_ORDER)

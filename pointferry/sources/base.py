@@ -56,6 +56,6 @@ def rejected(points: DataFrame) -> DataFrame:
     return points.filter(F.col(REJECT_COLUMN).isNotNull())
 
 
-def carried(df: DataFrame, source_ord: str | None) -> list[str]:
+def carried(source_ord: str | None) -> list[str]:
     """The order column to carry through a staging select, when there is one."""
     return [source_ord] if source_ord else []

@@ -26,7 +26,7 @@ def normalize_chroma(
         "document",
         "metadata",
         json_fields(F.col("metadata")).alias("_fields"),
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     with_id = with_field(F.coalesce(double_numbers(F.col("_fields")), no_fields()), id_field, F.col("id"))
     return to_points(

@@ -21,7 +21,7 @@ def normalize_mongodb(
     """Only listed fields are tried as vectors; one that is not a list of doubles stays payload."""
     if not vector_fields:
         raise ValueError("vector_fields is required")
-    staged = raw.select(json_fields(F.col("doc")).alias("_fields"), *carried(raw, source_ord))
+    staged = raw.select(json_fields(F.col("doc")).alias("_fields"), *carried(source_ord))
     doc_id = F.try_element_at(F.col("_fields"), F.lit("_id"))
     object_id = F.try_variant_get(doc_id, "$['$oid']", "string")
     id_text = F.when(F.schema_of_variant(doc_id) == "STRING", doc_id.try_cast("string")).otherwise(objectid_text(object_id))
@@ -30,7 +30,7 @@ def normalize_mongodb(
     ]
     has_id = (F.schema_of_variant(doc_id) == "STRING") | object_id.isNotNull()
     staged = staged.select(
-        "_fields", F.when(has_id, id_text).alias("_id_text"), *vectors, *carried(raw, source_ord)
+        "_fields", F.when(has_id, id_text).alias("_id_text"), *vectors, *carried(source_ord)
     )
     vector_columns = {f: F.col(f"_vec_{i}") for i, f in enumerate(vector_fields)}
     found = F.array(*[F.when(c.isNotNull(), F.lit(f)) for f, c in vector_columns.items()])

@@ -30,7 +30,7 @@ def normalize_pinecone(
         "sparse_values",
         "metadata",
         json_fields(F.col("metadata")).alias("_fields"),
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     has_sparse = F.col("sparse_indices").isNotNull() & F.col("sparse_values").isNotNull()
     return to_points(

@@ -25,7 +25,7 @@ def normalize_pg(
     A row whose vector is NULL keeps that column as a NULL payload field.
     """
     if columns:
-        raw = project(raw, columns + carried(raw, source_ord), key_column)
+        raw = project(raw, columns + carried(source_ord), key_column)
     fields = [f for f in raw.schema.fields if f.name != source_ord]
     vector_columns = [f.name for f in fields if f.name in vector_columns]
     key, key_type = F.col(key_column), raw.schema[key_column].dataType

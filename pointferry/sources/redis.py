@@ -31,7 +31,7 @@ def normalize_redis(
         "key",
         F.map_filter("fields", lambda k, _: ~k.isin(vector_names)).alias("_texts"),
         *[bytes_to_floats(F.try_element_at(F.col("fields"), F.lit(n))).alias(f"_vec_{i}") for i, n in enumerate(vector_names)],
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     fields = F.transform_values(
         "_texts",

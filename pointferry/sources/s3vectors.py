@@ -21,7 +21,7 @@ def normalize_s3_vectors(
         "data",
         "metadata",
         json_fields(typed_numbers(F.col("metadata"))).alias("_fields"),
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     return to_points(
         staged,

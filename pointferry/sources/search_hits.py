@@ -35,7 +35,7 @@ def _normalize_hits(
         "_id",
         json_fields(F.col("_source")).alias("_body"),
         (json_fields(F.col("fields")) if use_fields else no_fields()).alias("_extra"),
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     staged = staged.withColumns({"_body_cand": candidates("_body"), "_extra_cand": candidates("_extra")})
     staged = staged.withColumns(

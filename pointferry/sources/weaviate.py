@@ -30,7 +30,7 @@ def normalize_weaviate(
         "id",
         vector.alias("_vector"),
         json_fields(F.col("properties")).alias("_fields"),
-        *carried(raw, source_ord),
+        *carried(source_ord),
     )
     properties = F.map_filter(F.col("_fields"), lambda k, _: k != _SYSTEM_PROPERTY)
     return to_points(
