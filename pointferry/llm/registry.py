@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointferry.llm import decontam, licenses, quality, secrets, tokencount
+from pointferry.llm import decontam, licenses, lmscore, packing, quality, secrets, tokencount
 
-MODULES = (licenses, tokencount, quality, decontam, secrets)
+MODULES = (packing, licenses, tokencount, quality, decontam, secrets, lmscore)
 ENTRIES = {name: entry for module in MODULES for name, entry in module.ENTRIES.items()}
