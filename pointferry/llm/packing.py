@@ -19,13 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pointferry.llm.textkit import documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import Kept, documents, id_and_text, with_doc_id
 from pointferry.session import scratch_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 250_000
-LONGEST_KEY = 64
+CACHED = 150_000  # entries of each generation of a worker's two caches
 RUN_ROWS = 20_000  # rows of one size that one task ranks
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 # How byte-level models write bytes that are no visible characters.
@@ -33,8 +32,8 @@ _BYTE_CHARS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
-class WordIds(dict):
-    """Packed little-endian ids of words; what is missing is encoded and kept while there is room.
+class WordIds:
+    """Packed little-endian ids of texts, by way of their words.
 
     The tokenizer drops white space and never joins over it, so the ids of a text are those of its
     words. A plain word is encoded without its last mark and in lower case, which the tokenizer
@@ -44,42 +43,28 @@ class WordIds(dict):
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(file)
-        self.cores: dict[str, bytes] = {}
+        self.cores = Kept(self._core, CACHED)
+        self.words = Kept(self._word, CACHED)
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _core(self, text: str) -> bytes:
-        ids = self.cores.get(text)
-        if ids is None:
-            if text.isalpha():  # one pre-token; the model reads its bytes as characters
-                seen = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
-                ids = np.asarray([t.id for t in self.tokenizer.model.tokenize(seen)], "<u4").tobytes()
-            else:
-                ids = self._encode(text)
-            if len(text) <= LONGEST_KEY:
-                if len(self.cores) >= CACHED:
-                    self.cores.clear()
-                self.cores[text] = ids
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
+        if not text.isalpha():
+            return self._encode(text)
+        # One pre-token; the model reads its bytes as characters.
+        seen = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return np.asarray([t.id for t in self.tokenizer.model.tokenize(seen)], "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
-        if plain:
-            ids = self._core(plain[1].lower()) + (self._core(plain[2]) if plain[2] else b"")
-        else:
-            ids = self._encode(word)
-        if len(word) <= LONGEST_KEY:
-            if len(self) >= CACHED:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
+        if not plain:
+            return self._encode(word)
+        return self.cores[plain[1].lower()] + (self.cores[plain[2]] if plain[2] else b"")
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
 def token_pieces(

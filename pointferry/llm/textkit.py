@@ -27,6 +27,26 @@ class _Memo(dict):
 
 _powers = _Memo()
 
+
+class Kept(dict):
+    """Values made once and kept in two generations: when the newer is full it becomes the older, whose values go."""
+
+    def __init__(self, make: Callable, room: int, longest: int = 64):
+        super().__init__()
+        self.make, self.room, self.longest = make, room, longest
+        self.older: dict = {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.room:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
 # Separator classes, one flag per byte value; bytes of multi-byte characters are word bytes.
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True

@@ -14,12 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pointferry.llm.textkit import documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import Kept, documents, id_and_text, with_doc_id
 
 LIMIT = 4096
 FREQUENT = 65_536  # rows of the broadcast table, whatever the corpus
 OFFERED = 4_096  # rows each task offers for it
-CACHED = 250_000  # entries of a worker's cache
+CACHED = 200_000  # entries of a generation of a worker's cache, and of a task's counter
 LONGEST_KEY = 64
 _SPACED = re.compile(r" *[^ ]+| +\Z")
 COLUMNS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -48,35 +48,32 @@ def pretokens(text: str) -> list[str]:
     return parts
 
 
-class Lengths(dict):
-    """Token counts of pre-tokens; what is missing is encoded and kept while there is room."""
+class Lengths:
+    """Token counts of texts: first tier the broadcast table, second tier what this worker has encoded."""
 
     def __init__(self, model_file: str, frequent: dict[str, int]):
         import sentencepiece
 
-        super().__init__(frequent)
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.room = len(frequent) + CACHED
         self.frequent = frequent
+        self.parts = Kept(self._look_up, CACHED)
 
-    def __missing__(self, part: str) -> int:
+    def _look_up(self, part: str) -> int:
+        n = self.frequent.get(part)
+        return self.encoded(part) if n is None else n
+
+    def encoded(self, part: str) -> int:
+        """The tokens of a pre-token; before a line break the model puts a space, which is not the text's."""
         if part.startswith("\n"):
-            n = len(self.model.encode(part)) - 1
-        else:
-            n = len(self.model.encode(part)) if part else 1
-        if len(part) <= LONGEST_KEY:
-            if len(self) >= self.room:
-                self.clear()
-                self.update(self.frequent)
-            self[part] = n
-        return n
+            return len(self.model.encode(part)) - 1
+        return len(self.model.encode(part)) if part else 1
 
     def count(self, text: str) -> int:
         if not text:
             return 0
         if "▁" in text or "\0" in text:  # characters the model treats in its own way
             return len(self.model.encode(text))
-        return sum(map(self.__getitem__, pretokens(text)))
+        return sum(map(self.parts.__getitem__, pretokens(text)))
 
 
 def frequent_pretokens(docs: DataFrame) -> list[str]:
@@ -109,10 +106,9 @@ def count_tokens(df: DataFrame, model: str = "piece_bpe_32k.model", limit: int =
     A null or empty text has no tokens. Repeated rows give repeated results. Very long texts are
     counted whole. There is no shuffle of texts or pre-tokens.
     """
-    model_file = _path(model)
     docs = id_and_text(df, id_col, text_col)
-    frequent = Lengths(model_file, {})
-    table = docs.sparkSession.sparkContext.broadcast({part: frequent[part] for part in frequent_pretokens(docs)})
+    lengths = Lengths(_path(model), {})
+    table = docs.sparkSession.sparkContext.broadcast({part: lengths.encoded(part) for part in frequent_pretokens(docs)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = Lengths(_path(model), table.value)
