@@ -2,19 +2,63 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pointferry.llm.decontam import find_contamination
+from pointferry.llm.jaccard import jaccard_components
+from pointferry.llm.packing import pack_documents
 from pointferry.llm.quality import judge_documents
+from pointferry.llm.secrets import redacted, scan_secrets
+from pointferry.llm.textkit import as_before
+from pointferry.operators.sizing import broadcast_if_small
 from pointferry.session import scratch_dir
 
+LENGTH = "n_chars"  # the column that follows the text's length, if the table has it
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the line rules, without their failing lines."""
-    judged = judge_documents(docs, with_text=True)
-    return judged.where("kept")
+    """Documents that pass the line rules, without their failing lines. A null or empty text fails."""
+    judged = judge_documents(docs, carry=True).where("kept").withColumnRenamed("clean_text", "text")
+    return as_before(judged, docs.columns, length_col=LENGTH)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the least id.
+
+    Rows without an id can't be told apart and all stay.
+    """
+    groups = jaccard_components(docs, 5, Fraction(8, 10))
+    gone = groups.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(broadcast_if_small(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=True)
+    return as_before(found.where(F.size("hit_spans") == 0), docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in the place of every secret."""
+    found = scan_secrets(docs, carry=True)
+    return as_before(found.withColumn("text", redacted()), docs.columns, length_col=LENGTH)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their places in sequences."""
+    return pack_documents(docs).drop("ids")
 
 
-STAGES = [("quality rules", quality_rules)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("best-fit packing", best_fit_packing),
+]
+# Line rules, character models and tokenizers have no SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
@@ -22,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        folder = scratch_dir(spark, name.replace(" ", "-"))
+        folder = scratch_dir(spark, name.replace(" ", "-").lower())
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs

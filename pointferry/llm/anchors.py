@@ -170,7 +170,7 @@ class RepeatedWindows:
         self.units, self.n, self.k, self.within, self.resolve = units, n, k, within, resolve
 
     def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, set[int], list[tuple[int, bytes]]]:
-        left = left.sort_by("doc_id")
+        left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         texts = left.column("text").combine_chunks()
         kinds = right.column("kind").to_pylist()
         numbers = right.column("number").to_pylist()
@@ -336,7 +336,7 @@ class RepeatedWindows:
             earlier = w_owner[at] < doc
             if self.within:
                 earlier |= (w_owner[at] == doc) & (w_start[at] < unit - units.units_at[seg.row[of]])
-            return result(left.sort_by("doc_id"), units, copies, unit[earlier])
+            return result(left.sort_by([("doc_id", "ascending"), ("text", "ascending")]), units, copies, unit[earlier])
 
         return finish
 
@@ -344,13 +344,12 @@ class RepeatedWindows:
         """``result(documents, units, copies, starts)`` makes the rows of a chunk; ``starts`` are repeated windows' first units."""
         spark = docs.sparkSession
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # Identical rows are one document; ids are unique among what is left.
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         chunks = max(1, -(-total // CHUNK_BYTES))
         chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
         dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
         copies = copies_of(docs).select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))
-        anchor_shards, shards = max(1, chunks // 4), max(1, chunks // 2)
+        anchor_shards, shards = max(1, chunks // 4), chunks
         sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(self._ask(anchor_shards), _SENT)
         met = sent.groupBy("shard").applyInArrow(self._met, _BACK)
         segments = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(self._send(anchor_shards, shards), _SENT)
@@ -358,8 +357,14 @@ class RepeatedWindows:
         return dealt.groupBy("chunk").cogroup(copies.unionAll(owners).groupBy("chunk")).applyInArrow(self._finish(result), schema)
 
 
-def copies_of(docs: DataFrame) -> DataFrame:
-    """Ids of documents whose whole text is that of one with a smaller id."""
+def copies_of(docs: DataFrame, salts: int = 32) -> DataFrame:
+    """Ids of documents whose whole text is that of one with a smaller id.
+
+    Copies of one text may be many: they are dealt over salts, to which the few texts that have
+    copies are replicated.
+    """
     digests = docs.select("doc_id", F.sha2("text", 256).alias("digest"))
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").select("digest", "first")
-    return digests.join(first, "digest").where("doc_id > first").select("doc_id").distinct()
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    first = first.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    return salted.join(first, ["digest", "salt"]).where("doc_id > first").select("doc_id").distinct()

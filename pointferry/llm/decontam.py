@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pointferry.llm.textkit import LOWER, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, text_bytes, with_doc_id, word_bounds, word_codes
 
@@ -161,9 +162,10 @@ def _search(batch: pa.RecordBatch, benchmark: Benchmark, slack: int, share: floa
         items += [sorted(x) for x in row_items]
         near.append(n_near)
     join = lambda parts: pa.array(np.concatenate(parts), pa.int64())
+    carried = [c for c in ("text", "rest") if "rest" in batch.schema.names]
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), batch.column("row"), join(n_words), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))), pa.array(items, pa.list_(pa.int64())), join(near)],
-        names=["doc_id", "row", "n_words", "hit_spans", "items", "n_near"],
+        [batch.column("doc_id"), batch.column("row"), join(n_words), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))), pa.array(items, pa.list_(pa.int64())), join(near), *map(batch.column, carried)],
+        names=["doc_id", "row", "n_words", "hit_spans", "items", "n_near", *carried],
     )
 
 
@@ -179,14 +181,19 @@ def benchmark_parts(benchmark: DataFrame, item_col: str, text_col: str, part_byt
 def find_contamination(
     df: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = NEAR_SLACK, near_share: float = NEAR_SHARE,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES,
+    carry: bool = False,
 ) -> DataFrame:
     """Per document: runs of hit words (``hit_spans``), the items found, and proximity matches (``n_near``).
 
     A null or empty text has no words. Repeated documents give repeated results; a repeated item
     counts once. An empty benchmark hits nothing. A benchmark above ``part_bytes`` is searched in
-    parts, a scan of the documents for each, and the parts' results are merged per document.
+    parts, a scan of the documents for each, and the parts' results are merged per document. ``carry``
+    adds ``text`` and ``rest``, the document's other columns.
     """
-    docs = id_and_text(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    docs = id_and_text(df, id_col, text_col, carry).withColumn("row", F.monotonically_increasing_id())
+    schema = StructType.fromDDL(FOUND)
+    if carry:
+        schema = schema.add("text", "string").add(docs.schema["rest"])
     context = df.sparkSession.sparkContext
     found = []
     for part in benchmark_parts(benchmark, item_col, item_text_col, part_bytes):
@@ -200,7 +207,7 @@ def find_contamination(
                 if batch.num_rows:
                     yield _search(batch, wanted, slack, near_share)
 
-        found.append(docs.mapInArrow(run, FOUND))
+        found.append(docs.mapInArrow(run, schema))
     if len(found) == 1:
         return with_doc_id(found[0].drop("row"), id_col)
     merged = found[0]
@@ -209,6 +216,7 @@ def find_contamination(
     merged = merged.groupBy("doc_id", "row").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sum("n_near").alias("n_near"),
+        *(F.first(c).alias(c) for c in ("text", "rest") if carry),
     )
     return with_doc_id(merged.drop("row"), id_col)
 

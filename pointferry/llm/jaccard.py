@@ -34,6 +34,7 @@ SHINGLE, THRESHOLD = 5, Fraction(8, 10)
 REGION = 256  # documents of a region in one task
 BLOCK = 1024  # replicated documents in one task
 CLASSES = 64
+SALTS = 32  # over which equal sets are dealt
 COPY, REPLY = 0, 1
 _SENT = "shard long, chunk long, payload binary"
 _BACK = "chunk long, kind int, number long, payload binary"
@@ -152,7 +153,7 @@ class _Chunk:
     """The sets of a chunk's documents that stand for their equals."""
 
     def __init__(self, left: pa.Table, right: pa.Table, n: int, threshold: Fraction):
-        left = left.sort_by("doc_id")
+        left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids = left.column("doc_id").to_numpy()
         kinds, numbers = right.column("kind").to_pylist(), right.column("number").to_pylist()
         out = {i for k, i in zip(kinds, numbers) if k == COPY}
@@ -344,7 +345,8 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
 
     Two documents link when the Jaccard similarity of their sets is the threshold or more. A text of
     fewer words has its whole sequence as its one shingle; without words (a null or empty text) the
-    set is empty and links with nothing. A repeated row links with itself. An empty table gives none.
+    set is empty and links with nothing. Rows with one id are one document, of which the first text in
+    order is compared with others, and all rows with a null id are one; an empty table gives none.
     """
     docs = id_and_text(df, id_col, text_col)
     spark = docs.sparkSession
@@ -353,8 +355,10 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
     digests = spark.read.schema("doc_id long, n_shingles long, digest_a long, digest_b long").parquet(f"{folder}/digests")
     # Without a set a document stands for itself. Equal sets: the least id stands for all.
     keys = ["n_shingles", "digest_a", "digest_b"]
-    first = digests.where("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first").drop("last")
-    equal = digests.join(first, keys).select("doc_id", "first").where("doc_id > first").distinct()
+    first = digests.where("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    first = first.select(*keys, "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    equal = salted.join(first, [*keys, "salt"]).where("doc_id > first").groupBy("doc_id").agg(F.min("first").alias("first"))
     equal.write.parquet(f"{folder}/equal")
     equal = spark.read.schema("doc_id long, first long").parquet(f"{folder}/equal")
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from pointferry.llm.textkit import SPACES, counts_in_rows, documents, id_and_text, per_batch, row_of, slices, window_codes, with_doc_id, word_bounds, word_codes
 
@@ -114,11 +115,12 @@ def _judge(text: str, rules: LineRules) -> tuple[int, int, int, float, str]:
     return repeated, n, bad, lost / words if words else 0.0, "\n".join(kept)
 
 
-def judge_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules | None = None, with_text: bool = True) -> DataFrame:
+def judge_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: LineRules | None = None, with_text: bool = True, carry: bool = False) -> DataFrame:
     """Per document: its counts, the verdict, and the text without failing lines.
 
     A null or empty text has no words, so it fails. A repeated row gives a repeated result; an
-    empty table gives none. ``clean_text`` is null unless ``with_text``. There is no shuffle.
+    empty table gives none. ``clean_text`` is null unless ``with_text``; ``carry`` adds ``rest``, the
+    document's other columns. There is no shuffle.
     """
     rules = rules or LineRules()
 
@@ -136,11 +138,16 @@ def judge_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 pa.array([j[0] for j in judged], pa.int64()), pa.array(repeats, pa.int64()), pa.array(failed), pa.array(~failed & (share <= rules.max_lost_share)),
                 pa.array([j[1] for j in judged], pa.int64()), pa.array([j[2] for j in judged], pa.int64()), pa.array(share),
                 pa.array([j[4] for j in judged], pa.string()) if with_text else pa.nulls(len(judged), pa.string()),
+                *([batch.column("rest")] if carry else []),
             ],
-            names=[c.split()[0] for c in COLUMNS.split(", ")],
+            names=[c.split()[0] for c in COLUMNS.split(", ")] + ["rest"] * carry,
         )
 
-    return with_doc_id(id_and_text(df, id_col, text_col).mapInArrow(per_batch(run), COLUMNS), id_col)
+    docs = id_and_text(df, id_col, text_col, carry)
+    schema = StructType.fromDDL(COLUMNS)
+    if carry:
+        schema = schema.add(docs.schema["rest"])
+    return with_doc_id(docs.mapInArrow(per_batch(run), schema), id_col)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,14 +92,14 @@ def _ratio(token: Column, table: Column) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, samples: DataFrame | None = None) -> DataFrame:
+def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, samples: DataFrame | None = None, carry: bool = False) -> DataFrame:
     """Per document: ``text`` and ``spans``, an array of (start, order, end, kind) in the order of places.
 
     Places are code points, the end is exclusive; ``order`` numbers the kinds. A null or empty text
     has no spans. Repeated rows give repeated results. A token that overlaps a base span, or lacks a
-    digit or a letter, is no further span.
+    digit or a letter, is no further span. ``carry`` adds ``rest``, the document's other columns.
     """
-    docs = id_and_text(df, id_col, text_col)
+    docs = id_and_text(df, id_col, text_col, carry)
     table = F.split(F.lit(",".join(map(str, ratios(samples if samples is not None else labelled_samples(docs))))), ",").cast("array<double>")
     found = _found(docs, "text", ASSIGN, "assign", 2)
     found = _found(found, "text", ACCESS, "access")
@@ -119,7 +119,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = found.withColumn("candidates", F.filter("candidates", lambda m: mixed(m["value"]) & apart(m)))
     found = found.withColumn("candidates", F.filter("candidates", lambda m: _ratio(m["value"], table) > threshold))
     found = found.withColumn("spans", F.array_sort(F.concat("base", spans("candidates"))))
-    return with_doc_id(found.select("doc_id", "text", "spans"), id_col)
+    return with_doc_id(found.select("doc_id", "text", "spans", *["rest"] * carry), id_col)
 
 
 def redacted(text: str = "text", spans: str = "spans", mark: str = MARK) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -57,17 +57,42 @@ LOWER[0x41:0x5B] += 32
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids and whole texts of the documents table; a null text is an empty one."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """The documents table of a query."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under its own names; other columns may have any names."""
-    return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
+NO_ID = (1 << 63) - 1  # stands for a null id inside operators; the result has the null again
+
+
+def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """The two columns an operator reads, under its own names; other columns may have any names.
+
+    With ``carry`` a third column, ``rest``, holds all columns but the text.
+    """
+    chosen = [F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text")]
+    if carry:
+        chosen.append(F.struct(*(df[f"`{c}`"] for c in df.columns if c != text_col)).alias("rest"))
+    return df.select(*chosen)
 
 
 def with_doc_id(df: DataFrame, id_col: str) -> DataFrame:
-    return df if id_col == "doc_id" else df.withColumnRenamed("doc_id", id_col)
+    """A result under the caller's name of the id, with null ids restored."""
+    named = F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias(id_col)
+    return df.select(*(named if c == "doc_id" else df[c] for c in df.columns))
+
+
+def as_before(df: DataFrame, columns: list[str], text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """The columns a carried table came from, with its present text and, if named, that text's length."""
+    rest = df.schema["rest"].dataType if "rest" in df.columns else None
+    made = []
+    for c in columns:
+        if c == text_col:
+            made.append(F.col("text").alias(c))
+        elif c == length_col:
+            made.append(F.length("text").cast(rest[c].dataType).alias(c))
+        else:
+            made.append(F.col("rest").getField(c).alias(c))
+    return df.select(*made)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -175,6 +200,3 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Itera
 
     return run
 
-
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
