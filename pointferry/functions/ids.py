@@ -79,9 +79,29 @@ def key_to_string(key: Column, data_type: T.DataType) -> Column:
         fraction = F.regexp_replace(F.date_format(key.cast("timestamp_ntz"), ".SSSSSS"), r"\.?0*$", "")
         seconds = F.date_format(key.cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
         return F.concat(seconds, fraction, F.lit(" +0000 UTC"))
+    if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
+        return float_text(key, 32 if isinstance(data_type, T.FloatType) else 64)
     return key.cast("string")
 
 
+def float_text(key: Column, bits: int = 64) -> Column:
+    """A float by its fewest digits: plain, and with a two-digit exponent below 1e-4 and from 1e21 on."""
+    kind, digits = ("double", (15, 16, 17)) if bits == 64 else ("float", (6, 7, 8, 9))
+    size = F.abs(key.cast("double"))
+    # The first of these texts that reads back as the same number; the last always does.
+    texts = [F.format_string(f"%.{n - 1}e", key) for n in digits]
+    text = F.coalesce(*[F.when(t.cast(kind) == key, t) for t in texts[:-1]], texts[-1])
+    mantissa = F.regexp_replace(F.substring_index(text, "e", 1), r"\.?0*$", "")
+    wide = F.when(size >= 1, text.try_cast("decimal(38,16)").cast("string")).otherwise(text.try_cast("decimal(38,24)").cast("string"))
+    return (
+        F.when(F.isnan(key), F.lit("NaN"))
+        .when(size == float("inf"), F.when(key > 0, F.lit("+Inf")).otherwise(F.lit("-Inf")))
+        .when(size == 0, F.regexp_replace(key.cast("string"), r"\.0$", ""))
+        .when((size < 1e-4) | (size >= 1e21), F.concat(mantissa, F.lit("e"), F.substring_index(text, "e", -1)))
+        .otherwise(F.regexp_replace(F.regexp_replace(wide, "0+$", ""), r"\.$", ""))
+    )
+
+
 def objectid_text(hex_text: Column) -> Column:
     """The printed form of a document store's object id; this text is hashed and kept."""
     return F.format_string('ObjectID("%s")', hex_text)

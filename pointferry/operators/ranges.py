@@ -6,15 +6,10 @@ next to the progress records, so a resumed run sees the same ranges.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 SAMPLES_PER_WORKER = 10
 
-# Up to here the ranges become a decision tree in generated code; above, a sorted search per batch.
-MAX_TREE_BOUNDARIES = 256
-
 
 def boundary_sample(df: DataFrame, key: str, workers: int, seed: int = 0) -> DataFrame:
     """``min(10 * workers, rows)`` random keys in key order; only the key column is read.
@@ -69,41 +64,32 @@ def boundaries_of(ranges: DataFrame) -> list:
     return [r["end_key"] for r in rows]
 
 
-def range_id_of(key: Column, boundaries: list) -> Column:
+def range_id_of(key: Column, boundaries: list, key_type: T.DataType) -> Column:
     """The number of the range a key falls in: how many boundaries lie below it.
 
-    A balanced tree of comparisons, so a row costs log2(ranges) comparisons in generated code and
-    no join is needed.
+    A binary search in an array of the boundaries, for any number and any ordered type of them; a
+    row costs log2(ranges) comparisons and there is no join and no Python.
     """
+    if not boundaries:
+        return F.when(key.isNotNull(), F.lit(0))
+    ends = F.array(*map(F.lit, boundaries)).cast(T.ArrayType(key_type))
+    low_high = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
 
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= F.lit(boundaries[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return F.when(key.isNotNull(), tree(0, len(boundaries)).cast("int"))
-
-
-def _range_id_search(key: Column, boundaries: list) -> Column:
-    ends = np.array(boundaries, dtype=object if isinstance(boundaries[0], str) else None)
-
-    @F.pandas_udf("int")
-    def search(keys: pd.Series) -> pd.Series:
-        out = np.full(len(keys), -1)
-        present = keys.notna().to_numpy()
-        out[present] = np.searchsorted(ends, keys[present].to_numpy(), side="left")
-        return pd.Series(out).where(pd.Series(present))
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        below = key <= F.element_at(ends, middle + 1)
+        open_ = s["low"] < s["high"]
+        return F.when(open_ & below, low_high(s["low"], middle)).when(open_, low_high(middle + 1, s["high"])).otherwise(s)
 
-    return search(key)
+    rounds = F.sequence(F.lit(1), F.lit(len(boundaries).bit_length()))
+    found = F.aggregate(rounds, low_high(F.lit(0), F.lit(len(boundaries))), halve, lambda s: s["low"])
+    return F.when(key.isNotNull(), found)
 
 
 def assign_ranges(df: DataFrame, key: str, ranges: DataFrame | list, name: str = "range_id") -> DataFrame:
     """Rows with the number of their range; a NULL key has none."""
     boundaries = ranges if isinstance(ranges, list) else boundaries_of(ranges)
-    if len(boundaries) <= MAX_TREE_BOUNDARIES:
-        return df.withColumn(name, range_id_of(F.col(key), boundaries))
-    return df.withColumn(name, _range_id_search(F.col(key), boundaries))
+    return df.withColumn(name, range_id_of(F.col(key), boundaries, df.schema[key].dataType))
 
 
 def range_partitions(df: DataFrame, key: str, partitions: int) -> DataFrame:

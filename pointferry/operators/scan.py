@@ -86,9 +86,10 @@ def exact_count(df: DataFrame, by: list[str] | None = None, name: str = "n_rows"
 def list_then_fetch(ids: DataFrame, records: DataFrame, key: str) -> DataFrame:
     """The records of a list of ids, each once; an id without a record is skipped.
 
-    Repeats in the list are dropped before the shuffle, whose partitioning the join then reuses.
+    Repeats in the list are dropped first. What is left is measured: when it is small the records
+    are not shuffled.
     """
-    return records.join(ids.select(key).distinct(), key, "left_semi")
+    return records.join(broadcast_if_small(ids.select(key).distinct(), "listed-ids"), key, "left_semi")
 
 
 def split_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

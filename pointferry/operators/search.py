@@ -8,12 +8,14 @@ the broadcast query matrix and keeps ``k`` candidates per query, so what is shuf
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pointferry.operators.sizing import broadcast_if_small
+from pointferry.session import scratch_dir
+
 METRICS = ("cosine", "dot", "euclid", "manhattan")
 
 # Bytes of query vectors handed to every task at once; more queries take more passes over the points.
@@ -93,8 +95,8 @@ def _local_topk(query_ids: list[str], matrix: np.ndarray, k: int, metric: str):
         found = [(np.empty(0, dtype="U1"), np.empty(0)) for _ in range(n_queries)]
         worst = np.full(n_queries, np.inf)
         full = np.zeros(n_queries, dtype=bool)
-        # Bounds the difference block, points * queries * dimensions, to some tens of MB.
-        step = max(1, (4 << 20) // max(1, n_queries * dim)) if metric in ("euclid", "manhattan") else 1 << 14
+        # Bounds a block of points * queries, times dimensions where differences are held, to some tens of MB.
+        step = max(1, (4 << 20) // max(1, n_queries * (dim if metric in ("euclid", "manhattan") else 1)))
         for batch in batches:
             vectors = batch.column("vector")
             if (np.asarray(vectors.value_lengths()) != dim).any():
@@ -104,13 +106,14 @@ def _local_topk(query_ids: list[str], matrix: np.ndarray, k: int, metric: str):
             for at in range(0, len(ids), step):
                 part = _distances(rows[at : at + step], matrix, metric)
                 names = ids[at : at + step]
-                near = (part <= worst[:, None]) | ~full[:, None]
+                # A NaN is as far as it gets; compared as such it shuts out nothing nearer.
+                near = (np.where(np.isnan(part), np.inf, part) <= worst[:, None]) | ~full[:, None]
                 for q in np.flatnonzero(near.any(axis=1)):
                     all_ids = np.concatenate([found[q][0], names[near[q]]])
                     all_dist = np.concatenate([found[q][1], part[q][near[q]]])
                     found[q] = _keep_nearest(all_ids, all_dist, k)
                     full[q] = len(found[q][1]) >= k
-                    worst[q] = found[q][1][-1]
+                    worst[q] = np.inf if np.isnan(found[q][1][-1]) else found[q][1][-1]
         for q in range(n_queries):
             point_ids, dist = found[q]
             if len(dist):
@@ -142,8 +145,9 @@ def nearest_batch(
 
     ``points`` is (point_id string, vector), already filtered by payload; ``queries`` is
     (query_id string, vector). The size of all queries is measured first. If it is within the
-    bound they go to the tasks at once; else they are cut by a hash of their id into slices below
-    the bound and each slice takes its own pass, so nothing is left out.
+    bound they go to the tasks at once; else they are cut by a hash of their id into slices of about
+    half the bound. Each slice takes its own pass, one after the other, and leaves its candidates in
+    the shared scratch folder, so the driver holds one slice at a time and nothing is left out.
     """
     _check_metric(metric)
     points = points.select(F.col("point_id").cast("string"), F.col("vector").cast("array<float>")).filter("vector is not null")
@@ -158,7 +162,7 @@ def nearest_batch(
         raise ValueError("the query vectors differ in size")
     slices = -(-size["n"] * size["dim"] * 8 // max_query_bytes)
     slices = slices if slices == 1 else slices * 2
-    parts = []
+    folder = scratch_dir(points.sparkSession, "candidates")
     for number in range(slices):
         chosen = queries if slices == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
         table = chosen.toArrow()
@@ -166,11 +170,18 @@ def nearest_batch(
             continue
         flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         matrix = flat.astype("<f8").reshape(table.num_rows, size["dim"])
-        parts.append(points.mapInArrow(_local_topk(table.column("query_id").to_pylist(), matrix, k, metric), out_schema))
-    candidates = reduce(DataFrame.unionByName, parts)
-    return _merge_topk(candidates, k)
+        found = points.mapInArrow(_local_topk(table.column("query_id").to_pylist(), matrix, k, metric), out_schema)
+        if slices == 1:
+            return _merge_topk(found, k)
+        found.write.mode("append").parquet(folder)
+    return _merge_topk(points.sparkSession.read.schema(out_schema).parquet(folder), k)
 
 
 def lookup_text(found: DataFrame, texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The text of every found id, or the empty text where there is none."""
-    return found.join(texts.select(key, text), key, "left").withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    """The text of every found id, or the empty text where there is none.
+
+    The ids are measured; when they are few the texts are not shuffled to find theirs.
+    """
+    wanted = broadcast_if_small(found.select(key).distinct(), "found-ids")
+    there = texts.select(key, text).join(wanted, key, "left_semi")
+    return found.join(there, key, "left").withColumn(text, F.coalesce(F.col(text), F.lit("")))

@@ -32,7 +32,8 @@ def compare_points(expected: DataFrame, actual: DataFrame) -> DataFrame:
     Content is reduced to hashes before the join, so only ids and two numbers per point are
     shuffled, not payloads and vectors. Two 64-bit hashes with different seeds stand for the
     content. Payloads are compared in their canonical JSON form together with the kinds of their
-    fields, vectors in name order.
+    fields, vectors in name order. An id that a side holds more than once is one row: it is the same
+    when both sides hold the same contents as often.
     """
 
     def digest(points: DataFrame, prefix: str) -> DataFrame:
@@ -42,17 +43,16 @@ def compare_points(expected: DataFrame, actual: DataFrame) -> DataFrame:
             canonical_vectors(F.col("vectors")),
             F.col("shard_key"),
         ]
-        return points.select(
-            "id",
-            F.xxhash64(*content).alias(f"{prefix}_h1"),
-            F.xxhash64(F.lit("second"), *content).alias(f"{prefix}_h2"),
-        )
+        hashed = points.select("id", F.xxhash64(*content).alias("h1"), F.xxhash64(F.lit("second"), *content).alias("h2"))
+        # Sums of whole numbers tell sets with repeats apart and are combined before the shuffle.
+        wide = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+        return hashed.groupBy("id").agg(F.count(F.lit(1)).alias(f"{prefix}_n"), wide("h1").alias(f"{prefix}_h1"), wide("h2").alias(f"{prefix}_h2"))
 
     joined = digest(expected, "e").join(digest(actual, "a"), "id", "full_outer")
     status = (
         F.when(F.col("a_h1").isNull(), F.lit("missing"))
         .when(F.col("e_h1").isNull(), F.lit("extra"))
-        .when((F.col("e_h1") == F.col("a_h1")) & (F.col("e_h2") == F.col("a_h2")), F.lit("same"))
+        .when((F.col("e_n") == F.col("a_n")) & (F.col("e_h1") == F.col("a_h1")) & (F.col("e_h2") == F.col("a_h2")), F.lit("same"))
         .otherwise(F.lit("changed"))
     )
     return joined.select("id", status.alias("status"))

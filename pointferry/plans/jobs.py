@@ -16,6 +16,9 @@ from pointferry.sinks.point_table import PointTable
 from pointferry.streaming.progress import ProgressStore, resume_ranges
 
 
+DEFAULT_STEPS = 4
+
+
 @dataclass
 class CopyReport:
     source_count: int
@@ -27,10 +30,15 @@ class CopyReport:
         return self.target_count >= self.source_count
 
 
-def copy_all(raw: DataFrame, normalizer: Callable[[DataFrame], DataFrame], table: PointTable, source: str, run: int = 0) -> CopyReport:
-    """One pass over a staged export. ``run`` tells a repeat of this run from a new one."""
-    folder = table.append(normalizer(raw), writer=source, batch=run)
-    return CopyReport(table.count_commit(folder), table.read().count(), 1)
+def copy_all(raw: DataFrame, normalizer: Callable[[DataFrame], DataFrame], table: PointTable, source: str, run: int) -> CopyReport:
+    """One pass over a staged export.
+
+    ``run`` is the caller's number of this run: the same number again is a repeat, which writes
+    nothing; an export that has grown is copied under a new number.
+    """
+    table.append(normalizer(raw), writer=source, batch=run)
+    # The source is counted, not the commit: after a repeat of an old run the two differ.
+    return CopyReport(raw.count(), table.read().count(), 1)
 
 
 def copy_ranges(
@@ -53,8 +61,13 @@ def copy_ranges(
     distributed job over its ranges; when it is through, every range of it stores its own offset
     and count. The key must be unique and never NULL, see split_keys().
 
+    What a step covers is measured on the key column first: the last key and the count of each
+    range. Exactly those rows are written, those numbers name the commit, and those are stored, so
+    a source that grows meanwhile, or between runs, is neither skipped nor counted unwritten. A
+    range without an end that is empty so far stores nothing.
+
     A step reads what its outer bounds do not prune, which is little where the export is sorted or
-    indexed by the key. For an unsorted one take few steps: one, the default, reads it once.
+    indexed by the key. The default is ``DEFAULT_STEPS`` steps; for an unsorted export take one.
     """
     spark: SparkSession = raw.sparkSession
     plan_name = f"{source}-workers-{workers}-plan"
@@ -74,14 +87,19 @@ def copy_ranges(
     boundaries = [r["end_key"] for r in ranges.filter("end_key is not null").orderBy("range_id").collect()]
 
     pending = [r for r in resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect() if not r["done"]]
-    per_step = ranges_per_step or max(1, len(pending))
+    per_step = ranges_per_step or max(1, -(-len(pending) // DEFAULT_STEPS))
     steps = [pending[i : i + per_step] for i in range(0, len(pending), per_step)]
     for step in steps:
         rows = _step_rows(raw, key, boundaries, step)
-        # Names exactly what the step covers, so only a repeat of the very same step is skipped.
-        covers = hashlib.sha256(repr([(r["range_id"], r["start_key"]) for r in step]).encode()).hexdigest()[:16]
-        table.append(normalizer(rows.drop("range_id")), writer=f"{source}-{run_id}-{covers}")
-        progress.store(_range_offsets(spark, rows, key, step))
+        seen = {r["range_id"]: (r["last_key"], r["n"]) for r in rows.groupBy("range_id").agg(F.max(key).alias("last_key"), F.count(F.lit(1)).alias("n")).collect()}
+        if seen:
+            open_end = next((r["range_id"] for r in step if r["end_key"] is None and r["range_id"] in seen), None)
+            if open_end is not None:
+                rows = rows.filter((F.col("range_id") != open_end) | (F.col(key) <= F.lit(seen[open_end][0])))
+            # Names exactly what the step covers, so only a repeat of the very same step is skipped.
+            covers = hashlib.sha256(repr([(r["range_id"], r["start_key"], seen.get(r["range_id"])) for r in step]).encode()).hexdigest()[:16]
+            table.append(normalizer(rows.drop("range_id")), writer=f"{source}-{run_id}-{covers}")
+        progress.store(_range_offsets(spark, step, seen))
     report = CopyReport(raw.count(), table.read().count(), len(steps))
     if cleanup:
         progress.delete(source)
@@ -106,18 +124,13 @@ def _step_rows(raw: DataFrame, key: str, boundaries: list, step: list[Row]) -> D
     return rows
 
 
-def _range_offsets(spark: SparkSession, rows: DataFrame, key: str, step: list[Row]) -> DataFrame:
-    """Progress records of a step: the last key of each range and its count so far."""
-    covered = spark.createDataFrame(
-        [(r["range_id"], r["name"], None if r["end_key"] is None else str(r["end_key"]), r["done_count"]) for r in step],
-        "range_id int, name string, end_text string, done_count bigint",
-    )
-    seen = rows.groupBy("range_id").agg(F.max(key).cast("string").alias("last_key"), F.count(F.lit(1)).alias("n"))
-    # A closed range is through up to its end, also where its last rows lie before it.
-    offset = F.coalesce(F.col("end_text"), F.col("last_key"))
-    return covered.join(seen, "range_id", "left").select(
-        "name",
-        F.lit(None).cast("decimal(20,0)").alias("offset_num"),
-        offset.alias("offset_text"),
-        (F.col("done_count") + F.coalesce(F.col("n"), F.lit(0))).alias("offset_count"),
-    )
+def _range_offsets(spark: SparkSession, step: list[Row], seen: dict[int, tuple]) -> DataFrame:
+    """Progress records of a step: the end or last key of each range, and its count so far."""
+    rows = []
+    for r in step:
+        last, n = seen.get(r["range_id"], (None, 0))
+        # A closed range is through up to its end, also where its last rows lie before it.
+        offset = r["end_key"] if r["end_key"] is not None else last
+        rows.append((r["name"], None if offset is None else str(offset), r["done_count"] + n))
+    covered = spark.createDataFrame(rows, "name string, offset_text string, offset_count bigint")
+    return covered.select("name", F.lit(None).cast("decimal(20,0)").alias("offset_num"), "offset_text", "offset_count")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -51,11 +54,15 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Every executor must see it, so the folder named in ``spark.checkpoint.dir`` is used. Only
-    where that is unset (single-machine tests) a local one is made, once per session.
+    Every executor must see it, so the folder named in ``spark.checkpoint.dir`` is used. Where that
+    is unset a single-machine session gets a local one, once, which goes when Python ends; on a
+    cluster it is an error, since a machine's own folder would be read back in parts.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="pointferry-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

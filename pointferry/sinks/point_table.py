@@ -8,9 +8,10 @@ Layout below the table folder::
 A batch only ever adds a folder: an upsert costs what the batch weighs and never rewrites the
 table. Ids are hashes, so a batch touches every part of the table, and rewriting the parts it
 touches would mean rewriting all of it. Reading puts the last write per id of newer commits over
-the base; ``compact`` does that once and for all. A folder counts when Spark's own ``_SUCCESS``
-marker is in it, so a job that dies half-way leaves nothing visible, and a batch is found again by
-its writer and number, so repeating it changes nothing. One job writes a table at a time.
+the base; ``compact`` does that once and for all. A folder counts when the table's own marker is
+in it, which is made after the job that wrote it: a job that dies half-way leaves nothing visible,
+whatever the cluster's settings of Spark's committers. A batch is found again by its writer and
+number, so repeating it changes nothing. One job writes a table at a time.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pointferry.model import POINT_COLUMNS, POINT_SCHEMA
 from pointferry.operators.sizing import measured
 from pointferry.operators.upsert import latest_by_id, shard_write_layout, upsert
 
+MARKER = "_committed"
 _COMMIT_NAME = re.compile(r"^commit-(\d+)__(.*)__(\d+)$")
 _WRITE_ORDER = ["commit_seq", "source_ord"]
 _BASE_NAME = re.compile(r"^upto=(\d+)$")
@@ -54,26 +56,40 @@ class PointTable:
         matches = [pattern.match(s.getPath().getName()) for s in fs.listStatus(self._path(folder))]
         return sorted((m for m in matches if m), key=lambda m: int(m.group(1)))
 
-    def _finished(self, folder: str, name: str) -> bool:
-        return self._fs().exists(self._path(f"{folder}/{name}/_SUCCESS"))
+    def _finished(self, folder: str) -> set[str]:
+        """Names of the sub-folders with a marker, from one listing."""
+        found = self._fs().globStatus(self._path(f"{folder}/*/{MARKER}"))
+        return {s.getPath().getParent().getName() for s in found or []}
+
+    def _finish(self, folder: str) -> None:
+        self._fs().create(self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MARKER}"), True).close()
 
     def _state(self) -> tuple[int, list[re.Match]]:
         """The newest base's sequence number (0 is none) and the commits after it."""
-        bases = [m for m in self._names("base", _BASE_NAME) if self._finished("base", m.group(0))]
+        done = self._finished("base")
+        bases = [m for m in self._names("base", _BASE_NAME) if m.group(0) in done]
         upto = int(bases[-1].group(1)) if bases else 0
+        done = self._finished("commits")
         newer = [m for m in self._names("commits", _COMMIT_NAME) if int(m.group(1)) > upto]
-        return upto, [m for m in newer if self._finished("commits", m.group(0))]
+        return upto, [m for m in newer if m.group(0) in done]
 
     def append(self, points: DataFrame, writer: str, batch: int = 0) -> str:
-        """Write one batch and return its folder; a batch that is in the table already is not written again."""
+        """Write one batch and return its folder; a batch that is in the table already is not written again.
+
+        A point without an id fails the job: it could be neither replaced nor found.
+        """
         writer = quote(writer, safe="")
-        commits = self._names("commits", _COMMIT_NAME)
+        commits, done = self._names("commits", _COMMIT_NAME), self._finished("commits")
         for m in commits:
-            if m.group(2) == writer and int(m.group(3)) == batch and self._finished("commits", m.group(0)):
+            if m.group(2) == writer and int(m.group(3)) == batch and m.group(0) in done:
                 return f"{self.path}/commits/{m.group(0)}"
         numbers = [int(m.group(1)) for m in commits + self._names("base", _BASE_NAME)]
         folder = f"{self.path}/commits/commit-{max(numbers, default=0) + 1}__{writer}__{batch}"
-        points.select(*POINT_COLUMNS).write.mode("overwrite").parquet(folder)
+        id_ = F.col("id")
+        missing = id_.isNull() | (id_["num"].isNull() & id_["uuid"].isNull())
+        present = F.when(missing, F.raise_error(F.lit("a point of this batch has no id")).cast(points.schema["id"].dataType)).otherwise(id_)
+        points.withColumn("id", present).select(*POINT_COLUMNS).write.mode("overwrite").parquet(folder)
+        self._finish(folder)
         return folder
 
     def count_commit(self, folder: str) -> int:
@@ -124,7 +140,9 @@ class PointTable:
             return upto
         seq = int(commits[-1].group(1))
         latest = self.read() if upto else self._first_base(commits)
-        shard_write_layout(latest).write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/base/upto={seq}")
+        folder = f"{self.path}/base/upto={seq}"
+        shard_write_layout(latest).write.mode("overwrite").partitionBy("shard").parquet(folder)
+        self._finish(folder)
         return seq
 
     def _first_base(self, commits: list[re.Match]) -> DataFrame:
@@ -158,6 +176,6 @@ class PointTable:
         for m in self._names("commits", _COMMIT_NAME):
             if int(m.group(1)) <= upto:
                 for status in fs.listStatus(self._path(f"commits/{m.group(0)}")):
-                    if status.getPath().getName() != "_SUCCESS":
+                    if status.getPath().getName() != MARKER:
                         deleted += bool(fs.delete(status.getPath(), True))
         return deleted

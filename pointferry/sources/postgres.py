@@ -16,19 +16,29 @@ def normalize_pg(
     *,
     key_column: str,
     vector_columns: list[str],
+    json_columns: list[str] | None = None,
     columns: list[str] | None = None,
     source_ord: str | None = None,
     mode: str = "fail",
 ) -> DataFrame:
     """Vector columns become named vectors, all other columns, the key included, the payload.
 
-    A row whose vector is NULL keeps that column as a NULL payload field.
+    A row whose vector is NULL keeps that column as a NULL payload field. A vector column may be
+    text, ``[0.1,0.2]``, as exports write it. ``json_columns`` are text columns with JSON in them.
     """
     if columns:
         raw = project(raw, columns + carried(source_ord), key_column)
     fields = [f for f in raw.schema.fields if f.name != source_ord]
     vector_columns = [f.name for f in fields if f.name in vector_columns]
     key, key_type = F.col(key_column), raw.schema[key_column].dataType
+    for name in json_columns or []:
+        if name in raw.columns and isinstance(raw.schema[name].dataType, T.StringType):
+            raw = raw.withColumn(name, F.parse_json(F.col(name)))
+    for name in vector_columns:
+        if isinstance(raw.schema[name].dataType, T.StringType):
+            numbers = F.from_json(F.col(name), "array<float>", {"mode": "FAILFAST"})
+            raw = raw.withColumn(name, numbers)
+    fields = [raw.schema[f.name] for f in fields]
     payload = sanitized_fields({f.name: (F.col(f.name), f.dataType) for f in fields if f.name not in vector_columns})
     missing = F.array_compact(F.array(*[F.when(F.col(v).isNull(), F.lit(v)) for v in vector_columns]))
     nulls = F.map_from_arrays(missing, F.transform(missing, lambda _: F.lit(None).cast(T.VariantType()))).cast(FIELDS_TYPE)

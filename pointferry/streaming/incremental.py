@@ -1,13 +1,15 @@
 """Resumable copy of an export folder with Structured Streaming.
 
 The stream's checkpoint holds which files were taken; a stopped copy goes on where it was. A batch
-goes to the table under the writer's name and the batch number, so a batch that is repeated after a
-failure is recognised there.
+goes to the table under the stream's identity and the batch number, so a batch that is repeated
+after a failure is recognised there. The identity is the one Spark keeps in the checkpoint folder
+itself, so no other folder, whatever its name, is taken for the same stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,12 +29,14 @@ def incremental_copy(
 
     To start over, give a new checkpoint folder and delete the source's progress.
     """
-    writer = f"{source}@{checkpoint.rstrip('/').rsplit('/', 1)[-1]}"
     batches = 0
+    started = Event()
+    identity: list[str] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal batches
-        folder = table.append(normalizer(batch), writer=writer, batch=batch_id)
+        started.wait()
+        folder = table.append(normalizer(batch), writer=f"{source}@{identity[0]}", batch=batch_id)
         if progress is not None:
             _record(progress, source, batch_id, table.count_commit(folder))
         batches += 1
@@ -43,6 +47,8 @@ def incremental_copy(
         .trigger(availableNow=True)
         .start()
     )
+    identity.append(str(query.id))
+    started.set()
     query.awaitTermination()
     return batches
 

@@ -79,7 +79,7 @@ def c05_resumable_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "c05")
     events = staging.table(spark, sf_dir, "events")
     early = F.col("event_type") != "signup"
-    events.filter(early).repartition(4, "event_id").write.mode("append").parquet(f"{folder}/in")
+    events.filter(early).repartition("event_id").write.mode("append").parquet(f"{folder}/in")
     table, progress = PointTable(spark, f"{folder}/table"), ProgressStore(spark, f"{folder}/progress")
 
     def run() -> None:
@@ -88,7 +88,7 @@ def c05_resumable_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         incremental_copy(stream, copy, table, f"{folder}/checkpoint", "events", progress)
 
     run()
-    events.filter(~early).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    events.filter(~early).write.mode("append").parquet(f"{folder}/in")
     run()
     run()
     p = F.col("payload")
@@ -125,6 +125,33 @@ def c05_range_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def c05_restart_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy that starts over with a new checkpoint folder of the same last name, over a source that has grown."""
+    folder = scratch_dir(spark, "c05n")
+    events = staging.table(spark, sf_dir, "events")
+    early = F.col("event_type") != "signup"
+    table = PointTable(spark, f"{folder}/table")
+    copy = lambda df: normalize_pg(df, key_column="event_id", vector_columns=[])
+    for place, rows in (("a", events.filter(early)), ("b", events.filter(~early))):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        incremental_copy(spark.readStream.schema(events.schema).parquet(f"{folder}/in"), copy, table, f"{folder}/{place}/checkpoint", "events")
+    return table.read().select(payload_value(F.col("payload"), "event_id", "bigint").alias("event_id"))
+
+
+def c06_growing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders copied by ranges while the last range has no rows yet, and again when it has."""
+    folder = scratch_dir(spark, "c06g")
+    orders = staging.table(spark, sf_dir, "orders")
+    half = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).scalar()
+    table, progress = PointTable(spark, f"{folder}/table"), ProgressStore(spark, f"{folder}/progress")
+    copy = lambda df: normalize_pg(df, key_column="o_orderkey", vector_columns=[])
+    for rows in (orders.filter(F.col("o_orderkey") <= half), orders):
+        for _ in range(2):
+            copy_ranges(rows, "o_orderkey", copy, table, progress, f"{folder}/plans", "orders", WORKERS, ranges_per_step=1, cleanup=False)
+    counted = progress.start_offsets().filter(F.col("name").contains("-range-")).agg(F.sum("offset_count")).scalar()
+    return table.read().select(payload_value(F.col("payload"), "o_orderkey", "bigint").alias("o_orderkey"), counted.alias("counted"))
+
+
 def _range_records(spark: SparkSession, sf_dir: str, table: DataFrame) -> DataFrame:
     """Progress of each range, as if the orders with status F had been copied up to their largest key."""
     orders = staging.table(spark, sf_dir, "orders")
@@ -200,6 +227,8 @@ ENTRIES = {
         c05_range_copy,
         f"SELECT {sql.uuid5('o_orderkey::VARCHAR')} AS point_id, o_orderkey, o_totalprice FROM orders",
     ),
+    "c05_restart_new_checkpoint": (c05_restart_new_checkpoint, "SELECT event_id FROM events"),
+    "c06_growing_source": (c06_growing_source, "SELECT o_orderkey, (SELECT count(*) FROM orders) AS counted FROM orders"),
     "c06_range_offsets": (c06_range_offsets, C06_SQL),
     "c07_progress_totals": (c07_progress_totals, C07_SQL),
 }

@@ -64,6 +64,28 @@ SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN concat_ws('-', h[1:8], h[9:12
 """
 
 
+def f03_float_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole, broken, very large and very small floats as keys."""
+    part = staging.table(spark, sf_dir, "part")
+    n = F.col("p_partkey") % 9 + 1
+    text = lambda c, t: ids.key_to_string(c.cast(t), T.DoubleType() if t == "double" else T.FloatType())
+    return part.select(
+        "p_partkey",
+        text(F.col("p_partkey"), "double").alias("whole"),
+        text(F.col("p_retailprice"), "double").alias("price"),
+        text(F.concat(n, F.lit("e22")), "double").alias("large"),
+        text(F.concat(F.lit("-"), n, F.lit("e-6")), "double").alias("small"),
+        text(n / 4, "float").alias("narrow"),
+    )
+
+
+F03_FLOAT_SQL = """
+SELECT p_partkey, p_partkey::VARCHAR AS whole, regexp_replace(p_retailprice::VARCHAR, '\\.0$', '') AS price,
+       (p_partkey % 9 + 1)::VARCHAR || 'e+22' AS large, '-' || (p_partkey % 9 + 1)::VARCHAR || 'e-06' AS small,
+       regexp_replace(((p_partkey % 9 + 1) / 4)::VARCHAR, '\\.0$', '') AS narrow FROM part
+"""
+
+
 def f04_make_point_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = staging.table(spark, sf_dir, "customer")
     number = ids.make_point_id(F.col("c_custkey"), T.LongType())
@@ -484,6 +506,7 @@ SELECT source, reject_reason, count(*) AS n_rows FROM (SELECT * FROM a UNION ALL
 ENTRIES = {
     "f01_to_point_uuid": (f01_to_point_uuid, f"SELECT doc_id, {sql.uuid5('text')} AS point_uuid FROM documents"),
     "f02_is_uuid": (f02_is_uuid, F02_SQL),
+    "f03_float_keys": (f03_float_keys, F03_FLOAT_SQL),
     "f03_key_to_string": (f03_key_to_string, F03_SQL),
     "f04_make_point_id": (
         f04_make_point_id,

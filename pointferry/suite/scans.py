@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -158,6 +160,30 @@ def p11_assign_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MANY, APART, FAR = 350, 37, 1 << 62
+
+
+def p11_assign_many_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More boundaries than a decision tree would hold, with NULLs: numbers near 2^62, text, and times."""
+    lines = staging.table(spark, sf_dir, "lineitem")
+    present = F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
+    rows = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        (present + F.lit(FAR)).alias("number"),
+        F.lpad(present.cast("string"), 12, "0").alias("text"),
+        F.timestamp_add("SECOND", present.cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("time"),
+    )
+    at = [APART * (i + 1) for i in range(MANY)]
+    start = datetime.datetime(2024, 1, 1)
+    for name, ends in (("number", [FAR + b for b in at]), ("text", [f"{b:012d}" for b in at]), ("time", [start + datetime.timedelta(seconds=b) for b in at])):
+        rows = ranges.assign_ranges(rows, name, ends, f"{name}_range")
+    return rows.select("l_orderkey", "l_linenumber", "number_range", "text_range", "time_range")
+
+
+_MANY = f"CASE WHEN l_linenumber <> 7 THEN least((l_orderkey - 1) // {APART}, {MANY})::INTEGER END"
+P11_MANY_SQL = f"SELECT l_orderkey, l_linenumber, {_MANY} AS number_range, {_MANY} AS text_range, {_MANY} AS time_range FROM lineitem"
+
 P11_SQL = f"""
 WITH s AS ({SAMPLE_SQL}),
 e AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS range_id, o_orderkey AS end_key FROM s
@@ -257,6 +283,7 @@ ENTRIES = {
     "p09_boundary_sample": (p09_boundary_sample, SAMPLE_SQL),
     "p10a_ranges_per_worker": (p10a_ranges_per_worker, P10A_SQL),
     "p10b_ranges_per_key": (p10b_ranges_per_key, P10B_SQL),
+    "p11_assign_many_ranges": (p11_assign_many_ranges, P11_MANY_SQL),
     "p11_assign_ranges": (p11_assign_ranges, P11_SQL),
     "p12_point_order": (p12_point_order, P12_SQL),
     "p12_point_page": (p12_point_page, f"SELECT point_id FROM ({P12_SQL}) ORDER BY order_key LIMIT 100"),

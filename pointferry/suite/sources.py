@@ -287,6 +287,16 @@ def s10_pg_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_view(points, vectors={"embedding": "vec"}, payload={"vec_id": "bigint", "label": "bigint"})
 
 
+def s10_pg_text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as an export writes it: the vector as text, and JSON in a text column."""
+    raw = staging.table(spark, sf_dir, "embeddings")
+    as_text = F.concat(F.lit("["), F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))), F.lit("]"))
+    exported = raw.select("vec_id", as_text.alias("embedding"), F.to_json(F.struct("label")).alias("meta"))
+    points = src.normalize_pg(exported, key_column="vec_id", vector_columns=["embedding"], json_columns=["meta"])
+    label = F.try_variant_get("payload", "$.meta.label", "bigint")
+    return flat_view(points, vectors={"embedding": "vec"}, payload={"vec_id": "bigint"}, extra={"label": label})
+
+
 S10_EMBEDDINGS_SQL = f"""
 SELECT {sql.uuid5('vec_id::VARCHAR')} AS point_id, '-' AS shard, len(embedding)::BIGINT AS vec_dim,
        {sql.checksum('embedding')} AS vec_sum, vec_id, label::BIGINT AS label
@@ -355,6 +365,7 @@ ENTRIES = {
     "s09_elasticsearch": (s09_elasticsearch, S09_SQL),
     "s10_pg": (s10_pg, S10_SQL),
     "s10_pg_embeddings": (s10_pg_embeddings, S10_EMBEDDINGS_SQL),
+    "s10_pg_text_vectors": (s10_pg_text_vectors, S10_EMBEDDINGS_SQL),
     "s11_s3_vectors": (s11_s3_vectors, S11_SQL),
     "s12_faiss": (s12_faiss, S12_SQL),
 }

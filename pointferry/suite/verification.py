@@ -47,6 +47,19 @@ UNION ALL SELECT (doc_id + 1000000000)::VARCHAR, 'extra' FROM p WHERE doc_id % 1
 """
 
 
+def v02_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth point stands twice in the source, but only every tenth twice in the target."""
+    points = staging.collection_raw(spark, sf_dir)
+    twice = lambda n: points.unionByName(points.filter(F.col("source_ord") % n == 0))
+    return verify.compare_points(twice(5), twice(10)).select(id_text(F.col("id")).alias("point_id"), "status")
+
+
+V02_REPEATED_SQL = f"""
+SELECT CASE WHEN doc_id % 3 = 0 THEN {sql.uuid5("'doc-' || doc_id::VARCHAR")} ELSE (18446744073709551615::HUGEINT - doc_id)::VARCHAR END AS point_id,
+       CASE WHEN doc_id % 5 = 0 AND doc_id % 10 <> 0 THEN 'changed' ELSE 'same' END AS status FROM documents
+"""
+
+
 def v03_sparse_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same vector in reverse order and slightly or grossly off, or with a position missing."""
     emb = staging.table(spark, sf_dir, "embeddings")
@@ -57,8 +70,8 @@ def v03_sparse_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = F.transform(v, lambda x: (x * factor).cast("float"))
     other_at, other_v = F.reverse(at), F.reverse(scaled)
     short = k == 3
-    other_at = F.when(short, F.slice(other_at, 2, 10000)).otherwise(other_at)
-    other_v = F.when(short, F.slice(other_v, 2, 10000)).otherwise(other_v)
+    other_at = F.when(short, F.slice(other_at, F.lit(2), F.size(other_at) - 1)).otherwise(other_at)
+    other_v = F.when(short, F.slice(other_v, F.lit(2), F.size(other_v) - 1)).otherwise(other_v)
     return emb.select("vec_id", verify.sparse_equal(at, v, other_at, other_v).alias("equal"))
 
 
@@ -76,6 +89,7 @@ def v04_is_vector_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES = {
     "v01_count_reconciliation": (v01_count_reconciliation, V01_SQL),
     "v02_compare_points": (v02_compare_points, V02_SQL),
+    "v02_repeated_ids": (v02_repeated_ids, V02_REPEATED_SQL),
     "v03_sparse_comparison": (v03_sparse_comparison, "SELECT vec_id, vec_id % 4 < 2 AS equal FROM embeddings"),
     "v04_is_vector_field": (
         v04_is_vector_field,

@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pointferry.functions.ids import hashed_id
 from pointferry.model import SHARD_KEY_TYPE, empty_vectors, id_text, payload_value, shard_text
 from pointferry.operators import upsert as up
+from pointferry.plans.full_copy import CatalogStore, full_copy
 from pointferry.session import scratch_dir
 from pointferry.sinks.point_table import PointTable
+from pointferry.sources import normalize_collection
 from pointferry.suite import sql, staging
 
 
@@ -73,6 +75,33 @@ def w01_point_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(table.read())
 
 
+def w01_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with a point without an id is refused as a whole; the table stays as it was."""
+    writes = event_writes(spark, sf_dir)
+    table = PointTable(spark, scratch_dir(spark, "w01n"))
+    table.append(writes, writer="events", batch=0)
+    broken = F.when(F.col("source_ord") % 100 != 0, F.col("id"))
+    try:
+        table.append(writes.withColumn("id", broken), writer="events", batch=1)
+    except Exception as refused:
+        if "has no id" not in str(refused):
+            raise
+    table.compact()
+    return _flat(table.read())
+
+
+def j01_full_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job twice: counts per shard, what the first run created, and what the second did."""
+    folder = scratch_dir(spark, "j01")
+    table, catalog = PointTable(spark, f"{folder}/table"), CatalogStore(spark, f"{folder}/catalog")
+    raw = staging.collection_raw(spark, sf_dir)
+    runs = [full_copy(raw, normalize_collection, "docs", table, catalog, "docs", run=0) for _ in range(2)]
+    return runs[1].shards.select(
+        "shard", "source_count", "target_count", "matches", F.lit(runs[0].created_shards).cast("bigint").alias("shards_created"),
+        F.lit(runs[1].created_fields + runs[1].created_shards).cast("bigint").alias("created_again"), F.lit(runs[1].wrong_sizes).cast("bigint").alias("wrong_sizes"),
+    )
+
+
 def w02_shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points written to shard folders, counted per folder."""
     points = staging.collection_raw(spark, sf_dir)
@@ -95,6 +124,12 @@ ENTRIES = {
     "w01_latest_by_id": (w01_latest_by_id, _latest_sql("event_id DESC")),
     "w01_upsert": (w01_upsert, _latest_sql(BATCH_WINS)),
     "w01_point_table": (w01_point_table, _latest_sql(BATCH_WINS)),
+    "w01_null_ids": (w01_null_ids, _latest_sql("event_id DESC")),
+    "j01_full_copy": (
+        j01_full_copy,
+        f"SELECT {W02_SHARD} AS shard, count(*) AS source_count, count(*) AS target_count, true AS matches, "
+        f"(SELECT count(DISTINCT {W02_SHARD}) FROM documents) AS shards_created, 0::BIGINT AS created_again, 0::BIGINT AS wrong_sizes FROM documents GROUP BY 1",
+    ),
     "w02_shard_counts": (w02_shard_counts, f"SELECT {W02_SHARD} AS shard, count(*) AS n_points FROM documents GROUP BY 1"),
     "w02_new_shard_keys": (
         w02_new_shard_keys,

@@ -128,7 +128,7 @@ CASES = {
 def test_every_record_arrives(spark, tmp_path, case):
     source, raw, options, want = CASES[case](spark)
     table = PointTable(spark, str(tmp_path / "t"))
-    report = copy_all(raw, lambda df: src.normalize(source, df, **options), table, source)
+    report = copy_all(raw, lambda df: src.normalize(source, df, **options), table, source, run=0)
     assert report.complete and report.source_count == report.target_count == len(want)
     rows = table.read().select(F.coalesce("id.uuid", F.col("id.num").cast("string")).alias("k"), "vectors", F.to_json("payload").alias("p")).collect()
     got = {r["k"]: ({n: v["data"] for n, v in r["vectors"].items()}, None if r["p"] is None else json.loads(r["p"])) for r in rows}

@@ -42,7 +42,7 @@ def test_sample_is_bounded_repeatable_and_reads_only_the_key(spark, sf_dir):
 
 
 @pytest.mark.parametrize("kind", ["number", "text"])
-def test_tree_and_search_agree_with_plain_ranges(spark, kind):
+def test_search_agrees_with_plain_ranges(spark, kind):
     rng = random.Random(1)
     bounds = sorted(rng.sample(range(5000), 300))
     keys = bounds + [rng.randrange(5000) for _ in range(500)]
@@ -50,11 +50,11 @@ def test_tree_and_search_agree_with_plain_ranges(spark, kind):
         bounds, keys = sorted(f"é{b:05d}" for b in bounds), [f"é{k:05d}" for k in keys]
     df = _keys(spark, keys + [None], "string" if kind == "text" else "bigint")
     want = {k: sum(b < k for b in bounds) for k in keys}
-    by_search = {r["k"]: r["range_id"] for r in rg.assign_ranges(df, "k", bounds).collect()}
+    many = {r["k"]: r["range_id"] for r in rg.assign_ranges(df, "k", bounds).collect()}
     few = bounds[::5]
-    by_tree = {r["k"]: r["range_id"] for r in rg.assign_ranges(df, "k", few).collect()}
-    assert by_search == {**want, None: None}
-    assert by_tree == {**{k: sum(b < k for b in few) for k in keys}, None: None}
+    fewer = {r["k"]: r["range_id"] for r in rg.assign_ranges(df, "k", few).collect()}
+    assert many == {**want, None: None}
+    assert fewer == {**{k: sum(b < k for b in few) for k in keys}, None: None}
 
 
 def test_range_table_round_trip(spark):

@@ -110,12 +110,45 @@ def test_unfinished_commit_is_not_seen(spark, tmp_path):
     table = PointTable(spark, str(tmp_path / "t"))
     table.append(writes(spark, [(1, "a", 0)]), "w", 0)
     folder = table.append(writes(spark, [(1, "half", 0)]), "w", 1)
-    os.remove(f"{folder}/_SUCCESS")
+    os.remove(f"{folder}/_committed")
     assert content(table.read()) == {1: "a"}
     table.append(writes(spark, [(1, "whole", 0)]), "w", 1)
     assert content(table.read()) == {1: "whole"}
 
 
+def test_commits_count_without_the_committer_marker(spark, tmp_path):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        table = PointTable(spark, str(tmp_path / "t"))
+        folder = table.append(writes(spark, [(1, "a", 0)]), "w", 0)
+        assert table.append(writes(spark, [(1, "again", 0)]), "w", 0) == folder
+        table.compact()
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert content(table.read()) == {1: "a"} and not os.path.exists(f"{folder}/_SUCCESS")
+
+
+def test_a_new_run_takes_what_has_grown(spark, sf_dir, tmp_path):
+    orders = _orders(spark, sf_dir)
+    table = PointTable(spark, str(tmp_path / "t"))
+    few = orders.filter("o_orderkey % 2 = 0")
+    assert copy_all(few, _copy, table, "orders", run=0).complete
+    assert not copy_all(orders, _copy, table, "orders", run=0).complete
+    assert copy_all(orders, _copy, table, "orders", run=1).complete
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pointferry.session import scratch_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(cluster, "x")
+
+
 def test_one_shard_opens_one_folder(spark, tmp_path):
     table = PointTable(spark, str(tmp_path / "t"))
     table.append(writes(spark, [(n, str(n), 0) for n in range(10)]), "w")
@@ -155,7 +188,7 @@ def test_parallel_copy_equals_one_pass(spark, sf_dir, tmp_path, workers, per_key
         orders, "o_orderkey", _copy, PointTable(spark, str(tmp_path / "r")), ProgressStore(spark, str(tmp_path / "p")), str(tmp_path / "plans"), "orders", workers, per_sampled_key=per_key
     )
     one = PointTable(spark, str(tmp_path / "one"))
-    assert copy_all(orders, _copy, one, "orders").complete and report.complete
+    assert copy_all(orders, _copy, one, "orders", run=0).complete and report.complete
     assert _canonical(PointTable(spark, str(tmp_path / "r")).read()) == _canonical(one.read()) == _canonical(_copy(orders))
     assert ProgressStore(spark, str(tmp_path / "p")).start_offsets().count() == 0
 
