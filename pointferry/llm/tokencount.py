@@ -37,7 +37,7 @@ def pretokens(text: str) -> list[str]:
     A part begins with its spaces but one, which the model puts there itself, or with a line break.
     """
     joined = text.replace("\n", " \n")
-    if "  " not in joined:
+    if "  " not in joined and joined[:1] != " ":  # the model puts a space before the text
         return joined.split(" ")
     first, *others = text.split("\n")
     parts = [part[1:] for part in _SPACED.findall(" " + first)]
