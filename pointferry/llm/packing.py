@@ -10,6 +10,7 @@ documents themselves by a distributed sort within runs, which are salted, so tha
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -19,19 +20,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pointferry.llm.textkit import Kept, documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import Kept, documents, id_and_text, in_process, with_doc_id
 from pointferry.session import scratch_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 150_000  # entries of each generation of a worker's two caches
-RUN_ROWS = 20_000  # rows of one size that one task ranks
+WORDS, CORES = 400_000, 250_000  # entries of each generation of a worker's two caches
+RUN_ROWS = 2_000  # rows of one size that one task ranks
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 # How byte-level models write bytes that are no visible characters.
 _BYTE_CHARS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Packed little-endian ids of texts, by way of their words.
 
@@ -44,24 +49,25 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.cores = Kept(self._core, CACHED)
-        self.words = Kept(self._word, CACHED)
+        self.cores = Kept(self._core, CORES)
+        self.words = Kept(self._word, WORDS)
 
     def _encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _core(self, text: str) -> bytes:
         if not text.isalpha():
             return self._encode(text)
         # One pre-token; the model reads its bytes as characters.
         seen = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(seen)], "<u4").tobytes()
+        return pack_ids([t.id for t in self.tokenizer.model.tokenize(seen)])
 
     def _word(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self._encode(word)
-        return self.cores[plain[1].lower()] + (self.cores[plain[2]] if plain[2] else b"")
+        core, mark = plain.groups()
+        return self.cores[core.lower()] + self.cores[mark] if mark else self.cores[core.lower()]
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
@@ -77,7 +83,7 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        words = WordIds(public_tokenizers.path(tokenizer))
+        words = in_process(f"word ids of {tokenizer}", lambda: WordIds(public_tokenizers.path(tokenizer)))
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -142,9 +148,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, size_col: str = "length")
     counts = {r[size_col]: r["n"] for r in pieces.groupBy(size_col).agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(not 1 <= size <= capacity for size in counts):
         raise ValueError(f"sizes must lie between 1 and {capacity}")
-    salts = max(1, -(-max(counts.values(), default=1) // RUN_ROWS))
+    # Each size's salts, by size: its documents over RUN_ROWS.
+    salts = F.split(F.lit(",".join(str(max(1, -(-counts.get(size, 0) // RUN_ROWS))) for size in range(1, capacity + 1))), ",").cast("array<int>")
     keys = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.element_at(salts, F.col(size_col).cast("int"))).cast("int"))
     by_run = Window.partitionBy(size_col, "_salt").orderBy(*keys)
     before = Window.partitionBy(size_col).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     runs = salted.groupBy(size_col, "_salt").agg(F.count(F.lit(1)).alias("_n"))

@@ -6,7 +6,9 @@ megabytes, so that memory follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,14 @@ class _Memo(dict):
 _powers = _Memo()
 
 
+def in_process(name: str, make: Callable):
+    """A value made once in a Python worker and kept there from task to task."""
+    held = sys.modules.setdefault("pointferry_task_values", ModuleType("pointferry_task_values")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 class Kept(dict):
     """Values made once and kept in two generations: when the newer is full it becomes the older, whose values go."""
 
