@@ -29,7 +29,7 @@ def project(df: DataFrame, columns: list[str] | None, key: str) -> DataFrame:
 def keyset_page(df: DataFrame, key: str, after: object | None, limit: int, inclusive: bool = False) -> DataFrame:
     """The next page in key order after a key; ``inclusive`` starts at the key itself."""
     if limit < 1:
-        raise ValueError(f"page size must be greater than 0, got: {limit}")
+        raise ValueError(f"a page holds one row at least, not {limit}")
     if after is not None:
         df = df.filter(F.col(key) >= F.lit(after) if inclusive else F.col(key) > F.lit(after))
     return df.orderBy(key).limit(limit)
@@ -38,7 +38,7 @@ def keyset_page(df: DataFrame, key: str, after: object | None, limit: int, inclu
 def offset_page(df: DataFrame, key: str, offset: int, limit: int) -> DataFrame:
     """A page by position. It re-reads what it skips; key ranges are the way to read it all."""
     if limit < 1:
-        raise ValueError(f"page size must be greater than 0, got: {limit}")
+        raise ValueError(f"a page holds one row at least, not {limit}")
     return df.orderBy(key).offset(offset).limit(limit)
 
 

@@ -61,7 +61,7 @@ def metric_of(word: Column, source: str) -> Column:
 
 def required_metric(word: Column, source: str) -> Column:
     """As metric_of, for sources where an unknown word is an error."""
-    message = F.format_string("unsupported distance metric: %s", F.coalesce(word, F.lit("none")))
+    message = F.format_string("the source's distance '%s' has no counterpart in the target", F.coalesce(word, F.lit("none")))
     return F.coalesce(metric_of(word, source), F.raise_error(message).cast("string"))
 
 
@@ -77,7 +77,7 @@ def metric_option(field: Column, options: dict[str, str], source: str, mode: str
         chosen = F.coalesce(F.try_element_at(table, field), chosen)
     metric = F.when(chosen.isin(TARGET_METRICS), chosen)
     if mode == "fail":
-        message = F.format_string("invalid distance metric '%s' for vector '%s'", chosen, field)
+        message = F.format_string("'%s', asked for vector '%s', is no distance of the target", chosen, field)
         return F.coalesce(metric, F.raise_error(message).cast("string"))
     return metric
 
@@ -90,14 +90,14 @@ def fields_from_mapping(mappings: DataFrame, source: str) -> DataFrame:
     type_word, size_word, metric_word = MAPPING_WORDS[source]
     index = F.try_element_at(variant_fields(F.try_parse_json("mapping")), F.col("collection"))
     properties = variant_fields(F.try_variant_get(index, "$.mappings.properties", "variant"))
-    message = F.concat(F.lit("invalid mapping structure: "), F.col("collection"))
+    message = F.concat(F.lit("no field properties in the mapping of index "), F.col("collection"))
     checked = F.when(properties.isNotNull(), properties).otherwise(F.raise_error(message).cast(FIELDS_TYPE))
     each = mappings.select("collection", F.explode(checked).alias("field", "definition"))
     declared = each.filter(F.try_variant_get("definition", "$.type", "string") == type_word)
     size = F.try_variant_get("definition", f"$.{size_word}", "variant")
     # A present size must be a number; a text such as "384" is an error, not a size.
     number = F.schema_of_variant(size).rlike(r"^(BIGINT|DOUBLE|DECIMAL)")
-    bad_size = F.raise_error(F.concat(F.lit("invalid dimension type for field "), F.col("field"))).cast("bigint")
+    bad_size = F.raise_error(F.concat(F.lit("the mapping gives no number as size of field "), F.col("field"))).cast("bigint")
     return declared.filter(size.isNotNull()).select(
         "collection",
         "field",
@@ -114,7 +114,7 @@ def fields_from_type_text(columns: DataFrame) -> DataFrame:
     """
     vectors = columns.filter(F.col("type_text").startswith("vector"))
     size = F.regexp_extract("type_text", r"^vector\((\d+)\)$", 1).try_cast("bigint")
-    message = F.concat(F.lit("invalid dimension for column "), F.col("column"))
+    message = F.concat(F.lit("the table declares no size for vector column "), F.col("column"))
     checked = F.when(size > 0, size).otherwise(F.raise_error(message).cast("bigint"))
     return vectors.select("collection", F.col("column").alias("field"), F.lit("dense").alias("kind"), checked.alias("size"))
 
@@ -147,7 +147,7 @@ def fields_from_points(points: DataFrame, collection: str | Column) -> DataFrame
 def dispatch_by_kind(indexes: DataFrame, sparse_vector: str = "sparse_vector") -> DataFrame:
     """Index descriptions (collection, vector_type, dimension, metric) to vector parameters."""
     known = F.col("vector_type").isin("dense", "sparse")
-    message = F.concat(F.lit("unsupported vector type: "), F.coalesce(F.col("vector_type"), F.lit("none")))
+    message = F.concat(F.lit("an index is neither dense nor sparse but "), F.coalesce(F.col("vector_type"), F.lit("none")))
     kind = F.when(known, F.col("vector_type")).otherwise(F.raise_error(message).cast("string"))
     dense = F.col("vector_type") == "dense"
     return indexes.select(

@@ -45,7 +45,7 @@ class PointStoreWriter(DataSourceWriter):
         self.source = source
         self.batch_size = int(source.options.get("batchsize", DEFAULT_BATCH_SIZE))
         if self.batch_size < 1:
-            raise ValueError(f"batch size must be greater than 0, got: {self.batch_size}")
+            raise ValueError(f"a batch takes one row at least, not {self.batch_size}")
 
     def write(self, iterator: Iterator[Row]) -> Written:
         client = self.source.open_client()

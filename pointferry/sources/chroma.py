@@ -36,7 +36,7 @@ def normalize_chroma(
         payload=fields_to_payload(with_document(F.col("_with_id"), document_field, F.col("document"))),
         source_ord=source_ord,
         checks=[
-            (F.col("id").isNull(), "missing id"),
+            (F.col("id").isNull(), "the record has no id"),
             (is_bad_object(F.col("metadata"), F.col("_fields")), "metadata is not a JSON object"),
         ],
         mode=mode,

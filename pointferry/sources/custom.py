@@ -40,7 +40,7 @@ class PagedStoreReader(DataSourceReader):
         self.key_at = schema.fieldNames().index(source.key)
         self.page_size = int(source.options.get("pagesize", DEFAULT_PAGE_SIZE))
         if self.page_size < 1:
-            raise ValueError(f"page size must be greater than 0, got: {self.page_size}")
+            raise ValueError(f"a page holds one row at least, not {self.page_size}")
 
     def partitions(self) -> list[KeyRange]:
         ends = self.source.boundaries()

@@ -26,7 +26,7 @@ def extract_scalar(value: Column, data_type: T.DataType) -> Column:
         return value.cast("double")
     if isinstance(data_type, (T.BooleanType, T.StringType)):
         return value
-    raise TypeError(f"unsupported field type: {data_type.simpleString()}")
+    raise TypeError(f"a field of type {data_type.simpleString()} can't go into a payload")
 
 
 def extract_json_object(text: Column) -> Column:
@@ -59,7 +59,7 @@ def normalize_milvus(
         if not is_vector_type(f.dataType)
     }
     key, key_type = F.col(pk), raw.schema[pk].dataType
-    checks = [(key.isNull(), "missing primary key")]
+    checks = [(key.isNull(), "the entity has no primary key")]
     if isinstance(key_type, T.StringType):
         checks.append((~is_uuid(key), "text primary key is not a UUID"))
     else:

@@ -43,7 +43,7 @@ def normalize_mongodb(
         source_ord=source_ord,
         checks=[
             (F.col("_fields").isNull(), "document is not a JSON object"),
-            (F.col("_id_text").isNull(), "unsupported _id type"),
+            (F.col("_id_text").isNull(), "the document's _id is of no kind a key can be made of"),
         ],
         mode=mode,
     )

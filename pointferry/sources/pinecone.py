@@ -45,7 +45,7 @@ def normalize_pinecone(
         payload=fields_to_payload(with_field(F.coalesce(double_numbers(F.col("_fields")), no_fields()), id_field, F.col("id"))),
         source_ord=source_ord,
         checks=[
-            (F.col("id").isNull(), "missing id"),
+            (F.col("id").isNull(), "the record has no id"),
             (is_bad_object(F.col("metadata"), F.col("_fields")), "metadata is not a JSON object"),
             (has_sparse & (F.size("sparse_indices") != F.size("sparse_values")), "sparse positions and values differ in length"),
         ],

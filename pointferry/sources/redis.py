@@ -48,6 +48,6 @@ def normalize_redis(
         vectors=named(vectors),
         payload=fields_to_payload(with_field(F.col("_fields"), id_field, F.col("key"))),
         source_ord=source_ord,
-        checks=[(F.col("key").isNull(), "missing key"), (F.col("_texts").isNull(), "missing fields")],
+        checks=[(F.col("key").isNull(), "the hash has no key"), (F.col("_texts").isNull(), "the hash has no fields")],
         mode=mode,
     )

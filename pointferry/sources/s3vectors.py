@@ -30,7 +30,7 @@ def normalize_s3_vectors(
         payload=fields_to_payload(with_field(F.coalesce(F.col("_fields"), no_fields()), id_field, F.col("key"))),
         source_ord=source_ord,
         checks=[
-            (F.col("key").isNull(), "missing key"),
+            (F.col("key").isNull(), "the vector has no key"),
             (F.col("data").isNull(), "unexpected vector data type"),
             (is_bad_object(F.col("metadata"), F.col("_fields")), "metadata is not a JSON object"),
         ],

@@ -51,8 +51,8 @@ def _normalize_hits(
         payload=fields_to_payload(with_field(F.col("_rest"), id_field, F.col("_id"), wins=False)),
         source_ord=source_ord,
         checks=[
-            (F.col("_body").isNull(), "invalid _source format"),
-            (F.col("_id").isNull(), "invalid _id format"),
+            (F.col("_body").isNull(), "the hit's _source is no JSON object"),
+            (F.col("_id").isNull(), "the hit has no _id"),
         ],
         mode=mode,
     )

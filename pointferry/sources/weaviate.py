@@ -40,9 +40,9 @@ def normalize_weaviate(
         payload=fields_to_payload(double_numbers(keep_fields(properties, include_properties))),
         source_ord=source_ord,
         checks=[
-            (F.col("id").isNull(), "missing id field"),
-            (F.col("_vector").isNull(), f"missing named vector '{vector_name}'" if vector_name else "missing vector field"),
-            (F.exists("_vector", lambda x: x.isNull()), "invalid vector format"),
+            (F.col("id").isNull(), "the object has no id"),
+            (F.col("_vector").isNull(), f"the object has no vector named '{vector_name}'" if vector_name else "the object has no vector"),
+            (F.exists("_vector", lambda x: x.isNull()), "the object's vector has an empty place"),
             (F.col("_fields").isNull(), "properties are not a JSON object"),
         ],
         mode=mode,

@@ -497,9 +497,9 @@ def f20_required_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 F20_SQL = f"""
 WITH h AS (SELECT length(conv_id::VARCHAR || '/' || turn::VARCHAR) AS n FROM conversations),
-a AS (SELECT 'elasticsearch' AS source, CASE WHEN n % 3 = 0 THEN 'invalid _source format' WHEN n % 4 = 0 THEN 'invalid _id format' ELSE 'none' END AS reject_reason FROM h),
+a AS (SELECT 'elasticsearch' AS source, CASE WHEN n % 3 = 0 THEN 'the hit''s _source is no JSON object' WHEN n % 4 = 0 THEN 'the hit has no _id' ELSE 'none' END AS reject_reason FROM h),
 w AS (SELECT right({sql.uuid5("'part-' || p_partkey::VARCHAR")}, 1) AS d FROM part),
-b AS (SELECT 'weaviate' AS source, CASE WHEN d < '4' THEN 'missing vector field' WHEN d < '8' THEN 'invalid vector format' ELSE 'none' END AS reject_reason FROM w)
+b AS (SELECT 'weaviate' AS source, CASE WHEN d < '4' THEN 'the object has no vector' WHEN d < '8' THEN 'the object''s vector has an empty place' ELSE 'none' END AS reject_reason FROM w)
 SELECT source, reject_reason, count(*) AS n_rows FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY ALL
 """
 
