@@ -166,8 +166,9 @@ class RepeatedWindows:
     the units' bytes of all segments of a shard and gives each window's least owner.
     """
 
-    def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable):
+    def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable, chunk_bytes: int | None = None):
         self.units, self.n, self.k, self.within, self.resolve = units, n, k, within, resolve
+        self.chunk_bytes = chunk_bytes or CHUNK_BYTES
 
     def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, set[int], list[tuple[int, bytes]]]:
         left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -345,7 +346,7 @@ class RepeatedWindows:
         spark = docs.sparkSession
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        chunks = max(1, -(-total // CHUNK_BYTES))
+        chunks = max(1, -(-total // self.chunk_bytes))
         chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
         dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
         copies = copies_of(docs).select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))

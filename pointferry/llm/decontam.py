@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from pointferry.llm.textkit import LOWER, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, text_bytes, with_doc_id, word_bounds, word_codes
+from pointferry.llm.textkit import LOWER, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes
 
 WINDOW = 10
 PART_BYTES = 16 << 20  # benchmark text that is sent to the tasks at once
@@ -204,8 +204,8 @@ def find_contamination(
             vocabulary, phrases = sent.value
             wanted = Benchmark(vocabulary, tuple(Phrases(*p) for p in phrases))
             for batch in batches:
-                if batch.num_rows:
-                    yield _search(batch, wanted, slack, near_share)
+                for part in small_batches(batch):
+                    yield _search(part, wanted, slack, near_share)
 
         found.append(docs.mapInArrow(run, schema))
     if len(found) == 1:

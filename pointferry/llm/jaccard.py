@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pointferry.llm.anchors import CHUNK_BYTES, pack_arrays, unpack_arrays
 from pointferry.llm.anchors import _by_shard, _rows, _shards_of
 from pointferry.llm.components import components
-from pointferry.llm.textkit import LOWER, SPACES, documents, id_and_text, mix, row_of, slices, text_bytes, with_doc_id, word_bounds, word_codes, window_codes
+from pointferry.llm.textkit import LOWER, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes, window_codes
 from pointferry.session import scratch_dir
 
 SHINGLE, THRESHOLD = 5, Fraction(8, 10)
@@ -67,7 +67,7 @@ def set_digests(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, n_shingles, digest a and b): equal sets have equal digests."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_batches(whole)):
             size, a, b = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
             for _, _, data, at in slices(batch.column("text")):
                 codes, sets_at = shingle_sets(data, at, n)

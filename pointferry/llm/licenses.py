@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pointferry.llm.textkit import NOT_ALNUM, documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import NOT_ALNUM, documents, id_and_text, small_batches, with_doc_id
 
 COLUMNS = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
@@ -232,8 +232,8 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches):
         signatures = Signatures()
         for batch in batches:
-            if batch.num_rows:
-                yield _scan(batch, signatures)
+            for part in small_batches(batch):
+                yield _scan(part, signatures)
 
     return with_doc_id(id_and_text(df, id_col, text_col).mapInArrow(run, COLUMNS), id_col)
 

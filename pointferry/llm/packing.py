@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pointferry.llm.textkit import Kept, documents, id_and_text, in_process, with_doc_id
+from pointferry.llm.textkit import Kept, documents, id_and_text, in_process, small_batches, with_doc_id
 from pointferry.session import scratch_dir
 
 CAPACITY = 4096
@@ -84,7 +84,7 @@ def token_pieces(
         import public_tokenizers
 
         words = in_process(f"word ids of {tokenizer}", lambda: WordIds(public_tokenizers.path(tokenizer)))
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_batches(whole)):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = words.encode(text) + end

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from pointferry.llm import anchors
 from pointferry.llm.anchors import RepeatedWindows, Units, byte_units
 from pointferry.llm.textkit import covered, documents, id_and_text, with_doc_id
 
@@ -155,7 +156,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id
     A null or empty text has no bytes. Rows with one id are compared as one document would be, each
     row giving its own result. An empty table gives none.
     """
-    job = RepeatedWindows(byte_units, length, anchor, within=False, resolve=least_owners)
+    job = RepeatedWindows(byte_units, length, anchor, within=False, resolve=least_owners, chunk_bytes=anchors.CHUNK_BYTES // 2)  # a number per byte
     return with_doc_id(job.run(id_and_text(df, id_col, text_col), RESULT, partial(_result, length=length)), id_col)
 
 

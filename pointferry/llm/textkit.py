@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1024  # rows of an Arrow batch that are taken at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_CODES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -162,13 +163,19 @@ def word_bounds(data: np.ndarray, at: np.ndarray, separators: np.ndarray) -> tup
 
 
 def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit code of each word's bytes."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    sums = np.cumsum(_BYTE_CODES[data] * powers(len(data)), dtype=np.uint64)
-    codes = sums[ends - 1]
-    codes[starts > 0] -= sums[starts[starts > 0] - 1]
-    return mix(codes * powers(len(data), True)[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit code of each word's bytes, made in slices of whole words."""
+    codes = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
+        first = starts[i]
+        part = data[first : ends[j - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE_CODES[part] * powers(len(part)), dtype=np.uint64, out=sums[1:])
+        a, b = starts[i:j] - first, ends[i:j] - first
+        codes[i:j] = mix((sums[b] - sums[a]) * powers(len(part), True)[a] + (b - a).astype(np.uint64))
+        i = j
+    return codes
 
 
 def window_codes(codes: np.ndarray, n: int) -> np.ndarray:
@@ -205,8 +212,12 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Itera
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            yield from map(fn, small_batches(batch))
 
     return run
 
+
+def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that what is made of its texts takes less memory than they do."""
+    for i in range(0, batch.num_rows, BATCH_ROWS):
+        yield batch.slice(i, BATCH_ROWS)

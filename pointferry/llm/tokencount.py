@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pointferry.llm.textkit import Kept, documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import Kept, documents, id_and_text, small_batches, with_doc_id
 
 LIMIT = 4096
 FREQUENT = 65_536  # rows of the broadcast table, whatever the corpus
@@ -85,7 +85,7 @@ def frequent_pretokens(docs: DataFrame) -> list[str]:
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_batches(whole)):
             for text in batch.column("text").to_pylist():
                 counts.update(pretokens(text))
                 least = 1
@@ -112,7 +112,7 @@ def count_tokens(df: DataFrame, model: str = "piece_bpe_32k.model", limit: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = Lengths(_path(model), table.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_batches(whole)):
             texts = batch.column("text")
             n = pa.array([lengths.count(t) for t in texts.to_pylist()], pa.int64())
             size = pc.cast(pc.binary_length(texts), pa.int64())
