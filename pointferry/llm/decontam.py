@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from pointferry.llm import oracle
 from pointferry.llm.textkit import LOWER, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes
 
 WINDOW = 10
@@ -241,8 +242,8 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     hit = found.withColumn("n_hit", n_hit())
     return hit.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near",
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
-ENTRIES = {"op7_benchmark_decontamination": (op7_benchmark_decontamination, None)}
+ENTRIES = {"op7_benchmark_decontamination": (op7_benchmark_decontamination, oracle.OP7)}

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from pointferry.llm import oracle
 from pointferry.llm.anchors import RepeatedWindows, Units, word_units
 from pointferry.llm.textkit import SPACES, covered, documents, id_and_text, with_doc_id, word_bounds, word_codes
 
@@ -182,4 +183,4 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(documents(spark, sf_dir)).drop("spans")
 
 
-ENTRIES = {"op8_substring_dedup": (op8_substring_dedup, None)}
+ENTRIES = {"op8_substring_dedup": (op8_substring_dedup, oracle.OP8)}

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pointferry.llm import oracle
 from pointferry.llm.anchors import CHUNK_BYTES, pack_arrays, unpack_arrays
 from pointferry.llm.anchors import _by_shard, _rows, _shards_of
 from pointferry.llm.components import components
@@ -398,4 +399,4 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), 3, Fraction(9, 10))
 
 
-ENTRIES = {"op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None)}
+ENTRIES = {"op3_ngram_jaccard_join": (op3_ngram_jaccard_join, oracle.OP3)}

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pointferry.llm import anchors
+from pointferry.llm import anchors, oracle
 from pointferry.llm.anchors import RepeatedWindows, Units, byte_units
 from pointferry.llm.textkit import covered, documents, id_and_text, with_doc_id
 
@@ -165,4 +165,4 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("spans")
 
 
-ENTRIES = {"op1_suffix_array_dedup": (op1_suffix_array_dedup, None)}
+ENTRIES = {"op1_suffix_array_dedup": (op1_suffix_array_dedup, oracle.OP1)}
