@@ -27,7 +27,8 @@ CAPACITY = 4096
 END_ID = 1
 WORDS, CORES = 400_000, 250_000  # entries of each generation of a worker's two caches
 RUN_ROWS = 2_000  # rows of one size that one task ranks
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# Latin letters, and after them a run of ASCII marks without apostrophes: two pre-tokens.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 # How byte-level models write bytes that are no visible characters.
 _BYTE_CHARS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -41,8 +42,8 @@ class WordIds:
     """Packed little-endian ids of texts, by way of their words.
 
     The tokenizer drops white space and never joins over it, so the ids of a text are those of its
-    words. A plain word is encoded without its last mark and in lower case, which the tokenizer
-    makes of it anyway; all others go through the whole tokenizer.
+    words. A plain word is letters, taken in lower case as the tokenizer does, and the marks after
+    them; all other words go through the whole tokenizer.
     """
 
     def __init__(self, file: str):
