@@ -79,9 +79,8 @@ def _decode_floats(blobs: pa.Array) -> pa.Array:
             # No gaps between the blobs: the buffer already is the float column.
             floats = np.frombuffer(raw[starts[0] : starts[0] + 4 * int(ends[-1])].tobytes(), dtype="<f4")
         else:
-            first = np.repeat(starts - 4 * (ends - counts), counts)
-            at = first + 4 * np.arange(int(ends[-1]))
-            floats = raw[at[:, None] + np.arange(4)].reshape(-1).view("<f4")
+            whole = memoryview(data)
+            floats = np.frombuffer(b"".join(whole[a:b] for a, b in zip(starts.tolist(), (starts + 4 * counts).tolist())), dtype="<f4")
     offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
     return pa.ListArray.from_arrays(offsets, pa.array(floats), mask=pa.array(~valid))
 

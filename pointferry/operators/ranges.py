@@ -9,17 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 SAMPLES_PER_WORKER = 10
+# With more rows a wanted key than MANY_ROWS, about DRAWN rows a wanted key are sorted.
+MANY_ROWS, DRAWN = 64, 8
 
 
 def boundary_sample(df: DataFrame, key: str, workers: int, seed: int = 0) -> DataFrame:
     """``min(10 * workers, rows)`` random keys in key order; only the key column is read.
 
     Keys are drawn by the order of a seeded hash, so a task that is run again draws the same ones,
-    which ``rand()`` would not promise once partitions change.
+    which ``rand()`` would not promise once partitions change. Of many rows only those with a low
+    hash are sorted, some times as many as are wanted; what is drawn is the same.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    sample = df.select(key).filter(F.col(key).isNotNull()).orderBy(draw, key).limit(workers * SAMPLES_PER_WORKER)
-    return sample.orderBy(key)
+    wanted = workers * SAMPLES_PER_WORKER
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    rows = keys.count()
+    if rows > MANY_ROWS * wanted:
+        low = keys.filter(draw < F.lit(f"{int(DRAWN * wanted / rows * (1 << 64)):016x}"))
+        if low.count() >= wanted:
+            keys = low
+    return keys.orderBy(draw, key).limit(wanted).orderBy(key)
 
 
 def _numbered(sample: DataFrame, key: str) -> DataFrame:

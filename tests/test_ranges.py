@@ -57,6 +57,13 @@ def test_search_agrees_with_plain_ranges(spark, kind):
     assert fewer == {**{k: sum(b < k for b in few) for k in keys}, None: None}
 
 
+def test_sample_of_many_rows_is_the_same(spark, monkeypatch):
+    df = _keys(spark, list(range(3000)), "bigint")
+    few = rg.boundary_sample(df, "k", 2).collect()
+    monkeypatch.setattr(rg, "MANY_ROWS", 10**9)
+    assert few == rg.boundary_sample(df, "k", 2).collect() and len(few) == 20
+
+
 def test_range_table_round_trip(spark):
     table = rg.range_table(spark, [3, 9], T.LongType())
     assert _table(table) == [(None, 3), (3, 9), (9, None)] and rg.boundaries_of(table) == [3, 9]
