@@ -358,11 +358,12 @@ class RepeatedWindows:
         return dealt.groupBy("chunk").cogroup(copies.unionAll(owners).groupBy("chunk")).applyInArrow(self._finish(result), schema)
 
 
-def copies_of(docs: DataFrame, salts: int = 32) -> DataFrame:
+def copies_of(docs: DataFrame, salts: int = 4) -> DataFrame:
     """Ids of documents whose whole text is that of one with a smaller id.
 
-    Copies of one text may be many: they are dealt over salts, to which the few texts that have
-    copies are replicated.
+    Copies of one text may be many: they are dealt over salts, to which the texts that have copies
+    are replicated. Both sides are then shuffled for the join itself, so adaptive execution can
+    split what is still large.
     """
     digests = docs.select("doc_id", F.sha2("text", 256).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")

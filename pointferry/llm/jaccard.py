@@ -35,7 +35,7 @@ SHINGLE, THRESHOLD = 5, Fraction(8, 10)
 REGION = 256  # documents of a region in one task
 BLOCK = 1024  # replicated documents in one task
 CLASSES = 64
-SALTS = 32  # over which equal sets are dealt
+SALTS = 4  # over which equal sets are dealt; adaptive execution splits what is still large
 COPY, REPLY = 0, 1
 _SENT = "shard long, chunk long, payload binary"
 _BACK = "chunk long, kind int, number long, payload binary"
