@@ -316,27 +316,37 @@ class RepeatedWindows:
             units, copies, replies = self._load(left, right)
             seg = segments_of(units, self.n, self.k)
             codes, first, owner, inverse = self._own(units, seg)
-            windows = seg.windows[first]
+            start = seg.first - units.units_at[seg.row]
+            doc = units.doc_ids[seg.row]
+            replies = [unpack_arrays(payload) for _, payload in replies]
+            heard = np.zeros(len(codes), bool)
+            for told, *_ in replies:
+                heard[np.searchsorted(codes, told)] = True
+            # Only segments with a reply, or with an earlier equal in the chunk, can hold a repeat.
+            equal = owner[inverse] < doc if len(doc) else np.empty(0, bool)
+            if self.within:
+                equal |= (owner[inverse] == doc) & (start[first][inverse] < start)
+            taken = np.flatnonzero(heard[inverse] | equal) if len(doc) else np.empty(0, np.int64)
+            needed = np.zeros(len(codes), bool)
+            needed[inverse[taken]] = True
+            windows = np.where(needed, seg.windows[first], 0)
             w_at = np.concatenate([[0], np.cumsum(windows)]).astype(np.int64)
             w_seg = np.repeat(np.arange(len(first)), windows)
-            place = np.arange(len(w_seg)) - w_at[w_seg]
             w_owner = owner[w_seg] if len(first) else np.empty(0, np.int64)
-            w_start = (seg.first[first] - units.units_at[seg.row[first]])[w_seg] + place
-            for _, payload in replies:
-                told, count, got_owner, got_start = unpack_arrays(payload)
+            w_start = start[first][w_seg] + np.arange(len(w_seg)) - w_at[w_seg]
+            for told, count, got_owner, got_start in replies:
                 spot = w_at[np.searchsorted(codes, told)]
                 at = np.repeat(spot - (np.cumsum(count) - count), count) + np.arange(len(got_owner))
                 w_owner[at], w_start[at] = got_owner, got_start
-            # Every segment's windows take what its kind was told.
-            count = seg.windows
-            of = np.repeat(np.arange(len(count)), count)
+            # Every taken segment's windows take what its kind was told.
+            count = seg.windows[taken]
+            of = np.repeat(taken, count)
             step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
             at = w_at[inverse[of]] + step
             unit = seg.first[of] + step
-            doc = units.doc_ids[seg.row[of]]
-            earlier = w_owner[at] < doc
+            earlier = w_owner[at] < doc[of]
             if self.within:
-                earlier |= (w_owner[at] == doc) & (w_start[at] < unit - units.units_at[seg.row[of]])
+                earlier |= (w_owner[at] == doc[of]) & (w_start[at] < start[of] + step)
             return result(left.sort_by([("doc_id", "ascending"), ("text", "ascending")]), units, copies, unit[earlier])
 
         return finish
