@@ -24,9 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from pointferry.llm.textkit import SPACES, mix, powers, text_bytes, window_codes, word_bounds, word_codes
+from pointferry.llm.textkit import SPACES, mix, powers, text_bytes, tidy, window_codes, word_bounds, word_codes
 
-CHUNK_BYTES = 4 << 20  # text a task holds at once, but for longer documents
+CHUNK_BYTES = 2 << 20  # text a task holds at once, but for longer documents
 COPY, REPLY = 0, 1
 _SENT = "shard long, chunk long, payload binary"
 _BACK = "chunk long, kind int, number long, payload binary"
@@ -166,9 +166,8 @@ class RepeatedWindows:
     the units' bytes of all segments of a shard and gives each window's least owner.
     """
 
-    def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable, chunk_bytes: int | None = None):
+    def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable):
         self.units, self.n, self.k, self.within, self.resolve = units, n, k, within, resolve
-        self.chunk_bytes = chunk_bytes or CHUNK_BYTES
 
     def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, set[int], list[tuple[int, bytes]]]:
         left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -356,16 +355,16 @@ class RepeatedWindows:
         spark = docs.sparkSession
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        chunks = max(1, -(-total // self.chunk_bytes))
+        chunks = max(1, -(-total // CHUNK_BYTES))
         chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
         dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
         copies = copies_of(docs).select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))
         anchor_shards, shards = max(1, chunks // 4), chunks
-        sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(self._ask(anchor_shards), _SENT)
-        met = sent.groupBy("shard").applyInArrow(self._met, _BACK)
-        segments = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(self._send(anchor_shards, shards), _SENT)
-        owners = segments.groupBy("shard").applyInArrow(lambda table: self._answer(table), _BACK)
-        return dealt.groupBy("chunk").cogroup(copies.unionAll(owners).groupBy("chunk")).applyInArrow(self._finish(result), schema)
+        sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(tidy(self._ask(anchor_shards)), _SENT)
+        met = sent.groupBy("shard").applyInArrow(tidy(self._met), _BACK)
+        segments = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(tidy(self._send(anchor_shards, shards)), _SENT)
+        owners = segments.groupBy("shard").applyInArrow(tidy(self._answer), _BACK)
+        return dealt.groupBy("chunk").cogroup(copies.unionAll(owners).groupBy("chunk")).applyInArrow(tidy(self._finish(result)), schema)
 
 
 def copies_of(docs: DataFrame, salts: int = 4) -> DataFrame:

@@ -28,7 +28,7 @@ from pointferry.llm import oracle
 from pointferry.llm.anchors import CHUNK_BYTES, pack_arrays, unpack_arrays
 from pointferry.llm.anchors import _by_shard, _rows, _shards_of
 from pointferry.llm.components import components
-from pointferry.llm.textkit import LOWER, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes, window_codes
+from pointferry.llm.textkit import LOWER, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, tidy, with_doc_id, word_bounds, word_codes, window_codes
 from pointferry.session import scratch_dir
 
 SHINGLE, THRESHOLD = 5, Fraction(8, 10)
@@ -365,18 +365,18 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
 
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
-    shards = max(1, chunks // 2)
+    shards = max(1, chunks // 4)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
     dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
     copies = equal.select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))
-    sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(_ask(n, threshold, shards), _SENT)
-    met = sent.groupBy("shard").applyInArrow(_met, _BACK)
-    members = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(_send(n, threshold, shards), _MEMBER)
+    sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(tidy(_ask(n, threshold, shards)), _SENT)
+    met = sent.groupBy("shard").applyInArrow(tidy(_met), _BACK)
+    members = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(tidy(_send(n, threshold, shards)), _MEMBER)
     members.write.parquet(f"{folder}/members")
     members = spark.read.schema(_MEMBER).parquet(f"{folder}/members")
 
-    joined = members.groupBy("pivot", "salt").applyInArrow(lambda table: _join_region(table, threshold), _FOUND)
+    joined = members.groupBy("pivot", "salt").applyInArrow(tidy(lambda table: _join_region(table, threshold)), _FOUND)
     joined.write.parquet(f"{folder}/joined")
     joined = spark.read.schema(_FOUND).parquet(f"{folder}/joined")
     far = joined.where(F.col("kind") == FAR)
@@ -387,7 +387,7 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
     replicated = far.join(hot, "pivot").select("pivot", spread("all_salts").alias("to"), F.col("salt").alias("own"), block, "a", "gap", "codes").where("own <> to")
     held = members.join(hot, "pivot").select("pivot", F.col("salt").alias("to"), spread("blocks").alias("block"), "doc", "codes")
     key = ["pivot", "to", "block"]
-    crossed = held.groupBy(*key).cogroup(replicated.select(*key, "a", "gap", "codes").groupBy(*key)).applyInArrow(lambda left, right: _join_far(left, right, threshold), _FOUND)
+    crossed = held.groupBy(*key).cogroup(replicated.select(*key, "a", "gap", "codes").groupBy(*key)).applyInArrow(tidy(lambda left, right: _join_far(left, right, threshold)), _FOUND)
     edges = joined.where(F.col("kind") == EDGE).select("a", "b").unionAll(crossed.select("a", "b"))
     labels = components(edges).withColumnRenamed("node", "first")
     placed = digests.join(equal, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"))

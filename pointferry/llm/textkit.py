@@ -6,6 +6,8 @@ megabytes, so that memory follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -221,3 +223,28 @@ def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, so that what is made of its texts takes less memory than they do."""
     for i in range(0, batch.num_rows, BATCH_ROWS):
         yield batch.slice(i, BATCH_ROWS)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a Python worker lives on, and so do its neighbours."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(fn: Callable) -> Callable:
+    """A function of a group, with memory given back after each."""
+
+    def one(table):
+        made = fn(table)
+        give_back()
+        return made
+
+    def two(left, right):
+        made = fn(left, right)
+        give_back()
+        return made
+
+    return two if len(inspect.signature(fn).parameters) == 2 else one
