@@ -16,7 +16,8 @@ from pointferry.sinks.point_table import PointTable
 from pointferry.streaming.progress import ProgressStore, resume_ranges
 
 
-DEFAULT_STEPS = 4
+# Steps of a copy where the caller does not say, and the rows that make a further one worth while.
+DEFAULT_STEPS, STEP_ROWS = 8, 500_000
 
 
 @dataclass
@@ -67,7 +68,8 @@ def copy_ranges(
     range without an end that is empty so far stores nothing.
 
     A step reads what its outer bounds do not prune, which is little where the export is sorted or
-    indexed by the key. The default is ``DEFAULT_STEPS`` steps; for an unsorted export take one.
+    indexed by the key. The default is up to ``DEFAULT_STEPS`` steps of ``STEP_ROWS`` rows at least; for
+    an unsorted export take one.
     """
     spark: SparkSession = raw.sparkSession
     plan_name = f"{source}-workers-{workers}-plan"
@@ -87,7 +89,8 @@ def copy_ranges(
     boundaries = [r["end_key"] for r in ranges.filter("end_key is not null").orderBy("range_id").collect()]
 
     pending = [r for r in resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect() if not r["done"]]
-    per_step = ranges_per_step or max(1, -(-len(pending) // DEFAULT_STEPS))
+    rows_in_all = raw.count()
+    per_step = ranges_per_step or max(1, -(-len(pending) // max(1, min(DEFAULT_STEPS, rows_in_all // STEP_ROWS))))
     steps = [pending[i : i + per_step] for i in range(0, len(pending), per_step)]
     for step in steps:
         rows = _step_rows(raw, key, boundaries, step)
@@ -100,7 +103,7 @@ def copy_ranges(
             covers = hashlib.sha256(repr([(r["range_id"], r["start_key"], seen.get(r["range_id"])) for r in step]).encode()).hexdigest()[:16]
             table.append(normalizer(rows.drop("range_id")), writer=f"{source}-{run_id}-{covers}")
         progress.store(_range_offsets(spark, step, seen))
-    report = CopyReport(raw.count(), table.read().count(), len(steps))
+    report = CopyReport(rows_in_all, table.read().count(), len(steps))
     if cleanup:
         progress.delete(source)
     return report
