@@ -21,12 +21,14 @@ OWN_CLASSES, BUCKET_CLASSES = 192, 64  # of the predicted word
 SIDE = 2  # words on either side
 HIDDEN = 16
 ROUNDS = 2
-STRIDE = 32  # one word in so many is a training target, over all documents
+STRIDE = ROUNDS  # words of a document between two targets of a round; the rounds together take every word once
 BATCH = 2048
+BLOCK = 512  # words whose classes are held at once
 RATE = 0.1
 _INPUTS = FREQUENT + BUCKETS + 1  # the last stands beyond an end of the text
 _CLASSES = OWN_CLASSES + BUCKET_CLASSES
 _WIDTH = 2 * SIDE * HIDDEN
+_ONES = np.ones(_CLASSES, np.float32)
 _CONTEXT = [-k for k in range(SIDE, 0, -1)] + list(range(1, SIDE + 1))
 
 
@@ -55,20 +57,31 @@ class Network:
         return rows
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        h = self.inputs[0][context[0]]
+        h = np.take(self.inputs[0], context[0], axis=0)
         for k in range(1, 2 * SIDE):
-            h += self.inputs[k][context[k]]
+            h += np.take(self.inputs[k], context[k], axis=0)
         h += self.bias
         return np.tanh(h, out=h)
 
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        logits = self.hidden(context) @ self.out
+    def logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hidden layer and the logits, less the greatest where an exponential could overflow."""
+        h = self.hidden(context)
+        logits = h @ self.out
         logits += self.out_bias
-        own = logits[np.arange(len(target)), target]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        np.exp(logits, out=logits)
-        return own - top - np.log(logits.sum(axis=1))
+        if (np.abs(self.out).sum(axis=0) + np.abs(self.out_bias)).max() < 60:
+            return h, logits
+        logits -= logits.max(axis=1, keepdims=True)
+        return h, logits
+
+    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        found = np.empty(len(target), np.float32)
+        for i in range(0, len(target), BLOCK):
+            part = slice(i, i + BLOCK)
+            _, logits = self.logits(context[:, part])
+            own = logits[np.arange(len(logits)), target[part]]
+            np.exp(logits, out=logits)
+            found[part] = own - np.log(logits @ _ONES)
+        return found
 
 
 class Trainer:
@@ -82,25 +95,28 @@ class Trainer:
 
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         net, n = self.net, len(target)
-        h = net.hidden(context)
-        logits = h @ net.out + net.out_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), target] -= 1
-        p /= n
-        dh = (p @ net.out.T) * (1 - h * h)
-        for value, grad, step in ((net.out, h.T @ p, self.steps[1]), (net.out_bias, p.sum(axis=0), self.steps[2]), (net.bias, dh.sum(axis=0), self.steps[3])):
+        dh, out, out_bias = np.empty((n, HIDDEN), np.float32), np.zeros_like(net.out), np.zeros_like(net.out_bias)
+        for i in range(0, n, BLOCK):
+            part = slice(i, i + BLOCK)
+            h, p = net.logits(context[:, part])
+            np.exp(p, out=p)
+            p *= (1 / (n * (p @ _ONES)))[:, None]
+            p[np.arange(len(p)), target[part]] -= np.float32(1 / n)
+            out += h.T @ p
+            out_bias += p.sum(axis=0)
+            np.multiply(p @ net.out.T, 1 - h * h, out=dh[part])
+        for value, grad, step in ((net.out, out, self.steps[1]), (net.out_bias, out_bias, self.steps[2]), (net.bias, dh.sum(axis=0), self.steps[3])):
             step += grad * grad
             value -= RATE * grad / np.sqrt(step)
         for k in range(2 * SIDE):
-            order = np.argsort(context[k], kind="stable")
+            order = np.argsort(context[k].astype(np.uint16), kind="stable")  # a radix sort
             ids = context[k][order]
             first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
             grad, ids = np.add.reduceat(dh[order], first, axis=0), ids[first]
-            self.steps[0][k][ids] += grad * grad
-            net.inputs[k][ids] -= RATE * grad / np.sqrt(self.steps[0][k][ids])
-            self.seen += np.bincount(context[k], minlength=_INPUTS)
+            step = self.steps[0][k][ids] + grad * grad
+            self.steps[0][k][ids] = step
+            net.inputs[k][ids] -= RATE * grad / np.sqrt(step)
+            self.seen[ids] += np.diff(np.append(first, n))
         self.targets += np.bincount(target, minlength=_CLASSES)
 
 
@@ -164,8 +180,18 @@ def _contexts(numbers: np.ndarray, words_at: np.ndarray, at: np.ndarray, rows: n
     return found
 
 
+def targets_of(words_at: np.ndarray, shift: int, stride: int) -> np.ndarray:
+    """Every ``stride``-th word of each text from the word ``shift`` on."""
+    total = words_at[-1]
+    return np.flatnonzero((np.arange(total) - np.repeat(words_at[:-1], np.diff(words_at))) % stride == shift)
+
+
 def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, stride: int = STRIDE) -> np.ndarray:
-    """The table of the trained network. Copies are averaged by how often each row was used."""
+    """The table of the trained network. Copies are averaged by how often each row was used.
+
+    A round's targets are every ``stride``-th word of each document, from another word in each round;
+    with as many rounds as ``stride`` every word of every document is a target once.
+    """
     context = docs.sparkSession.sparkContext
     rows = Network.fresh()
     for round_ in range(rounds):
@@ -179,7 +205,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, stride: i
                 for _, _, data, at in slices(batch.column("text")):
                     starts, ends, words_at = word_bounds(data, at, SPACES)
                     numbers, classes = numbering.of(word_codes(data, starts, ends))
-                    targets = np.arange(shift, len(numbers), stride)
+                    targets = targets_of(words_at, shift, stride)
                     waiting.append((_contexts(numbers, words_at, targets, row_of(words_at)), classes[targets]))
                     if sum(len(t) for _, t in waiting) >= BATCH:
                         _learn(trainer, waiting)

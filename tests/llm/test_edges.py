@@ -111,6 +111,25 @@ def test_language_model_prefers_the_language_it_saw(spark):
     assert np.mean([score[i] for i in range(20)]) > np.mean([untrained[i] for i in range(20)]) + 2
 
 
+def test_rounds_take_every_word_as_a_target_once():
+    words_at = np.array([0, 3, 4, 4, 11, 112])
+    taken = [lmscore.targets_of(words_at, r * lmscore.STRIDE // lmscore.ROUNDS, lmscore.STRIDE) for r in range(lmscore.ROUNDS)]
+    assert sorted(np.concatenate(taken).tolist()) == list(range(112))
+
+
+def test_language_model_learns_from_short_documents(spark):
+    import random
+
+    r = random.Random(4)
+    sentence = lambda: f"the {r.choice(['cat', 'dog'])} {r.choice(['sees', 'hears'])} a {r.choice(['bird', 'fish'])}"
+    seen = spark.createDataFrame([(i, sentence()) for i in range(3000)], "doc_id long, text string").repartition(300).coalesce(2)
+    frequent = lmscore.frequent_words(seen)
+    rows = lmscore.train(seen, frequent)
+    docs = spark.createDataFrame([(1, "the cat sees a fish"), (2, "fish a the sees cat")], "doc_id long, text string")
+    score = {x["doc_id"]: x["mean_log_likelihood"] for x in lmscore.score(docs, frequent, rows).collect()}
+    assert score[1] > -3 and score[1] > score[2]
+
+
 def test_frequent_words_are_counted_exactly(spark):
     docs = spark.createDataFrame([(1, "b a a c"), (2, "a c c c c")], "doc_id long, text string").repartition(2)
     data, at = lmscore.slices.__globals__["text_bytes"](__import__("pyarrow").array(["c a b"]))
