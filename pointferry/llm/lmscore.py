@@ -1,13 +1,18 @@
 """Masked pseudo-likelihood: a window network predicts every word from the words on both sides.
 
-Words are the most frequent ones of all documents, and hash buckets for the rest. The network sums one vector per
+Neighbours are the most frequent words of all documents, and hash buckets for the rest. The network sums one vector per
 neighbour and place, takes the hyperbolic tangent, and scores the classes of the hidden word. Tasks train copies of it
 on their own documents, and Spark averages the copies, row by row, after each round.
+
+The output is open: P(word | neighbours) = P(class | neighbours) P(word | class). The most frequent words are classes of
+their own; other listed words share classes, within which they have their shares of the corpus' counts; all words that
+are not listed are one class, and are spelled byte by byte from counts of their byte pairs over the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +22,8 @@ from pointferry.llm.textkit import SPACES, documents, id_and_text, row_of, slice
 
 FREQUENT = 4096  # words with a number of their own
 BUCKETS = 256  # numbers of all other words
-OWN_CLASSES, BUCKET_CLASSES = 192, 64  # of the predicted word
+LISTED = 16384  # words predicted as such; others are spelled
+OWN_CLASSES, BUCKET_CLASSES = 192, 64  # of the predicted word; the last is that of words not listed
 SIDE = 2  # words on either side
 HIDDEN = 16
 ROUNDS = 2
@@ -25,6 +31,8 @@ STRIDE = ROUNDS  # words of a document between two targets of a round; the round
 BATCH = 2048
 BLOCK = 512  # words whose classes are held at once
 RATE = 0.1
+SMOOTHING = 0.5  # of the counts of byte pairs
+_SYMBOLS, _BORDER = 257, 256  # bytes, and the border of a word
 _INPUTS = FREQUENT + BUCKETS + 1  # the last stands beyond an end of the text
 _CLASSES = OWN_CLASSES + BUCKET_CLASSES
 _WIDTH = 2 * SIDE * HIDDEN
@@ -120,7 +128,7 @@ class Trainer:
         self.targets += np.bincount(target, minlength=_CLASSES)
 
 
-def frequent_words(docs: DataFrame, n: int = FREQUENT) -> np.ndarray:
+def frequent_words(docs: DataFrame, n: int = LISTED) -> np.ndarray:
     """Codes of the most frequent words of all documents, the first being the most frequent; counts are exact."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,19 +162,85 @@ def frequent_words(docs: DataFrame, n: int = FREQUENT) -> np.ndarray:
 
 
 class Numbers:
-    """Input numbers and classes of word codes."""
+    """Input numbers and classes of word codes, and their places in the list; -1 of words not listed."""
 
     def __init__(self, frequent: np.ndarray):
         self.order = np.argsort(frequent)
         self.codes = frequent[self.order]
 
-    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         bucket = (codes >> np.uint64(40)).astype(np.int64)
-        number = FREQUENT + bucket % BUCKETS
+        place = np.full(len(codes), -1)
         if len(self.codes):
             spot = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            number = np.where(self.codes[spot] == codes, self.order[spot], number)
-        return number, np.where(number < OWN_CLASSES, number, OWN_CLASSES + bucket % BUCKET_CLASSES)
+            place = np.where(self.codes[spot] == codes, self.order[spot], -1)
+        number = np.where((place >= 0) & (place < FREQUENT), place, FREQUENT + bucket % BUCKETS)
+        shared = np.where(place < 0, _CLASSES - 1, OWN_CLASSES + bucket % (BUCKET_CLASSES - 1))
+        return number, np.where((place >= 0) & (place < OWN_CLASSES), place, shared), place
+
+
+def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers of the byte pairs of words one after the other, from the border before a word to that after it."""
+    long = ends - starts + 1
+    at = np.repeat(starts - (np.cumsum(long) - long), long) + np.arange(long.sum())
+    last = np.cumsum(long) - 1
+    now = np.append(data, 0)[at].astype(np.int64)
+    now[last] = _BORDER
+    before = np.empty_like(now)
+    before[1:] = now[:-1]
+    before[:1] = _BORDER
+    return before * _SYMBOLS + now
+
+
+@dataclass(frozen=True)
+class Words:
+    """Log-probabilities within classes: of each listed word in its class, and of a byte after another in other words."""
+
+    listed: np.ndarray
+    spelling: np.ndarray
+
+    @staticmethod
+    def counted(frequent: np.ndarray, counts: np.ndarray) -> Words:
+        """From counts of the listed words, then of byte pairs. A listed word counts as one at least."""
+        n = np.maximum(counts[: len(frequent)], 1)
+        classes = Numbers(frequent).of(frequent)[1]
+        listed = np.log(n / np.bincount(classes, weights=n, minlength=_CLASSES)[classes])
+        pairs = counts[len(frequent) :].reshape(_SYMBOLS, _SYMBOLS) + SMOOTHING
+        return Words(listed, np.log(pairs / pairs.sum(axis=1, keepdims=True)).ravel())
+
+    def terms(self, place: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log P(word | class) of every word."""
+        found = np.zeros(len(place))
+        known = place >= 0
+        found[known] = self.listed[place[known]]
+        other = np.flatnonzero(~known)
+        if len(other):
+            first = np.cumsum(ends[other] - starts[other] + 1)
+            found[other] = np.add.reduceat(self.spelling[_pairs(data, starts[other], ends[other])], np.append(0, first[:-1]))
+        return found
+
+
+def count_words(docs: DataFrame, frequent: np.ndarray) -> Words:
+    """``Words`` of all documents; counts are exact."""
+    size = len(frequent) + _SYMBOLS * _SYMBOLS
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbering, counts = Numbers(sent.value), np.zeros(size, np.int64)
+        for batch in batches:
+            for _, _, data, at in slices(batch.column("text")):
+                starts, ends, _ = word_bounds(data, at, SPACES)
+                place = numbering.of(word_codes(data, starts, ends))[2]
+                counts[: size - _SYMBOLS * _SYMBOLS] += np.bincount(place[place >= 0], minlength=size - _SYMBOLS * _SYMBOLS)
+                pairs = _pairs(data, starts[place < 0], ends[place < 0])
+                counts[size - _SYMBOLS * _SYMBOLS :] += np.bincount(pairs, minlength=_SYMBOLS * _SYMBOLS)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some])], names=["spot", "n"])
+
+    counts = np.zeros(size, np.int64)
+    for r in docs.select("text").mapInArrow(count, "spot long, n long").groupBy("spot").agg(F.sum("n").alias("n")).collect():  # at most one row per count
+        counts[r["spot"]] = r["n"]
+    return Words.counted(frequent, counts)
 
 
 def _contexts(numbers: np.ndarray, words_at: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -204,7 +278,7 @@ def train(docs: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS, stride: i
             for batch in batches:
                 for _, _, data, at in slices(batch.column("text")):
                     starts, ends, words_at = word_bounds(data, at, SPACES)
-                    numbers, classes = numbering.of(word_codes(data, starts, ends))
+                    numbers, classes, _ = numbering.of(word_codes(data, starts, ends))
                     targets = targets_of(words_at, shift, stride)
                     waiting.append((_contexts(numbers, words_at, targets, row_of(words_at)), classes[targets]))
                     if sum(len(t) for _, t in waiting) >= BATCH:
@@ -235,28 +309,29 @@ def _learn(trainer: Trainer, waiting: list[tuple[np.ndarray, np.ndarray]]) -> No
             trainer.learn(context[:, i : i + BATCH], target[i : i + BATCH])
 
 
-def score(df: DataFrame, frequent: np.ndarray, rows: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(df: DataFrame, frequent: np.ndarray, rows: np.ndarray, id_col: str = "doc_id", text_col: str = "text", known: Words | None = None) -> DataFrame:
     """Per document: words, and the sum and the mean of the log-probability of each word given the others around it.
 
-    A null or empty text has no words, the sum 0 and no mean. Repeated rows give repeated results;
+    ``known`` has the corpus' counts; without it those of the documents scored are taken. A null or empty text has no words, the sum 0 and no mean. Repeated rows give repeated results;
     long texts are scored whole.
     """
     docs = id_and_text(df, id_col, text_col)
-    sent = df.sparkSession.sparkContext.broadcast((frequent, rows))
+    known = count_words(docs, frequent) if known is None else known
+    sent = df.sparkSession.sparkContext.broadcast((frequent, rows, known.listed, known.spelling))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = sent.value
-        numbering, net = Numbers(words), Network(table)
+        words, table, *within = sent.value
+        numbering, net, known = Numbers(words), Network(table), Words(*within)
         for batch in batches:
             counts, sums = [np.empty(0, np.int64)], [np.empty(0)]
             for _, _, data, at in slices(batch.column("text")):
                 starts, ends, words_at = word_bounds(data, at, SPACES)
-                numbers, classes = numbering.of(word_codes(data, starts, ends))
+                numbers, classes, place = numbering.of(word_codes(data, starts, ends))
                 owner = row_of(words_at)
-                total = np.zeros(len(numbers) + 1)
+                total = np.append(0, known.terms(place, data, starts, ends))
                 for i in range(0, len(numbers), BATCH):
-                    place = np.arange(i, min(i + BATCH, len(numbers)))
-                    total[place + 1] = net.log_probabilities(_contexts(numbers, words_at, place, owner), classes[place])
+                    at = np.arange(i, min(i + BATCH, len(numbers)))
+                    total[at + 1] += net.log_probabilities(_contexts(numbers, words_at, at, owner), classes[at])
                 np.cumsum(total, out=total)
                 counts.append(np.diff(words_at))
                 sums.append(np.round(total[words_at[1:]] - total[words_at[:-1]], 3))
@@ -270,7 +345,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihood of every document under a network trained on all of them."""
     docs = documents(spark, sf_dir)
     frequent = frequent_words(docs)
-    return score(docs, frequent, train(docs, frequent))
+    return score(docs, frequent, train(docs, frequent), known=count_words(id_and_text(docs), frequent))
 
 
 ENTRIES = {"op10_lm_scoring": (op10_lm_scoring, None)}

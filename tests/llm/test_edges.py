@@ -130,6 +130,34 @@ def test_language_model_learns_from_short_documents(spark):
     assert score[1] > -3 and score[1] > score[2]
 
 
+def test_language_model_tells_every_word_apart(spark):
+    """Log-probabilities within classes against counting; words of one class differ, listed or spelled."""
+    n = lmscore.OWN_CLASSES + 4 * lmscore.BUCKET_CLASSES
+    listed = [f"word{i}" for i in range(n)]
+    text = " ".join(" ".join([w] * (2 * n - i)) for i, w in enumerate(listed)) + " né rare rarer"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    frequent = lmscore.frequent_words(docs, n)
+    known = lmscore.count_words(docs, frequent)
+    classes = lmscore.Numbers(frequent).of(frequent)[1]
+    counts = 2 * n - np.arange(n)
+    want = [np.log(counts[i] / counts[classes == classes[i]].sum()) for i in range(n)]
+    assert np.allclose(known.listed, want) and len(set(classes.tolist())) == lmscore._CLASSES - 1
+    pairs = np.full((257, 257), lmscore.SMOOTHING)
+    for w in ("né", "rare", "rarer"):
+        for a, b in zip([256, *w.encode()], [*w.encode(), 256]):
+            pairs[a, b] += 1
+    spelled = lambda w: sum(np.log(pairs[a, b] / pairs[a].sum()) for a, b in zip([256, *w.encode()], [*w.encode(), 256]))
+    same = [w for w, c in zip(listed, classes) if c == classes[n - 1]]
+    variants = [f"word0 word1 {w} word2" for w in [*same, "né", "rare", "rarer", "neverseen"]]
+    rows = lmscore.Network.fresh()
+    scored = spark.createDataFrame(list(enumerate(variants)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["log_likelihood"] for r in lmscore.score(scored, frequent, rows, known=known).collect()}
+    assert len(set(got.values())) == len(variants) > 5
+    last = [got[len(same) + i] for i in range(4)]
+    for i, w in enumerate(("rare", "rarer", "neverseen"), 1):  # neighbours see buckets, so only near
+        assert abs(last[i] - last[0] - (spelled(w) - spelled("né"))) < 1
+
+
 def test_frequent_words_are_counted_exactly(spark):
     docs = spark.createDataFrame([(1, "b a a c"), (2, "a c c c c")], "doc_id long, text string").repartition(2)
     data, at = lmscore.slices.__globals__["text_bytes"](__import__("pyarrow").array(["c a b"]))
