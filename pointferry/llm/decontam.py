@@ -23,7 +23,9 @@ WINDOW = 10
 PART_BYTES = 16 << 20  # benchmark text that is sent to the tasks at once
 NEAR_SLACK = 3
 NEAR_SHARE = 0.8
-FOUND = "doc_id long, row long, n_words long, hit_spans array<struct<first:long,n:long>>, items array<long>, n_near long"
+NEAR_BLOCK = 1 << 20  # places looked at together, but for a phrase with more
+_NEAR = pa.struct([("item", pa.int64()), ("first", pa.int64()), ("n", pa.int64())])
+FOUND = "doc_id long, row long, n_words long, hit_spans array<struct<first:long,n:long>>, items array<long>, near array<struct<item:long,first:long,n:long>>"
 
 
 @dataclass(frozen=True)
@@ -110,29 +112,48 @@ class Index:
         return phrase, start
 
     def near(self, phrases: Phrases, slack: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, start) where the rarest term stands and enough others within ``slack`` of their places."""
+        """(phrase, start) where enough terms stand within ``slack`` of their places, at least one of them in its place.
+
+        A match lacks at most ``n - needed`` terms, so it holds one of any ``n - needed + 1``: the
+        places it is looked for are those of that many of the phrase's rarest terms, each within
+        ``slack``. What else the slice holds changes the work only.
+        """
         n = phrases.length
-        rarity = np.where(self.counts[phrases.terms] == 0, np.iinfo(np.int64).max, self.counts[phrases.terms])
-        order = np.argsort(rarity, axis=1, kind="stable")
-        needed = int(np.ceil(share * n))
-        phrase = np.flatnonzero((self.counts[phrases.terms] > 0).sum(axis=1) >= needed)
-        phrase, start = self.shifted(phrases, phrase, order[phrase, 0])
-        keep = self._inside(start, n)
-        phrase, start = phrase[keep], start[keep]
+        needed = int(np.ceil(share * n - 1e-9))
+        counts = self.counts[phrases.terms]
+        order = np.argsort(counts, axis=1, kind="stable")
+        able = np.flatnonzero((counts > 0).sum(axis=1) >= needed)
+        anchors = n - needed + 1
+        work = np.cumsum(np.take_along_axis(counts, order, axis=1)[able, :anchors].sum(axis=1) * (2 * slack + 1)) // NEAR_BLOCK
+        found = [self._near(phrases, block, order, anchors, slack) for block in np.split(able, np.flatnonzero(np.diff(work)) + 1)]
+        return np.concatenate([p for p, _ in found]), np.concatenate([s for _, s in found])
+
+    def _near(self, phrases: Phrases, able: np.ndarray, order: np.ndarray, anchors: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
+        """The matches of some phrases from their first ``anchors`` terms in the given order."""
+        n, total = phrases.length, len(self.row_of)
+        keys = [np.empty(0, np.int64)]
+        for k in range(anchors):
+            phrase, start = self.shifted(phrases, able, order[able, k])
+            for s in range(-slack, slack + 1):
+                moved = start - s
+                keep = self._inside(moved, n)
+                keys.append(phrase[keep] * total + moved[keep])
+        phrase, start = np.divmod(np.unique(np.concatenate(keys)), max(total, 1))
         row = self.row_of[start]
-        found, missed = np.ones(len(phrase), np.int64), np.zeros(len(phrase), np.int64)
-        for k in range(1, n):
+        missed, exact = np.zeros(len(phrase), np.int64), np.zeros(len(phrase), bool)
+        for k in range(n):
             place = order[phrase, k]
             term = phrases.terms[phrase, place]
             there = np.zeros(len(phrase), bool)
             for s in range(-slack, slack + 1):
-                spot = np.clip(start + place + s, self.words_at[row], self.words_at[row + 1] - 1)
-                there |= self.term_at[spot] == term
-            found += there
+                spot = start + place + s
+                inside = (spot >= self.words_at[row]) & (spot < self.words_at[row + 1])
+                there |= inside & (self.term_at[np.where(inside, spot, start)] == term)
+            exact |= self.term_at[start + place] == term
             missed += ~there
-            keep = missed <= n - needed
-            phrase, start, row, found, missed = phrase[keep], start[keep], row[keep], found[keep], missed[keep]
-        return phrase, start
+            keep = missed < anchors
+            phrase, start, row, missed, exact = phrase[keep], start[keep], row[keep], missed[keep], exact[keep]
+        return phrase[exact], start[exact]
 
 
 def _runs(flags: np.ndarray) -> list[dict]:
@@ -148,7 +169,7 @@ def _search(batch: pa.RecordBatch, benchmark: Benchmark, slack: int, share: floa
         n_words.append(np.diff(words_at))
         row_items: list[set[int]] = [set() for _ in range(n)]
         flags = np.zeros(len(codes), bool)
-        n_near = np.zeros(n, np.int64)
+        row_near: list[set[tuple]] = [set() for _ in range(n)]
         if len(codes) and len(benchmark.vocabulary):
             index = Index(codes, words_at, benchmark.vocabulary)
             for phrases in benchmark.phrases:
@@ -156,17 +177,19 @@ def _search(batch: pa.RecordBatch, benchmark: Benchmark, slack: int, share: floa
                 flags |= covered(start, phrases.length, len(codes))
                 for row, item in np.unique(np.stack([index.row_of[start], phrases.items[phrase]]), axis=1).T.tolist():
                     row_items[row].add(item)
-                _, start = index.near(phrases, slack, share)
-                np.add.at(n_near, index.row_of[np.unique(start)], 1)
+                phrase, start = index.near(phrases, slack, share)
+                row = index.row_of[start]
+                for r, item, first_word in zip(row.tolist(), phrases.items[phrase].tolist(), (start - words_at[row]).tolist()):
+                    row_near[r].add((item, first_word, phrases.length))
         hits = counts_in_rows(flags, words_at)
         spans += [_runs(flags[words_at[r] : words_at[r + 1]]) if hits[r] else [] for r in range(n)]
         items += [sorted(x) for x in row_items]
-        near.append(n_near)
+        near += [[{"item": i, "first": f, "n": long} for i, f, long in sorted(x)] for x in row_near]
     join = lambda parts: pa.array(np.concatenate(parts), pa.int64())
     carried = [c for c in ("text", "rest") if "rest" in batch.schema.names]
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), batch.column("row"), join(n_words), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))), pa.array(items, pa.list_(pa.int64())), join(near), *map(batch.column, carried)],
-        names=["doc_id", "row", "n_words", "hit_spans", "items", "n_near", *carried],
+        [batch.column("doc_id"), batch.column("row"), join(n_words), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))), pa.array(items, pa.list_(pa.int64())), pa.array(near, pa.list_(_NEAR)), *map(batch.column, carried)],
+        names=["doc_id", "row", "n_words", "hit_spans", "items", "near", *carried],
     )
 
 
@@ -184,7 +207,11 @@ def find_contamination(
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES,
     carry: bool = False,
 ) -> DataFrame:
-    """Per document: runs of hit words (``hit_spans``), the items found, and proximity matches (``n_near``).
+    """Per document: runs of hit words (``hit_spans``), the items found, and proximity matches (``near``, ``n_near``).
+
+    ``near`` lists item, first word and words of every place where at least ``near_share`` of a
+    window's terms stand within ``slack`` words of their places, one at its place; exact matches are
+    among them. ``n_near`` counts its different places. Neither depends on other documents.
 
     A null or empty text has no words. Repeated documents give repeated results; a repeated item
     counts once. An empty benchmark hits nothing. A benchmark above ``part_bytes`` is searched in
@@ -210,16 +237,21 @@ def find_contamination(
 
         found.append(docs.mapInArrow(run, schema))
     if len(found) == 1:
-        return with_doc_id(found[0].drop("row"), id_col)
+        return with_doc_id(with_n_near(found[0].drop("row")), id_col)
     merged = found[0]
     for other in found[1:]:
         merged = merged.unionAll(other)
     merged = merged.groupBy("doc_id", "row").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sum("n_near").alias("n_near"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"),
         *(F.first(c).alias(c) for c in ("text", "rest") if carry),
     )
-    return with_doc_id(merged.drop("row"), id_col)
+    return with_doc_id(with_n_near(merged.drop("row")), id_col)
+
+
+def with_n_near(df: DataFrame) -> DataFrame:
+    """Adds the number of different first words of proximity matches."""
+    return df.withColumn("n_near", F.size(F.array_distinct(F.col("near.first"))).cast("long"))
 
 
 def n_hit(spans: str = "hit_spans"):

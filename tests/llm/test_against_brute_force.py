@@ -130,6 +130,31 @@ def test_contamination_finds_a_reworded_passage(spark):
     assert rows[1]["hit_spans"] == [] and rows[1]["n_near"] > 0 and rows[2]["n_near"] == 0
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 24, 100])
+def test_proximity_matches_do_not_depend_on_neighbours(spark, part_bytes):
+    """One slice holds all documents; a word that a reworded passage lacks stands in its neighbours."""
+    item = "the quick brown fox jumps over a lazy dog near old stone bridges"
+    text = "yes the quick brown fox leaps over a lazy dog near old old stone bridges indeed"
+    texts = [text, "jumps", "jumps " * 9 + text, "one jumps and stone bridges", "", item]
+    items = [(1, item), (2, "quick brown fox over dog"), (3, "stone bridges")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = decontam.find_contamination(docs, spark.createDataFrame(items, "item_id long, text string"), part_bytes=part_bytes)
+    rows = {r["doc_id"]: r for r in found.collect()}
+    for d, t in enumerate(texts):
+        words, want = t.split(), set()
+        for i, body in items:
+            terms = body.split()
+            n = min(len(terms), decontam.WINDOW)
+            for phrase in (terms[k : k + n] for k in range(len(terms) - n + 1)):
+                for at in range(len(words) - n + 1):
+                    near = [w in words[max(0, at + p - decontam.NEAR_SLACK) : at + p + decontam.NEAR_SLACK + 1] for p, w in enumerate(phrase)]
+                    if 10 * sum(near) >= 8 * n and any(words[at + p] == w for p, w in enumerate(phrase)):
+                        want.add((i, at, n))
+        assert [tuple(x) for x in rows[d]["near"]] == sorted(want)
+        assert rows[d]["n_near"] == len({at for _, at, _ in want})
+    assert rows[0]["n_near"] > 0
+
+
 def test_contamination_query(spark):
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     got = by_id(ENTRIES["op7_benchmark_decontamination"][0](spark, SF_DIR), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
