@@ -24,6 +24,7 @@ FIRST_CHAR, N_CHARS = 43, 80  # '+' to 'z', the characters of candidates
 SAMPLE_DOCUMENTS = 1_000  # documents whose words are the sample of ordinary identifiers
 SAMPLE_RANDOM = 20_000  # random strings of each alphabet in the other sample
 THRESHOLD = 1.0  # log-likelihood ratio per step, in nats
+PLAIN_THRESHOLD = 1.5  # of tokens without letters or with fewer than two digits, as ordinary identifiers are
 MARK = "[SECRET]"
 
 
@@ -92,12 +93,13 @@ def _ratio(token: Column, table: Column) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, samples: DataFrame | None = None, carry: bool = False) -> DataFrame:
+def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, plain_threshold: float = PLAIN_THRESHOLD, samples: DataFrame | None = None, carry: bool = False) -> DataFrame:
     """Per document: ``text`` and ``spans``, an array of (start, order, end, kind) in the order of places.
 
     Places are code points, the end is exclusive; ``order`` numbers the kinds. A null or empty text
-    has no spans. Repeated rows give repeated results. A token that overlaps a base span, or lacks a
-    digit or a letter, is no further span. ``carry`` adds ``rest``, the document's other columns.
+    has no spans. Repeated rows give repeated results. A token that overlaps a base span is no
+    further span; of all others the ratio decides, by ``plain_threshold`` for those without letters or
+    with fewer than two digits. ``carry`` adds ``rest``, the document's other columns.
     """
     docs = id_and_text(df, id_col, text_col, carry)
     table = F.split(F.lit(",".join(map(str, ratios(samples if samples is not None else labelled_samples(docs))))), ",").cast("array<double>")
@@ -116,8 +118,9 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = found.withColumn("base", F.array_sort(F.concat(spans("assign"), spans("access"), spans("hex"))))
     mixed = lambda v: v.rlike("[0-9].*[0-9]") & v.rlike("[A-Za-z]")
     apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    found = found.withColumn("candidates", F.filter("candidates", lambda m: mixed(m["value"]) & apart(m)))
-    found = found.withColumn("candidates", F.filter("candidates", lambda m: _ratio(m["value"], table) > threshold))
+    least = lambda v: F.when(mixed(v), F.lit(threshold)).otherwise(F.lit(max(threshold, plain_threshold)))
+    found = found.withColumn("candidates", F.filter("candidates", apart))
+    found = found.withColumn("candidates", F.filter("candidates", lambda m: _ratio(m["value"], table) > least(m["value"])))
     found = found.withColumn("spans", F.array_sort(F.concat("base", spans("candidates"))))
     return with_doc_id(found.select("doc_id", "text", "spans", *["rest"] * carry), id_col)
 

@@ -190,6 +190,25 @@ def test_secret_models_on_held_out_strings(spark):
     assert not [i for i in range(120, len(rows)) if i in found]
 
 
+def test_secret_models_on_short_tokens_and_letters_only(spark):
+    import random
+    import string
+
+    r = random.Random(11)
+    alphabets = [string.ascii_letters + string.digits + "+/", string.ascii_letters]
+    random_tokens = ["".join(r.choices(a, k=n)) for a in alphabets for n in (20, 22, 24) for _ in range(60)]
+    plain = ["get_document_by_identifier_version", "spark_sql_shuffle_partitions", "InternationalOrganizationForStandards", "the-quick-brown-fox-jumps-over", "AbstractSingletonProxyFactoryBean", "-" * 30, "=" * 30, "_" * 30, "src/main/java/org/apache/spark", "12345678901234567890", "Donaudampfschifffahrtsgesellschaft"]
+    docs = spark.createDataFrame([(i, f"value {t} end") for i, t in enumerate(random_tokens + plain)], "doc_id long, text string")
+    # The next larger table has as many documents as a sample takes; 200 documents make a poorer model.
+    large = spark.read.parquet(f"{SF_DIR}/../sf0.01/documents.parquet").select("doc_id", "text")
+    assert large.count() == secrets.SAMPLE_DOCUMENTS
+    samples = secrets.labelled_samples(large)
+    found = {x["doc_id"] for x in secrets.scan_secrets(docs, samples=samples).where(F.size("spans") > 0).collect()}
+    for part in range(2):
+        assert sum(i in found for i in range(180 * part, 180 * (part + 1))) >= 171
+    assert not [plain[i - 360] for i in found if i >= 360]
+
+
 def test_secret_scan_is_native(hard):
     plan = secrets.scan_secrets(hard)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
