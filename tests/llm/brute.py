@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
+import zlib
 from collections import Counter, defaultdict
 
 SPACED = re.compile("[^\\x20\\x09-\\x0D]+")
@@ -163,3 +165,63 @@ def hard_table(spark, texts: list[str | None] | None = None, first_id: int = 0):
     texts = hard_texts() if texts is None else texts
     rows = [(first_id + i, t, None if i % 3 else "en", "s", len(t or ""), 1, "r", None, "k", None, "n", 2, 3, 4, 5) for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, CLASHING).repartition(3)
+
+
+def trie(turns: list[tuple]) -> set:
+    """Nodes of rebuilt conversations from rows (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            pair = (role or "", text or "")
+            own[c].append(((turn is not None, turn or 0, sha(f"{len(pair[0].encode())}:{pair[0]}{pair[1]}")), pair))
+    own = {c: [pair for _, pair in sorted(rows)] for c, rows in own.items()}
+    members, paths = defaultdict(list), {}
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 6
+        paths[c] = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + own[c][h:])
+        for d in range(len(paths[c]) + 1):
+            members[paths[c][:d]].append(c)
+    kids = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, cs in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(cs) - 1) * (len(p[-1][1]) if p else 0)
+    ends = lambda p, cs: sha(",".join(str(c) for c in cs if len(paths[c]) == len(p)))
+    return {(cs[0], len(p), members[p[:-1]][0] if p else None, len(cs), kids[p], leaves[p], saved[p], ends(p, cs)) for p, cs in members.items()}
+
+
+def merkle(docs: list[tuple]) -> list[tuple]:
+    """Rows of the manifest from rows (doc_id, source, lang, n_chars, text)."""
+    part = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda row: sha("".join(map(part, row)))
+    langs = defaultdict(list)
+    for row in docs:
+        langs[row[2]].append(((row[0] is not None, row[0] or 0, leaf(row)), row))
+
+    def proofs(digests):  # the root, and for each the siblings and own place by level
+        steps, at = [[] for _ in digests], list(range(len(digests)))
+        while len(digests) > 1:
+            runs = [digests[i : i + 8] for i in range(0, len(digests), 8)]
+            for s, i in zip(steps, at):
+                s.append((runs[i // 8], i % 8))
+            at, digests = [i // 8 for i in at], [sha("".join(r)) for r in runs]
+        return digests[0], steps
+
+    trees = {lang: sorted(rows, key=lambda r: r[0]) for lang, rows in langs.items()}
+    built = {lang: proofs([key[2] for key, _ in rows]) for lang, rows in trees.items()}
+    order = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    if not order:
+        return []
+    root, above = proofs([built[lang][0] for lang in order])
+    out = []
+    for lang, up in zip(order, above):
+        for (key, row), steps in zip(trees[lang], built[lang][1]):
+            changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+            now = leaf((*row[:4], row[4].translate(SMALL))) if changed else key[2]
+            siblings = ""
+            for run, i in steps + up:
+                siblings += "".join(run[:i] + run[i + 1 :])
+                now = sha("".join(run[:i] + [now] + run[i + 1 :]))
+            out.append((row[0], key[2], built[lang][0], root, sha(siblings), now, now == root))
+    return out
