@@ -11,21 +11,26 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
-def measured(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
-    """A one-column key set written to the shared scratch folder, and whether it is small.
-
-    It is computed once: the written table serves the measurement and the join, and is still there
-    when an executor is lost.
-    """
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A table written once to the shared scratch folder: it serves several uses, and is still there when an executor is lost."""
     folder = scratch_dir(df.sparkSession, label)
     df.write.parquet(folder)
-    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
-    key = stored.columns[0]
-    size = stored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(key)))).alias("bytes")).first()
-    return stored, size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a stored table is within the bounds of a broadcast, in rows and in bytes."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return size["n"] <= MAX_BROADCAST_ROWS and (size["bytes"] or 0) <= MAX_BROADCAST_BYTES
+
+
+def measured(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """A key set, stored, and whether it is small."""
+    kept = stored(df, label)
+    return kept, is_small(kept)
 
 
 def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     """The measured set, marked for broadcast if it is small; else the planner joins by shuffle."""
-    stored, small = measured(df, label)
-    return F.broadcast(stored) if small else stored
+    kept, small = measured(df, label)
+    return F.broadcast(kept) if small else kept

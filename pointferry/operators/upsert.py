@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pointferry.model import POINT_COLUMNS, shard_text
-from pointferry.operators.sizing import MAX_BROADCAST_ROWS
+from pointferry.operators.sizing import MAX_BROADCAST_ROWS, is_small, stored
+
+# An id with more than this share of all writes is hot; there are fewer such ids than this number.
+HOT_IDS = 4096
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -45,6 +48,40 @@ def upsert(existing: DataFrame, batch: DataFrame, order: list[str] | None = None
     return kept.select(*POINT_COLUMNS).unionByName(latest.select(*POINT_COLUMNS))
 
 
+def last_writes(log: DataFrame, order: list[str], buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The last write of every id of a stored log, and its ids.
+
+    ``order`` tells all writes apart, as rows of files can be told apart. Winners are found on ids and
+    order alone; vectors and payloads are neither aggregated nor compared. Where few ids were written
+    more than once the other writes pass through as they lie. Otherwise they are shuffled once, into
+    ``buckets`` by id, after the hot ids' losing writes were dropped where they lie.
+    """
+    rank = F.struct(*order)
+    best = stored(log.select("id", rank.alias("_rank")).groupBy("id").agg(F.max("_rank").alias("_best"), F.count(F.lit(1)).alias("_n")), "last-writes")
+    ids = best.select("id")
+    repeated = best.filter("_n > 1")
+    total = best.agg(F.sum("_n").alias("n"), F.count_if(F.col("_n") > 1).alias("repeated")).first()
+    if not total["repeated"]:
+        return log, ids
+    wins = F.col("_best").isNull() | (rank >= F.col("_best"))  # no equality: the id alone is the join's key
+    if is_small(repeated):
+        return log.join(F.broadcast(repeated.select("id", "_best")), "id", "left").filter(wins).select(*log.columns), ids
+    hot = F.col("_n") * HOT_IDS > total["n"]
+    kept = log.join(F.broadcast(repeated.filter(hot).select("id", "_best")), "id", "left").filter(wins).select(*log.columns)
+    others = repeated.filter(~hot).select("id", "_best").repartition(buckets, "id")
+    return kept.repartition(buckets, "id").join(others, "id", "left").filter(wins).select(*log.columns), ids
+
+
+def replace_ids(existing: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
+    """The points of a bucketed table whose id is not among those of newer writes.
+
+    A small set of ids is sent to all tasks. A larger one is dealt into the table's own buckets, so
+    that the table itself is not shuffled.
+    """
+    ids = F.broadcast(ids) if is_small(ids) else ids.repartition(buckets, "id")
+    return existing.join(ids, "id", "left_anti")
+
+
 def shard_keys(points: DataFrame) -> DataFrame:
     """The distinct shard keys of a set of points; a keyword and a number never coincide."""
     keyed = points.filter(F.col("shard_key.keyword").isNotNull() | F.col("shard_key.number").isNotNull())
