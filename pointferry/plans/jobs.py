@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from pointferry.operators.ranges import assign_ranges, boundary_sample, ranges_per_key, ranges_per_worker
 from pointferry.operators.scan import in_range
@@ -16,19 +16,24 @@ from pointferry.sinks.point_table import PointTable
 from pointferry.streaming.progress import ProgressStore, resume_ranges
 
 
-# Steps of a copy where the caller does not say, and the rows that make a further one worth while.
-DEFAULT_STEPS, STEP_ROWS = 8, 500_000
+# Steps of a copy where the caller does not say, the rows that make a further one worth while, and
+# the ranges whose counts one job can keep.
+DEFAULT_STEPS, STEP_ROWS, OBSERVED_RANGES = 8, 500_000, 128
 
 
 @dataclass
 class CopyReport:
+    """Rows of the source, rows that the run's commits hold, points of the whole table, and the steps taken."""
+
     source_count: int
     target_count: int
     steps: int
+    written: int
 
     @property
     def complete(self) -> bool:
-        return self.target_count >= self.source_count
+        """Every row of the source is in a commit of this run; what else the table holds does not count."""
+        return self.written >= self.source_count
 
 
 def copy_all(raw: DataFrame, normalizer: Callable[[DataFrame], DataFrame], table: PointTable, source: str, run: int) -> CopyReport:
@@ -37,9 +42,9 @@ def copy_all(raw: DataFrame, normalizer: Callable[[DataFrame], DataFrame], table
     ``run`` is the caller's number of this run: the same number again is a repeat, which writes
     nothing; an export that has grown is copied under a new number.
     """
-    table.append(normalizer(raw), writer=source, batch=run)
+    folder = table.append(normalizer(raw), writer=source, batch=run)
     # The source is counted, not the commit: after a repeat of an old run the two differ.
-    return CopyReport(raw.count(), table.read().count(), 1)
+    return CopyReport(raw.count(), table.count(), 1, table.count_commit(folder))
 
 
 def copy_ranges(
@@ -62,14 +67,14 @@ def copy_ranges(
     distributed job over its ranges; when it is through, every range of it stores its own offset
     and count. The key must be unique and never NULL, see split_keys().
 
-    What a step covers is measured on the key column first: the last key and the count of each
-    range. Exactly those rows are written, those numbers name the commit, and those are stored, so
-    a source that grows meanwhile, or between runs, is neither skipped nor counted unwritten. A
-    range without an end that is empty so far stores nothing.
+    A step reads its rows once: what it covers is counted as it is written, by range, and the commit
+    is named after those counts. They, and no earlier ones, are stored, so a source that grows
+    meanwhile, or between runs, is neither skipped nor counted unwritten. A step that runs twice over
+    the same rows finds its commit there. A range without an end that is empty so far stores nothing.
 
     A step reads what its outer bounds do not prune, which is little where the export is sorted or
     indexed by the key. The default is up to ``DEFAULT_STEPS`` steps of ``STEP_ROWS`` rows at least; for
-    an unsorted export take one.
+    an unsorted export take one. A step has ``OBSERVED_RANGES`` ranges at most.
     """
     spark: SparkSession = raw.sparkSession
     plan_name = f"{source}-workers-{workers}-plan"
@@ -91,24 +96,45 @@ def copy_ranges(
     pending = [r for r in resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect() if not r["done"]]
     rows_in_all = raw.count()
     per_step = ranges_per_step or max(1, -(-len(pending) // max(1, min(DEFAULT_STEPS, rows_in_all // STEP_ROWS))))
+    per_step = min(per_step, OBSERVED_RANGES)
     steps = [pending[i : i + per_step] for i in range(0, len(pending), per_step)]
+    lost = 0
     for step in steps:
-        rows = _step_rows(raw, key, boundaries, step)
-        seen = {r["range_id"]: (r["last_key"], r["n"]) for r in rows.groupBy("range_id").agg(F.max(key).alias("last_key"), F.count(F.lit(1)).alias("n")).collect()}
-        if seen:
-            open_end = next((r["range_id"] for r in step if r["end_key"] is None and r["range_id"] in seen), None)
-            if open_end is not None:
-                rows = rows.filter((F.col("range_id") != open_end) | (F.col(key) <= F.lit(seen[open_end][0])))
-            # Names exactly what the step covers, so only a repeat of the very same step is skipped.
-            covers = hashlib.sha256(repr([(r["range_id"], r["start_key"], seen.get(r["range_id"])) for r in step]).encode()).hexdigest()[:16]
-            table.append(normalizer(rows.drop("range_id")), writer=f"{source}-{run_id}-{covers}")
+        seen, written = _copy_step(_step_rows(raw, key, boundaries, step), key, step, normalizer, table, f"{source}-{run_id}")
+        lost += sum(n for _, n in seen.values()) - written
         progress.store(_range_offsets(spark, step, seen))
-    report = CopyReport(rows_in_all, table.read().count(), len(steps))
+    totals = progress.start_offsets().filter(F.col("name").startswith(f"{source}-workers-{workers}-range-"))
+    report = CopyReport(rows_in_all, table.count(), len(steps), (totals.agg(F.sum("offset_count")).first()[0] or 0) - lost)
     if cleanup:
         progress.delete(source)
     return report
 
 
+def _copy_step(
+    rows: DataFrame, key: str, step: list[Row], normalizer: Callable[[DataFrame], DataFrame], table: PointTable, writer: str
+) -> tuple[dict[int, tuple], int]:
+    """Write a step's rows in one pass; returns last key and count of each range that has rows, and the points written.
+
+    A closed range is through up to its end, so only the open range's last key is looked for.
+    """
+    of_range = F.col("range_id")
+    counts = {r["range_id"]: F.count_if(of_range == r["range_id"]).alias(f"n{r['range_id']}") for r in step}
+    last_key = F.max(F.when(of_range == step[-1]["range_id"], F.col(key))).alias("last_key")
+    read, wrote = Observation(), Observation()
+    points = normalizer(rows.observe(read, *counts.values(), last_key).drop("range_id"))
+    folder = table.stage(points.observe(wrote, F.count(F.lit(1)).alias("n")))
+    found = read.get
+    ends = {r["range_id"]: r["end_key"] if r["end_key"] is not None else found["last_key"] for r in step}
+    seen = {i: (ends[i], found[f"n{i}"]) for i in counts if found[f"n{i}"]}
+    if not seen:
+        table.discard(folder)
+        return {}, 0
+    # Names exactly what the step covers, so only a repeat of the very same step is skipped.
+    covers = hashlib.sha256(repr([(r["range_id"], r["start_key"], seen.get(r["range_id"])) for r in step]).encode()).hexdigest()[:16]
+    table.commit(folder, f"{writer}-{covers}")
+    return seen, wrote.get["n"]
+
+
 def _plan_folder(plans_folder: str, source: str, run_id: str) -> str:
     return f"{plans_folder.rstrip('/')}/{quote(source, safe='')}-{run_id}"
 

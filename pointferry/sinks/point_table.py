@@ -81,6 +81,18 @@ class PointTable:
         """Make a staged folder the table's next commit, unless the batch is there already."""
         return self.ledger.claim(folder, writer, batch)
 
+    def discard(self, folder: str) -> None:
+        """Drop a staged folder that is to be no commit."""
+        self.ledger.fs().delete(self.ledger.at(folder[len(self.path) + 1 :]), True)
+
+    def count(self) -> int:
+        """The number of points; only ids are read of what is not compacted."""
+        upto, last = self._state()
+        if not last or upto == last:
+            return self.read().count()
+        ids = self._log(upto + 1, last).select("id").distinct()
+        return ids.count() if not upto else self._plain_base(upto).select("id").unionByName(ids).distinct().count()
+
     def count_commit(self, folder: str) -> int:
         """Rows written by one commit, from the files' footers."""
         return self.spark.read.schema(POINT_SCHEMA).parquet(folder).count()

@@ -243,3 +243,35 @@ def test_point_columns_are_what_a_commit_holds(spark, tmp_path):
     folder = table.append(writes(spark, [(1, "a", 0)]).withColumn("more", F.lit(1)), "w")
     assert spark.read.parquet(folder).columns == POINT_COLUMNS and table.count_commit(folder) == 1
     shutil.rmtree(folder)
+
+
+def test_a_range_step_reads_its_rows_once(spark, sf_dir, tmp_path, monkeypatch):
+    staged = str(tmp_path / "orders")
+    _orders(spark, sf_dir).write.parquet(staged)
+    orders, stages = spark.read.parquet(staged), []
+    stage = PointTable.stage
+    monkeypatch.setattr(PointTable, "stage", lambda self, points: stages.append(points._jdf.queryExecution().executedPlan().toString()) or stage(self, points))
+    table, progress = PointTable(spark, str(tmp_path / "t")), ProgressStore(spark, str(tmp_path / "p"))
+    report = copy_ranges(orders, "o_orderkey", _copy, table, progress, str(tmp_path / "plans"), "orders", 6, ranges_per_step=3, cleanup=False)
+    assert len(stages) == report.steps == 2 and all(plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Exchange" not in plan for plan in stages)
+    counts = {r["name"]: (r["offset"], r["offset_count"]) for r in progress.start_offsets().collect() if "range" in r["name"]}
+    ranges = spark.read.parquet(f"{tmp_path}/plans/*").orderBy("range_id").collect()
+    for r in ranges:
+        inside = orders.filter((F.col("o_orderkey") > (r["start_key"] or -1)) & (F.col("o_orderkey") <= (r["end_key"] or 10**9)))
+        last = r["end_key"] or inside.agg(F.max("o_orderkey")).first()[0]
+        assert counts[f"orders-workers-6-range-{r['range_id']}"] == (str(last), inside.count())
+
+
+def test_complete_is_about_the_rows_of_this_run(spark, sf_dir, tmp_path):
+    orders = _orders(spark, sf_dir)
+    table = PointTable(spark, str(tmp_path / "t"))
+    copy_all(orders, _copy, table, "older", run=0)
+    # Older points do not make up for rows that were lost.
+    some_lost = lambda df: _copy(df).filter("id.uuid > '4'")
+    assert not copy_all(orders, some_lost, table, "orders", run=0).complete
+    args = ("o_orderkey", some_lost, table, ProgressStore(spark, str(tmp_path / "p")), str(tmp_path / "plans"), "lossy", 3)
+    assert not copy_ranges(orders, *args).complete
+    # A source with repeated ids is complete with fewer points than rows.
+    twice = orders.unionByName(orders)
+    report = copy_all(twice, _copy, PointTable(spark, str(tmp_path / "u")), "twice", run=0)
+    assert report.complete and report.target_count == orders.count() and report.source_count == 2 * orders.count()
