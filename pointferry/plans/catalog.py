@@ -144,6 +144,54 @@ def fields_from_points(points: DataFrame, collection: str | Column) -> DataFrame
     return agg.select("collection", "field", "kind", size.alias("size"))
 
 
+def facts_of_points(points: DataFrame) -> DataFrame:
+    """What a target has to know of points, in one pass: every vector field and kind with its sizes, every shard key with its points.
+
+    Rows (field, kind, keyword, number, low, high, n). A row with a field is about vectors, one without
+    about a shard key, and one with neither about points of no shard. Combined before the shuffle to
+    a row per field and shard key of a task.
+    """
+    none = F.lit(None)
+    fields = F.transform(
+        F.map_entries(_shapes(F.col("vectors"))),
+        lambda e: F.struct(
+            e["key"].alias("field"), e["value"]["kind"].alias("kind"), e["value"]["size"].alias("size"),
+            none.cast("string").alias("keyword"), none.cast("decimal(20,0)").alias("number"),
+        ),
+    )
+    shard = F.struct(
+        none.cast("string").alias("field"), none.cast("string").alias("kind"), none.cast("bigint").alias("size"),
+        F.col("shard_key.keyword").alias("keyword"), F.col("shard_key.number").alias("number"),
+    )
+    each = points.select(F.inline(F.concat(F.coalesce(fields, F.array().cast(_FACTS)), F.array(shard))))
+    return each.groupBy("field", "kind", "keyword", "number").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count(F.lit(1)).alias("n"))
+
+
+_FACTS = "array<struct<field:string,kind:string,size:bigint,keyword:string,number:decimal(20,0)>>"
+
+
+def vector_problems(vectors: Column, fields: dict[str, tuple[str, int | None]]) -> Column:
+    """The vectors of a point that a target's fields (name to kind and size) do not take, each with a reason; else an empty list."""
+    pairs = [
+        part
+        for name, (kind, size) in fields.items()
+        for part in (F.lit(name), F.struct(F.lit(kind).alias("kind"), F.lit(size).cast("bigint").alias("size")))
+    ]
+    target = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,struct<kind:string,size:bigint>>")
+
+    def judged(e: Column) -> Column:
+        declared, found = F.try_element_at(target, e["key"]), e["value"]
+        reason = (
+            F.when(declared.isNull(), F.lit("unknown vector field"))
+            .when(found["kind"] != declared["kind"], F.lit("other kind of vector"))
+            .when((found["kind"] == "dense") & (found["size"] != declared["size"]), F.lit("other size"))
+        )
+        return F.struct(e["key"].alias("field"), found["size"].alias("size"), reason.alias("reason"))
+
+    problems = F.filter(F.transform(F.map_entries(_shapes(vectors)), judged), lambda p: p["reason"].isNotNull())
+    return F.coalesce(problems, F.array().cast("array<struct<field:string,size:bigint,reason:string>>"))
+
+
 def dispatch_by_kind(indexes: DataFrame, sparse_vector: str = "sparse_vector") -> DataFrame:
     """Index descriptions (collection, vector_type, dimension, metric) to vector parameters."""
     known = F.col("vector_type").isin("dense", "sparse")

@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pointferry.functions.ids import hashed_id
 from pointferry.model import SHARD_KEY_TYPE, empty_vectors, id_text, payload_value, shard_text
 from pointferry.operators import upsert as up
-from pointferry.plans.full_copy import CatalogStore, full_copy
+from pointferry.plans.full_copy import ByRanges, CatalogStore, full_copy
 from pointferry.session import scratch_dir
 from pointferry.sinks.point_table import PointTable
 from pointferry.sources import normalize_collection
+from pointferry.streaming.progress import ProgressStore
 from pointferry.suite import sql, staging
 
 
@@ -102,6 +103,26 @@ def j01_full_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def j02_full_copy_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection of unnamed vectors with indexes, then by ranges a source that also has vectors it does not take."""
+    folder = scratch_dir(spark, "j02")
+    table, catalog = PointTable(spark, f"{folder}/table"), CatalogStore(spark, f"{folder}/catalog")
+    raw = staging.collection_raw(spark, sf_dir)
+    indexes = staging.table(spark, sf_dir, "documents").groupBy(F.col("source").alias("field")).agg(F.lit("keyword").alias("type"), F.lit(None).cast("string").alias("params"))
+    unnamed = raw.filter(F.col("source_ord") % 4 == 0)
+    ranges = ByRanges("source_ord", ProgressStore(spark, f"{folder}/progress"), f"{folder}/plans", 4)
+    first = full_copy(unnamed, normalize_collection, "docs", table, catalog, "docs", run=0, source_indexes=indexes)
+    then = full_copy(raw, normalize_collection, "docs", table, catalog, "docs", run=1, source_indexes=indexes, by_ranges=ranges, rejects=f"{folder}/rejects")
+    aside = spark.read.parquet(f"{folder}/rejects")
+    aside = aside.groupBy(shard_text(F.col("shard_key")).alias("shard")).agg(F.count(F.lit(1)).alias("set_aside"))
+    count = lambda n: F.lit(n).cast("bigint")
+    return then.shards.join(aside, "shard", "left").select(
+        "shard", "source_count", "target_count", F.coalesce("set_aside", count(0)).alias("set_aside"),
+        count(first.created_indexes).alias("indexes_created"), count(then.created_indexes + then.created_fields).alias("created_again"),
+        count(first.created_shards + then.created_shards).alias("shards_created"), count(then.wrong_sizes).alias("wrong_vectors"), F.lit(then.complete).alias("complete"),
+    )
+
+
 def w02_shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points written to shard folders, counted per folder."""
     points = staging.collection_raw(spark, sf_dir)
@@ -130,6 +151,13 @@ ENTRIES = {
         f"SELECT {W02_SHARD} AS shard, count(*) AS source_count, count(*) AS target_count, true AS matches, "
         f"(SELECT count(DISTINCT {W02_SHARD}) FROM documents) AS shards_created, 0::BIGINT AS created_again, 0::BIGINT AS wrong_sizes FROM documents GROUP BY 1",
     ),
+    "j02_full_copy_rules": (
+        j02_full_copy_rules,
+        f"SELECT {W02_SHARD} AS shard, count(*) AS source_count, count(*) FILTER (doc_id % 4 IN (0, 3)) AS target_count, count(*) FILTER (doc_id % 4 IN (1, 2)) AS set_aside, "
+        "(SELECT count(DISTINCT source) FROM documents) AS indexes_created, 0::BIGINT AS created_again, "
+        f"(SELECT count(DISTINCT {W02_SHARD}) FROM documents) AS shards_created, "
+        "(SELECT sum(CASE doc_id % 4 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END)::BIGINT FROM documents) AS wrong_vectors, false AS complete FROM documents GROUP BY 1",
+    ),
     "w02_shard_counts": (w02_shard_counts, f"SELECT {W02_SHARD} AS shard, count(*) AS n_points FROM documents GROUP BY 1"),
     "w02_new_shard_keys": (
         w02_new_shard_keys,
