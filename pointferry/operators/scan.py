@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pointferry.functions.ids import id_order_key
-from pointferry.operators.sizing import broadcast_if_small
+from pointferry.operators.sizing import broadcast_if_small, matching
 
 
 def project(df: DataFrame, columns: list[str] | None, key: str) -> DataFrame:
@@ -87,9 +87,9 @@ def list_then_fetch(ids: DataFrame, records: DataFrame, key: str) -> DataFrame:
     """The records of a list of ids, each once; an id without a record is skipped.
 
     Repeats in the list are dropped first. What is left is measured: when it is small the records
-    are not shuffled.
+    are not shuffled, else only those are that a bitmap of the ids lets through.
     """
-    return records.join(broadcast_if_small(ids.select(key).distinct(), "listed-ids"), key, "left_semi")
+    return matching(records, ids, key, "listed-ids")
 
 
 def split_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pointferry.operators.sizing import broadcast_if_small
+from pointferry.operators.sizing import matching
 from pointferry.session import scratch_dir
 
 METRICS = ("cosine", "dot", "euclid", "manhattan")
@@ -180,8 +180,8 @@ def nearest_batch(
 def lookup_text(found: DataFrame, texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The text of every found id, or the empty text where there is none.
 
-    The ids are measured; when they are few the texts are not shuffled to find theirs.
+    The ids are measured; when they are few the texts are not shuffled to find theirs, else only
+    those that may be wanted.
     """
-    wanted = broadcast_if_small(found.select(key).distinct(), "found-ids")
-    there = texts.select(key, text).join(wanted, key, "left_semi")
+    there = matching(texts.select(key, text), found, key, "found-ids")
     return found.join(there, key, "left").withColumn(text, F.coalesce(F.col(text), F.lit("")))

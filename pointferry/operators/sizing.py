@@ -34,3 +34,32 @@ def broadcast_if_small(df: DataFrame, label: str) -> DataFrame:
     """The measured set, marked for broadcast if it is small; else the planner joins by shuffle."""
     kept, small = measured(df, label)
     return F.broadcast(kept) if small else kept
+
+
+# A bitmap function's value has this many bits; so many bitmaps of hashed keys are broadcast, 16 MB.
+MAP_BITS, MAPS = 32768, 4096
+
+
+def maybe_members(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be among the keys: all that are, and few that are not, found without a shuffle of the rows.
+
+    A Bloom filter of one hash: the keys' bits are put together before the shuffle and broadcast in
+    ``MAPS`` bitmaps, whatever the number of keys. Of 5 million keys' non-members 4 in 100 pass.
+    """
+    place = F.xxhash64(key)
+    which = F.pmod(F.shiftright(place, 15), F.lit(MAPS)).alias("_map")
+    bit = F.pmod(place, F.lit(MAP_BITS))
+    maps = keys.filter(F.col(key).isNotNull()).groupBy(which).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(_byte, _bit % 8)") % 2 == 1
+    met = rows.filter(F.col(key).isNotNull()).withColumn("_map", which).join(F.broadcast(maps), "_map")
+    return met.withColumn("_byte", byte).withColumn("_bit", bit.cast("int")).filter(is_set).select(*rows.columns)
+
+
+def matching(rows: DataFrame, keys: DataFrame, key: str, label: str) -> DataFrame:
+    """Rows whose key is in a key set. A small set is broadcast; with a large one only rows that may match are shuffled."""
+    kept, small = measured(keys.select(key).distinct(), label)
+    if small:
+        return rows.join(F.broadcast(kept), key, "left_semi")
+    # The keys are distinct. A semi join would be moved below the bitmap, to where all rows are.
+    return maybe_members(rows, kept, key).join(kept, key).select(*rows.columns)

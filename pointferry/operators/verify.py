@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pointferry.model import shard_text
+from pointferry.operators.sizing import stored
 
 
 def count_reconciliation(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -26,6 +27,53 @@ def canonical_vectors(vectors: Column) -> Column:
     return F.array_sort(F.map_entries(vectors))
 
 
+# Groups of ids whose sums are compared before any point is.
+DIGEST_BUCKETS = 1 << 16
+
+
+def _content(points: DataFrame) -> list[Column]:
+    """What makes two points with one id the same."""
+    return [F.to_json("payload"), F.schema_of_variant("payload"), canonical_vectors(F.col("vectors")), F.col("shard_key")]
+
+
+def bucket_sums(points: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """For each bucket of ids the number of its points and sums of the halves of two hashes of id and content.
+
+    Sums do not depend on order and are combined before the shuffle, so a task sends a row for each
+    bucket at most, whatever its points weigh.
+    """
+    content = _content(points)
+    hashed = points.select(
+        F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket"), F.xxhash64("id", *content).alias("h1"), F.xxhash64(F.lit("second"), "id", *content).alias("h2")
+    )
+    halves = [F.sum(part(h)).alias(f"{h}_{name}") for h in ("h1", "h2") for name, part in (("low", lambda h: F.col(h).bitwiseAND(F.lit(0xFFFFFFFF))), ("high", lambda h: F.shiftright(h, 32)))]
+    return hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *halves)
+
+
+def unequal_buckets(expected: DataFrame, actual: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """The buckets of ids in which the sides differ, at most ``buckets`` rows."""
+    mine, theirs = bucket_sums(expected, buckets), bucket_sums(actual, buckets)
+    sums = [c for c in mine.columns if c != "bucket"]
+    other = theirs.select("bucket", *[F.col(c).alias(f"_{c}") for c in sums])
+    same = F.lit(True)
+    for c in sums:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return mine.join(other, "bucket", "full_outer").filter(~same).select("bucket")
+
+
+def differences(expected: DataFrame, actual: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """As compare_points, but only the ids that are not the same, found by descending into unequal buckets.
+
+    Both sides are first reduced to sums per bucket. Only points of buckets that differ are compared
+    one by one, so of equal tables nothing but sums is shuffled, and a few differences cost a few
+    buckets. An id's points are all in one bucket.
+    """
+    unequal = F.broadcast(stored(unequal_buckets(expected, actual, buckets), "unequal-buckets"))
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets))
+    within = lambda points: points.withColumn("bucket", bucket).join(unequal, "bucket", "left_semi").drop("bucket")
+    return compare_points(within(expected), within(actual)).filter("status <> 'same'")
+
+
 def compare_points(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Every id of either side with ``same``, ``changed``, ``missing`` or ``extra``.
 
@@ -37,12 +85,7 @@ def compare_points(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """
 
     def digest(points: DataFrame, prefix: str) -> DataFrame:
-        content = [
-            F.to_json("payload"),
-            F.schema_of_variant("payload"),
-            canonical_vectors(F.col("vectors")),
-            F.col("shard_key"),
-        ]
+        content = _content(points)
         hashed = points.select("id", F.xxhash64(*content).alias("h1"), F.xxhash64(F.lit("second"), *content).alias("h2"))
         # Sums of whole numbers tell sets with repeats apart and are combined before the shuffle.
         wide = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))

@@ -47,6 +47,12 @@ UNION ALL SELECT (doc_id + 1000000000)::VARCHAR, 'extra' FROM p WHERE doc_id % 1
 """
 
 
+def v02_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids that differ, by descent into buckets of ids whose sums differ."""
+    points = staging.collection_raw(spark, sf_dir)
+    return verify.differences(points, _target(points)).select(id_text(F.col("id")).alias("point_id"), "status")
+
+
 def v02_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth point stands twice in the source, but only every tenth twice in the target."""
     points = staging.collection_raw(spark, sf_dir)
@@ -88,6 +94,7 @@ def v04_is_vector_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES = {
     "v01_count_reconciliation": (v01_count_reconciliation, V01_SQL),
+    "v02_differences": (v02_differences, f"SELECT * FROM ({V02_SQL}) WHERE status <> 'same'"),
     "v02_compare_points": (v02_compare_points, V02_SQL),
     "v02_repeated_ids": (v02_repeated_ids, V02_REPEATED_SQL),
     "v03_sparse_comparison": (v03_sparse_comparison, "SELECT vec_id, vec_id % 4 < 2 AS equal FROM embeddings"),
