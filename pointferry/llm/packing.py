@@ -25,7 +25,7 @@ from pointferry.session import scratch_dir
 
 CAPACITY = 4096
 END_ID = 1
-WORDS, CORES = 150_000, 150_000  # entries of each generation of a worker's two caches
+WORDS, CORES = 300_000, 200_000  # entries of each generation of a worker's two caches
 RUN_ROWS = 2_000  # rows of one size that one task ranks
 # Latin letters, and after them a run of ASCII marks without apostrophes: two pre-tokens.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
