@@ -89,22 +89,22 @@ def copy_ranges(
     else:
         run_id = stored["offset"]
     ranges = spark.read.parquet(_plan_folder(plans_folder, source, run_id))
+    # A row for each range, few whatever the source holds; records of an earlier run are of its ranges.
+    known = resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect()
     if stored is None:
-        progress.store_one(plan_name, run_id, ranges.count())
-    boundaries = [r["end_key"] for r in ranges.filter("end_key is not null").orderBy("range_id").collect()]
-
-    pending = [r for r in resume_ranges(ranges, progress.records(), source, workers).orderBy("range_id").collect() if not r["done"]]
+        progress.store_one(plan_name, run_id, len(known))
+    boundaries = [r["end_key"] for r in known if r["end_key"] is not None]
+    pending = [r for r in known if not r["done"]]
     rows_in_all = raw.count()
     per_step = ranges_per_step or max(1, -(-len(pending) // max(1, min(DEFAULT_STEPS, rows_in_all // STEP_ROWS))))
     per_step = min(per_step, OBSERVED_RANGES)
     steps = [pending[i : i + per_step] for i in range(0, len(pending), per_step)]
-    lost = 0
+    written = sum(r["done_count"] for r in known)
     for step in steps:
-        seen, written = _copy_step(_step_rows(raw, key, boundaries, step), key, step, normalizer, table, f"{source}-{run_id}")
-        lost += sum(n for _, n in seen.values()) - written
+        seen, points = _copy_step(_step_rows(raw, key, boundaries, step), key, step, normalizer, table, f"{source}-{run_id}")
+        written += points
         progress.store(_range_offsets(spark, step, seen))
-    totals = progress.start_offsets().filter(F.col("name").startswith(f"{source}-workers-{workers}-range-"))
-    report = CopyReport(rows_in_all, table.count(), len(steps), (totals.agg(F.sum("offset_count")).first()[0] or 0) - lost)
+    report = CopyReport(rows_in_all, table.count(), len(steps), written)
     if cleanup:
         progress.delete(source)
     return report
