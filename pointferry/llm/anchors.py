@@ -16,6 +16,7 @@ their digest, and stay out of steps 1 to 4. The chunks' shuffle is used by steps
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -132,10 +133,11 @@ def segments_of(units: Units, n: int, k: int) -> Segments:
     last_of_row = np.maximum(units.units_at[1:] - n + 1, units.units_at[:-1])[row[first]]
     after = np.append(first[1:], len(least))
     windows = np.minimum(after, last_of_row) - first
-    sums = np.zeros(total + 1, np.uint64)
-    np.cumsum(units.codes * powers(total), dtype=np.uint64, out=sums[1:])
+    # Of the grams' codes, not of the units': a sum of few different values times powers is 0 for unlike long runs.
+    sums = np.zeros(len(grams) + 1, np.uint64)
+    np.cumsum(grams * powers(len(grams)), dtype=np.uint64, out=sums[1:])
     length = windows + n - 1
-    code = mix((sums[first + length] - sums[first]) * powers(total, True)[first] + length.astype(np.uint64))
+    code = mix((sums[first + length - k + 1] - sums[first]) * powers(len(grams), True)[first] + length.astype(np.uint64))
     return Segments(first, windows, mix(least[first]), code, row[first])
 
 
@@ -169,17 +171,20 @@ class RepeatedWindows:
     def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable):
         self.units, self.n, self.k, self.within, self.resolve = units, n, k, within, resolve
 
-    def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, set[int], list[tuple[int, bytes]]]:
+    def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, np.ndarray, list[tuple[int, bytes]]]:
         left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         texts = left.column("text").combine_chunks()
         kinds = right.column("kind").to_pylist()
         numbers = right.column("number").to_pylist()
-        copies = {n for k, n in zip(kinds, numbers) if k == COPY}
-        replies = sorted((n, p) for k, n, p in zip(kinds, numbers, right.column("payload").to_pylist()) if k == REPLY)
+        payloads = right.column("payload").to_pylist()
+        replies = sorted((n, p) for k, n, p in zip(kinds, numbers, payloads) if k == REPLY)
         ids = left.column("doc_id").to_numpy()
-        if copies:  # a copy counts as empty here; it needs no comparing
-            keep = pa.array([i not in copies for i in ids.tolist()])
-            texts = pc.if_else(keep, texts, pa.scalar("", texts.type))
+        known = {(n, p) for k, n, p in zip(kinds, numbers, payloads) if k == COPY}
+        copies = np.zeros(len(ids), bool)
+        if known:  # a copy counts as empty here; it needs no comparing
+            maybe = np.flatnonzero(np.isin(ids, [n for n, _ in known]))  # unlike texts may have one id
+            copies[maybe] = [(int(ids[i]), hashlib.sha256(texts[int(i)].as_buffer()).digest()) in known for i in maybe]
+            texts = pc.if_else(pa.array(~copies), texts, pa.scalar("", texts.type))
         return self.units(ids, texts), copies, replies
 
     def _anchor_codes(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +237,11 @@ class RepeatedWindows:
     def _own(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different segment codes, where each is first, its owner's document and first unit there, and each segment's number."""
         codes, first, inverse = np.unique(seg.code, return_index=True, return_inverse=True)
-        # Documents ascend by id and segments by place, so the first of equal segments has the least owner.
+        # Documents ascend by id and segments by place, so the first of equal segments has the least owner,
+        # unless a row with the same id has one nearer to its start.
+        if self.within and len(codes) and (units.doc_ids[1:] == units.doc_ids[:-1]).any():
+            order = np.lexsort((seg.first - units.units_at[seg.row], units.doc_ids[seg.row], inverse))
+            first = order[np.searchsorted(inverse[order], np.arange(len(codes)))]
         return codes, first, units.doc_ids[seg.row[first]], inverse
 
     def _send(self, anchor_shards: int, shards: int) -> Callable:
@@ -356,9 +365,9 @@ class RepeatedWindows:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         chunks = max(1, -(-total // CHUNK_BYTES))
-        chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
-        dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
-        copies = copies_of(docs).select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))
+        chunk = lambda text: F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).alias("chunk")  # noqa: E731  # an id may have many texts
+        dealt = docs.select(chunk(F.xxhash64("text")), "doc_id", "text").repartition(partitions, "chunk")
+        copies = copies_of(docs).select(chunk("text_hash"), F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.col("digest").alias("payload"))
         anchor_shards, shards = max(1, chunks // 4), chunks
         sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(tidy(self._ask(anchor_shards)), _SENT)
         met = sent.groupBy("shard").applyInArrow(tidy(self._met), _BACK)
@@ -368,14 +377,14 @@ class RepeatedWindows:
 
 
 def copies_of(docs: DataFrame, salts: int = 4) -> DataFrame:
-    """Ids of documents whose whole text is that of one with a smaller id.
+    """Id, digest and hash of texts that are whole texts of documents with a smaller id too.
 
     Copies of one text may be many: they are dealt over salts, to which the texts that have copies
     are replicated. Both sides are then shuffled for the join itself, so adaptive execution can
     split what is still large.
     """
-    digests = docs.select("doc_id", F.sha2("text", 256).alias("digest"))
+    digests = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.xxhash64("text").alias("text_hash"))
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
     first = first.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    return salted.join(first, ["digest", "salt"]).where("doc_id > first").select("doc_id").distinct()
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(salts)).cast("int"))
+    return salted.join(first, ["digest", "salt"]).where("doc_id > first").select("doc_id", "digest", "text_hash").distinct()

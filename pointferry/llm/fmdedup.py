@@ -144,7 +144,7 @@ def least_owners(data: np.ndarray, size: np.ndarray, long: np.ndarray, n: int, o
     return owner[order[best]], start[order[best]]
 
 
-def _result(docs: pa.Table, units: Units, copies: set[int], starts: np.ndarray, window: int) -> pa.Table:
+def _result(docs: pa.Table, units: Units, copies: np.ndarray, starts: np.ndarray, window: int) -> pa.Table:
     flags = covered(starts, window, len(units.codes))
     texts = docs.column("text")
     columns: list[list] = [[] for _ in range(5)]
@@ -152,7 +152,7 @@ def _result(docs: pa.Table, units: Units, copies: set[int], starts: np.ndarray,
         raw = texts[i].as_py().encode()
         words = raw.split()  # ASCII white space, as the separators are
         n, spans = len(words), []
-        if doc_id in copies:
+        if copies[i]:
             if n >= window:
                 words, spans = [], [{"first": 0, "n": n}]
         else:
@@ -171,8 +171,9 @@ def remove_repeated_windows(df: DataFrame, window: int = WINDOW, anchor: int = A
     """Per document: words, removed words, their maximal runs (``spans``, in words), and the digest of what stays.
 
     A word goes if a window of ``window`` words over it also starts earlier: in a document with a
-    smaller id, or earlier in the same one. A null or empty text has no words. Rows with one id are
-    compared as one document would be. An empty table gives none.
+    smaller id, or earlier in the same one. A null or empty text has no words. Every row gives
+    its own result; between rows with one id only the start counts, and a null id is greater than all others.
+    A window's first place always stays. An empty table gives none.
     """
     job = RepeatedWindows(word_units, window, anchor, within=True, resolve=least_owners)
     return with_doc_id(job.run(id_and_text(df, id_col, text_col), RESULT, partial(_result, window=window)), id_col)

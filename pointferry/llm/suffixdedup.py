@@ -122,13 +122,13 @@ def least_owners(data: np.ndarray, size: np.ndarray, long: np.ndarray, n: int, o
     return best, start
 
 
-def _result(docs: pa.Table, units: Units, copies: set[int], starts: np.ndarray, length: int) -> pa.Table:
+def _result(docs: pa.Table, units: Units, copies: np.ndarray, starts: np.ndarray, length: int) -> pa.Table:
     flags = covered(starts, length, len(units.codes))
     ids = docs.column("doc_id").to_pylist()
     columns: list[list] = [[] for _ in range(6)]
     texts = docs.column("text")
     for i, doc_id in enumerate(ids):
-        if doc_id in copies:
+        if copies[i]:
             raw = texts[i].as_py().encode()
             gone = len(raw) >= length
             spans = [{"first": 0, "n": len(raw)}] if gone else []
@@ -153,8 +153,9 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id
     """Per document: bytes, removed bytes, maximal removed runs (``spans``, in bytes), and the digest of what stays.
 
     A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller id.
-    A null or empty text has no bytes. Rows with one id are compared as one document would be, each
-    row giving its own result. An empty table gives none.
+    A null or empty text has no bytes. Every row gives its own result; rows with one id have no smaller
+    ids among them, so they take nothing from one another, and a null id is greater than all others. An
+    empty table gives none.
     """
     job = RepeatedWindows(byte_units, length, anchor, within=False, resolve=least_owners)
     return with_doc_id(job.run(id_and_text(df, id_col, text_col), RESULT, partial(_result, length=length)), id_col)

@@ -20,7 +20,7 @@ SLICE_BYTES = 1 << 20
 BATCH_ROWS = 1024  # rows of an Arrow batch that are taken at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE_CODES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of a block's first bytes
 
 
 class _Memo(dict):
@@ -165,17 +165,28 @@ def word_bounds(data: np.ndarray, at: np.ndarray, separators: np.ndarray) -> tup
 
 
 def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit code of each word's bytes, made in slices of whole words."""
+    """A 64-bit code of each word's bytes, made in slices of whole words.
+
+    Blocks of eight bytes are spread over all bits together with their place before they are added up.
+    A sum of bytes times powers would give some unlike words of 1,024 letters one code.
+    """
     codes = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
         first = starts[i]
-        part = data[first : ends[j - 1]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE_CODES[part] * powers(len(part)), dtype=np.uint64, out=sums[1:])
-        a, b = starts[i:j] - first, ends[i:j] - first
-        codes[i:j] = mix((sums[b] - sums[a]) * powers(len(part), True)[a] + (b - a).astype(np.uint64))
+        part = np.concatenate([data[first : ends[j - 1]], np.zeros(8, np.uint8)])
+        eights = np.ndarray(len(part) - 7, np.uint64, part, strides=(1,))  # the eight bytes from every place on
+        a, size = starts[i:j] - first, ends[i:j] - starts[i:j]
+        sums = mix(mix((eights[a] & _FIRST_BYTES[np.minimum(size, 8)]) + _BASE))
+        more = np.flatnonzero(size > 8)
+        if len(more):
+            blocks = (size[more] - 1) // 8
+            before = np.cumsum(blocks) - blocks
+            step = np.arange(blocks.sum()) - np.repeat(before, blocks) + 1
+            value = eights[np.repeat(a[more], blocks) + 8 * step] & _FIRST_BYTES[np.minimum(np.repeat(size[more], blocks) - 8 * step, 8)]
+            sums[more] += np.add.reduceat(mix(mix(value + _BASE) + step.astype(np.uint64) * _BASE), before)
+        codes[i:j] = mix(sums + size.astype(np.uint64) * _BASE)
         i = j
     return codes
 
