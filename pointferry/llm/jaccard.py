@@ -22,13 +22,14 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pointferry.llm import oracle
 from pointferry.llm.anchors import CHUNK_BYTES, pack_arrays, unpack_arrays
 from pointferry.llm.anchors import _by_shard, _rows, _shards_of
 from pointferry.llm.components import components
-from pointferry.llm.textkit import LOWER, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, tidy, with_doc_id, word_bounds, word_codes, window_codes
+from pointferry.llm.textkit import LOWER, NO_ID, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, tidy, with_doc_id, word_bounds, word_codes, window_codes
+from pointferry.operators.sizing import broadcast_if_small
 from pointferry.session import scratch_dir
 
 SHINGLE, THRESHOLD = 5, Fraction(8, 10)
@@ -41,6 +42,7 @@ _SENT = "shard long, chunk long, payload binary"
 _BACK = "chunk long, kind int, number long, payload binary"
 _MEMBER = "pivot long, salt int, salts int, doc long, codes binary"
 _FOUND = "kind int, pivot long, salt int, salts int, a long, b long, gap double, codes binary"
+_DIGESTS = "doc_id long, mark long, n_shingles long, digest_a long, digest_b long"
 EDGE, FAR = 0, 1
 
 
@@ -64,8 +66,25 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray,
     return codes, np.searchsorted(owner, np.arange(len(at)))
 
 
+APART = 1 << 62  # keys from here on are those of rows that their id does not tell apart
+
+
+def row_mark(id_col: str | Column = "doc_id", text: str | Column = "text") -> Column:
+    """A number of 60 bits of a row's id and text, from their SHA-256."""
+    return F.conv(F.substring(F.sha2(F.concat_ws(":", F.col(id_col) if isinstance(id_col, str) else id_col, text), 256), 1, 15), 16, 10).cast("long")
+
+
+def row_key(repeated: DataFrame | None, docs: DataFrame) -> DataFrame:
+    """Adds ``key``: the id, or a number of the row's own where the id is null, stands for unlike texts, or is as large as such numbers."""
+    apart = F.col("doc_id") >= APART
+    if repeated is not None:
+        docs = docs.join(broadcast_if_small(repeated.withColumn("_repeated", F.lit(True)), "ids of unlike texts"), "doc_id", "left")
+        apart = apart | F.col("_repeated").isNotNull()
+    return docs.withColumn("key", F.when(apart, F.lit(APART) + F.col("mark")).otherwise(F.col("doc_id"))).drop("_repeated")
+
+
 def set_digests(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, digest a and b): equal sets have equal digests."""
+    """(doc_id, mark, n_shingles, digest a and b): equal sets have equal digests."""
 
     def run(batches):
         for batch in (part for whole in batches for part in small_batches(whole)):
@@ -77,10 +96,10 @@ def set_digests(docs: DataFrame, n: int) -> DataFrame:
                     np.cumsum(values, dtype=np.uint64, out=sums[1:])
                     found.append(sums[sets_at[1:]] - sums[sets_at[:-1]])
                 size.append(np.diff(sets_at))
-            columns = [batch.column("doc_id"), *(pa.array(np.concatenate(x).view(np.int64)) for x in (size, a, b))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest_a", "digest_b"])
+            columns = [batch.column("doc_id"), batch.column("mark"), *(pa.array(np.concatenate(x).view(np.int64)) for x in (size, a, b))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "n_shingles", "digest_a", "digest_b"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest_a long, digest_b long")
+    return docs.mapInArrow(run, _DIGESTS)
 
 
 class Parts:
@@ -154,8 +173,8 @@ class _Chunk:
     """The sets of a chunk's documents that stand for their equals."""
 
     def __init__(self, left: pa.Table, right: pa.Table, n: int, threshold: Fraction):
-        left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids = left.column("doc_id").to_numpy()
+        left = left.sort_by("key")
+        ids = left.column("key").to_numpy()
         kinds, numbers = right.column("kind").to_pylist(), right.column("number").to_pylist()
         out = {i for k, i in zip(kinds, numbers) if k == COPY}
         self.replies = sorted((i, p) for k, i, p in zip(kinds, numbers, right.column("payload").to_pylist()) if k == REPLY)
@@ -341,35 +360,42 @@ def _join_far(left: pa.Table, right: pa.Table, threshold: Fraction) -> pa.Table:
     return _found(rows)
 
 
-def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
     """Per document: the size of its set of ``n``-word shingles and the least id reachable by links.
 
     Two documents link when the Jaccard similarity of their sets is the threshold or more. A text of
     fewer words has its whole sequence as its one shingle; without words (a null or empty text) the
-    set is empty and links with nothing. Rows with one id are one document, of which the first text in
-    order is compared with others, and all rows with a null id are one; an empty table gives none.
+    set is empty and links with nothing. A row is known by its id and text: unlike texts under one id, or
+    without an id, are documents of their own, and equal rows are one, each with its result. A component
+    is null where none of its documents has an id. An empty table gives none. ``rows`` adds ``mark``
+    (``row_mark`` of the row) and ``stays``: true for one row of each component, the one with the least id.
     """
-    docs = id_and_text(df, id_col, text_col)
+    docs = id_and_text(df, id_col, text_col).withColumn("mark", row_mark())
     spark = docs.sparkSession
     folder = scratch_dir(spark, "jaccard")
     set_digests(docs, n).write.parquet(f"{folder}/digests")
-    digests = spark.read.schema("doc_id long, n_shingles long, digest_a long, digest_b long").parquet(f"{folder}/digests")
-    # Without a set a document stands for itself. Equal sets: the least id stands for all.
-    keys = ["n_shingles", "digest_a", "digest_b"]
-    first = digests.where("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
-    first = first.select(*keys, "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    equal = salted.join(first, [*keys, "salt"]).where("doc_id > first").groupBy("doc_id").agg(F.min("first").alias("first"))
+    digests = spark.read.schema(_DIGESTS).parquet(f"{folder}/digests")
+    ids = digests.groupBy("doc_id").agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
+    ids.where(f"low < high AND doc_id < {APART}").select("doc_id").write.parquet(f"{folder}/repeated")
+    repeated = spark.read.schema("doc_id long").parquet(f"{folder}/repeated")
+    repeated = None if repeated.isEmpty() else repeated
+    digests = row_key(repeated, digests)
+    # Without a set a document stands for itself. Equal sets: the least key stands for all.
+    sets = ["n_shingles", "digest_a", "digest_b"]
+    first = digests.where("n_shingles > 0").groupBy(*sets).agg(F.min("key").alias("first"), F.max("key").alias("last")).where("last > first")
+    first = first.select(*sets, "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = digests.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    equal = salted.join(first, [*sets, "salt"]).where("key > first").groupBy("key").agg(F.min("first").alias("first"))
     equal.write.parquet(f"{folder}/equal")
-    equal = spark.read.schema("doc_id long, first long").parquet(f"{folder}/equal")
+    equal = spark.read.schema("key long, first long").parquet(f"{folder}/equal")
 
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
     shards = max(1, chunks // 4)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk")
-    dealt = docs.select(chunk, "doc_id", "text").repartition(partitions, "chunk")
-    copies = equal.select(chunk, F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("payload"))
+    chunk = F.pmod(F.xxhash64("key"), F.lit(chunks)).alias("chunk")
+    dealt = row_key(repeated, docs).select(chunk, "key", "text").repartition(partitions, "chunk")
+    copies = equal.select(chunk, F.lit(COPY).alias("kind"), F.col("key").alias("number"), F.lit(None).cast("binary").alias("payload"))
     sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(tidy(_ask(n, threshold, shards)), _SENT)
     met = sent.groupBy("shard").applyInArrow(tidy(_met), _BACK)
     members = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(tidy(_send(n, threshold, shards)), _MEMBER)
@@ -390,8 +416,19 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
     crossed = held.groupBy(*key).cogroup(replicated.select(*key, "a", "gap", "codes").groupBy(*key)).applyInArrow(tidy(lambda left, right: _join_far(left, right, threshold)), _FOUND)
     edges = joined.where(F.col("kind") == EDGE).select("a", "b").unionAll(crossed.select("a", "b"))
     labels = components(edges).withColumnRenamed("node", "first")
-    placed = digests.join(equal, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"))
-    return with_doc_id(placed.join(labels, "first", "left").select("doc_id", "n_shingles", F.coalesce("component", "first").alias("component_id")), id_col)
+    placed = digests.join(equal, "key", "left").select("doc_id", "mark", "key", "n_shingles", F.coalesce("first", "key").alias("first"))
+    placed = placed.join(labels, "first", "left").withColumn("least", F.coalesce("component", "first"))
+    component, stays = F.when(F.col("least") < APART, F.col("least")), F.col("key") == F.col("least")
+    if not digests.where(F.col("key") >= APART).isEmpty():
+        # A row with a key of its own may have its component's least id.
+        known = placed.where(F.col("key") >= APART).groupBy("least").agg(F.min(F.struct("doc_id", "mark")).alias("known"))
+        placed = placed.join(known, "least", "left")
+        known_id = F.col("known.doc_id")
+        component = F.least(component, F.when(known_id != NO_ID, known_id))  # nulls are skipped
+        by_known = known_id.isNotNull() & ((F.col("least") >= APART) | (known_id < F.col("least")))
+        stays = F.when(by_known, (F.col("doc_id") == known_id) & (F.col("mark") == F.col("known.mark"))).otherwise(stays)
+    more = ["mark", stays.alias("stays")] if rows else []
+    return with_doc_id(placed.select("doc_id", "n_shingles", component.alias("component_id"), *more), id_col)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
