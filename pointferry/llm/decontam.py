@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from pointferry.llm import oracle
-from pointferry.llm.textkit import LOWER, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes
+from pointferry.llm.textkit import LOWER, NO_ID, NOT_ALNUM, covered, counts_in_rows, documents, id_and_text, slices, small_batches, text_bytes, with_doc_id, word_bounds, word_codes
 
 WINDOW = 10
 PART_BYTES = 16 << 20  # benchmark text that is sent to the tasks at once
@@ -194,8 +194,8 @@ def _search(batch: pa.RecordBatch, benchmark: Benchmark, slack: int, share: floa
 
 
 def benchmark_parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int = PART_BYTES) -> Iterator[list]:
-    """Items in parts of about ``part_bytes`` of text each; an item without an id is an error of the caller and left out."""
-    items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), F.coalesce(benchmark[text_col], F.lit("")).alias("text")).where("item_id IS NOT NULL").distinct()
+    """Items in parts of about ``part_bytes`` of text each; a null id is ``NO_ID``."""
+    items = benchmark.select(F.coalesce(benchmark[item_col].cast("long"), F.lit(NO_ID)).alias("item_id"), F.coalesce(benchmark[text_col], F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // part_bytes) + 1
     for k in range(n):
@@ -214,7 +214,8 @@ def find_contamination(
     among them. ``n_near`` counts its different places. Neither depends on other documents.
 
     A null or empty text has no words. Repeated documents give repeated results; a repeated item
-    counts once. An empty benchmark hits nothing. A benchmark above ``part_bytes`` is searched in
+    counts once. Items without an id hit as others do and are together one null in ``items``. An empty
+    benchmark hits nothing. A benchmark above ``part_bytes`` is searched in
     parts, a scan of the documents for each, and the parts' results are merged per document. ``carry``
     adds ``text`` and ``rest``, the document's other columns.
     """
@@ -250,7 +251,9 @@ def find_contamination(
 
 
 def with_n_near(df: DataFrame) -> DataFrame:
-    """Adds the number of different first words of proximity matches."""
+    """Restores null item ids, and adds the number of different first words of proximity matches."""
+    known = lambda item: F.when(item != NO_ID, item)
+    df = df.withColumn("items", F.transform("items", known)).withColumn("near", F.transform("near", lambda x: x.withField("item", known(x["item"]))))
     return df.withColumn("n_near", F.size(F.array_distinct(F.col("near.first"))).cast("long"))
 
 
