@@ -26,6 +26,7 @@ SAMPLE_RANDOM = 20_000  # random strings of each alphabet in the other sample
 THRESHOLD = 1.0  # log-likelihood ratio per step, in nats
 PLAIN_THRESHOLD = 1.5  # of tokens without letters or with fewer than two digits, as ordinary identifiers are
 MARK = "[SECRET]"
+BLOCK = 128  # matches of a text that are placed or cut together
 
 
 def _steps(tokens: DataFrame) -> DataFrame:
@@ -75,15 +76,36 @@ def _found(df: DataFrame, text: str, pattern: str, name: str, group: int = 0, wo
     df = df.withColumn("_hits", F.when(F.col("_worth"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none_s))
     df = df.withColumn("_values", F.when(F.col("_worth"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(none_s) if group else F.col("_hits"))
     df = df.withColumn("_gaps", F.when(F.size("_hits") > 0, F.transform(F.split(text, pattern, -1), F.length)).otherwise(F.array().cast("array<int>")))
-    start = F.struct(F.lit(0).alias("at"), none_l.alias("out"))
+    # Places are running sums. They are taken over blocks first, so no array grows by one match at a time.
+    long = lambda i: F.element_at("_gaps", i) + F.length(F.element_at("_hits", i))
+    df = df.withColumn("_blocks", F.when(F.size("_hits") > 0, F.sequence(F.lit(1), F.size("_hits"), F.lit(BLOCK))).otherwise(F.array().cast("array<int>")))
+    in_block = lambda first: F.sequence(first, F.least(first + BLOCK - 1, F.size("_hits")))
+    df = df.withColumn("_sums", F.transform("_blocks", lambda first: F.aggregate(in_block(first), F.lit(0), lambda done, i: done + long(i))))
+    none_i = F.array().cast("array<int>")
+    df = df.withColumn("_at", F.aggregate("_sums", F.struct(F.lit(0).alias("at"), none_i.alias("out")), lambda done, n: F.struct((done["at"] + n).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")), lambda done: done["out"]))
 
     def place(done, i):
         begin = done["at"] + F.element_at("_gaps", i)
         end = begin + F.length(F.element_at("_hits", i))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), F.element_at("_values", i).alias("value")))).alias("out"))
 
-    placed = F.aggregate(F.sequence(F.lit(1), F.size("_hits")), start, place, lambda done: done["out"])
-    return df.withColumn(name, F.when(F.size("_hits") > 0, placed).otherwise(none_l)).drop("_worth", "_hits", "_values", "_gaps")
+    placed = F.transform("_blocks", lambda first, k: F.aggregate(in_block(first), F.struct(F.element_at("_at", k + 1).alias("at"), none_l.alias("out")), place, lambda done: done["out"]))
+    return df.withColumn(name, F.when(F.size("_hits") > 0, F.flatten(placed)).otherwise(none_l)).drop("_worth", "_hits", "_values", "_gaps", "_blocks", "_sums", "_at")
+
+
+def _overlaps(start: Column, end: Column, spans: str) -> Column:
+    """Whether a range meets one of the spans, which are ordered and apart: a binary search for the first that ends after its start."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+
+    def halve(at, _):
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        after = F.element_at(spans, F.least(middle, F.size(spans)))["end"] > start
+        going = at["low"] < at["high"]
+        return F.struct(F.when(going & ~after, middle + 1).otherwise(at["low"]).alias("low"), F.when(going & after, middle).otherwise(at["high"]).alias("high"))
+
+    first = F.aggregate(steps, F.struct(F.lit(1).alias("low"), (F.size(spans) + 1).alias("high")), halve, lambda at: at["low"])
+    meets = F.transform(F.array(first), lambda i: F.when(i <= F.size(spans), F.element_at(spans, F.least(i, F.size(spans)))["start"] < end).otherwise(F.lit(False)))
+    return F.when(F.size(spans) == 0, F.lit(False)).otherwise(F.element_at(meets, 1))
 
 
 def _ratio(token: Column, table: Column) -> Column:
@@ -117,7 +139,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     found = found.withColumn("base", F.array_sort(F.concat(spans("assign"), spans("access"), spans("hex"))))
     mixed = lambda v: v.rlike("[0-9].*[0-9]") & v.rlike("[A-Za-z]")
-    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+    apart = lambda m: ~(_overlaps(m["start"], m["end"], "assign") | _overlaps(m["start"], m["end"], "access") | _overlaps(m["start"], m["end"], "hex"))
     least = lambda v: F.when(mixed(v), F.lit(threshold)).otherwise(F.lit(max(threshold, plain_threshold)))
     found = found.withColumn("candidates", F.filter("candidates", apart))
     found = found.withColumn("candidates", F.filter("candidates", lambda m: _ratio(m["value"], table) > least(m["value"])))
@@ -126,19 +148,32 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def redacted(text: str = "text", spans: str = "spans", mark: str = MARK) -> Column:
-    """The text with every maximal secret replaced by a mark."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def cut(done, s):
-        fresh = s["start"] >= done["at"]
-        before = F.substring(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        return F.struct(
-            F.when(fresh, F.concat(done["out"], before, F.lit(mark))).otherwise(done["out"]).alias("out"),
-            F.greatest(s["end"], done["at"]).alias("at"),
-        )
-
-    cleaned = F.aggregate(spans, start, cut, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, cleaned).otherwise(F.col(text))
+    """The text with every maximal secret replaced by a mark.
+
+    Spans are taken in blocks of ``BLOCK``, each with its own part of the text, and the pieces are joined once.
+    """
+    size = F.size(spans)
+    upto = lambda first: F.least(first + BLOCK - 1, size)
+    blocks = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    # (first span, where the block's text begins), for every block, and where the last one ends.
+    farthest = lambda first, at: F.aggregate(F.slice(spans, first, BLOCK), at, lambda done, s: F.greatest(done, s["end"]))
+    none_b, none_s = F.array().cast("array<struct<first:int,at:int>>"), F.array().cast("array<string>")
+    begin = F.struct(F.lit(0).alias("at"), none_b.alias("out"))
+    step = lambda done, first: F.struct(farthest(first, done["at"]).alias("at"), F.concat(done["out"], F.array(F.struct(first.alias("first"), done["at"].alias("at")))).alias("out"))
+    starts = F.aggregate(blocks, begin, step)
+
+    def pieces(block):
+        part = F.substring(text, block["at"] + 1, F.greatest(F.element_at(spans, upto(block["first"]))["start"] - block["at"], F.lit(0)))
+
+        def cut(done, s):
+            fresh = s["start"] >= done["at"]
+            before = F.substring(done["part"], done["at"] - block["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
+            return F.struct(F.greatest(s["end"], done["at"]).alias("at"), done["part"].alias("part"), F.when(fresh, F.concat(done["out"], F.array(before, F.lit(mark)))).otherwise(done["out"]).alias("out"))
+
+        return F.aggregate(F.slice(spans, block["first"], BLOCK), F.struct(block["at"].alias("at"), part.alias("part"), none_s.alias("out")), cut, lambda done: done["out"])
+
+    whole = F.transform(F.array(starts), lambda found: F.concat_ws("", F.flatten(F.transform(found["out"], pieces)), F.substring(text, found["at"] + 1, F.length(text))))
+    return F.when(size > 0, F.element_at(whole, 1)).otherwise(F.col(text))
 
 
 def _listed(spans: Column) -> Column:

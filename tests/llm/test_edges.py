@@ -211,3 +211,116 @@ def test_pipeline_against_brute_force(spark):
 def secrets_removed(spark, doc_id, text):
     docs = spark.createDataFrame([(doc_id, text)], "doc_id long, text string")
     return secrets.scan_secrets(docs).select(secrets.redacted().alias("t")).first()["t"]
+
+
+def unlike_texts():
+    """Rows of which ids are null or repeated, with texts of their own and texts of others."""
+    words = lambda a, n: " ".join(f"{a}{i}word" for i in range(n))
+    one, two, three, four = words("a", 60), words("b", 60), words("c", 70), words("d", 64)
+    return [
+        (1, one), (None, one), (None, two), (2, one), (2, three), (2, three + " " + one), (3, four), (3, words("e", 30)), (None, four + " x"),
+        (None, words("f", 40)), (4, words("f", 40)), (None, words("g", 90)), (None, words("g", 90) + " y"), (5, ""), (5, None), (None, None),
+    ]
+
+
+@pytest.mark.parametrize("chunk_bytes", [300, 1 << 22])
+@pytest.mark.parametrize("unit", ["bytes", "words"])
+def test_unlike_texts_under_null_and_repeated_ids_are_kept(spark, monkeypatch, chunk_bytes, unit):
+    monkeypatch.setattr(anchors, "CHUNK_BYTES", chunk_bytes)
+    rows = unlike_texts()
+    within, n = unit == "words", 20 if unit == "words" else 50
+    cut = [(brute.SPACED.findall(t or "") if within else (t or "").encode()) for _, t in rows]
+    owner = lambda r, i: (float("inf") if rows[r][0] is None else rows[r][0], i if within else 0)
+    first: dict = {}
+    for r, u in enumerate(cut):
+        for i in range(len(u) - n + 1):
+            key = tuple(u[i : i + n])
+            first[key] = min(first.get(key, owner(r, i)), owner(r, i))
+    want = []
+    for r, u in enumerate(cut):
+        gone = {j for i in range(len(u) - n + 1) if first[tuple(u[i : i + n])] < owner(r, i) for j in range(i, i + n)}
+        left = [x for j, x in enumerate(u) if j not in gone]
+        want.append((rows[r][0], len(u), len(gone), brute.sha(" ".join(left)) if within else brute.sha(bytes(left))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = fmdedup.remove_repeated_windows(docs) if within else suffixdedup.remove_repeats(docs)
+    got = [tuple(r) for r in got.select("doc_id", "n_words" if within else "n_bytes", "n_removed", "kept_sha256").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("region", [2, 256])
+def test_near_duplicates_of_rows_with_null_and_repeated_ids(spark, monkeypatch, region):
+    monkeypatch.setattr(jaccard, "REGION", region)
+    rows = [*unlike_texts(), (1 << 62, "some text here"), ((1 << 62) + 5, "some text here")]
+    groups = brute.jaccard_groups(list(enumerate(t for _, t in rows)), 5, 4, 5)
+    least: dict = {}
+    for r, (doc_id, _) in enumerate(rows):
+        least.setdefault(groups[r][1], []).extend([] if doc_id is None else [doc_id])
+    want = [(doc_id, groups[r][0], min(least[groups[r][1]], default=None)) for r, (doc_id, _) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.jaccard_components(docs, rows=True).collect()
+    assert sorted((tuple(r)[:3] for r in got), key=str) == sorted(want, key=str)
+    stay = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF_DIR).collect()
+    kept = [rows.index((r["doc_id"], r["text"])) for r in stay]
+    assert sorted(groups[r][1] for r in kept) == sorted({g for _, g in groups.values()})
+    assert all(rows[r][0] == min(least[groups[r][1]], default=None) for r in kept)
+
+
+def test_texts_of_very_many_secrets(spark):
+    """Places and redaction over several blocks of matches, against brute force."""
+    r = np.random.default_rng(9)
+    hexes = ["".join(r.choice(list("0123456789abcdef"), 40)) for _ in range(700)]
+    texts = [" é\n".join(hexes), " ".join(f"token={h}xyz é {h[:30]}AKIA{h[:20].upper()}" for h in hexes[:300]), "token=" + hexes[0], " ".join(hexes[:secrets.BLOCK])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.scan_secrets(docs).withColumn("redacted", secrets.redacted()).collect():
+        text = texts[row["doc_id"]]
+        base = brute.secret_base(text)
+        spans = row["spans"]
+        listed = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans if s["kind"] != "markov")
+        assert (*(sum(s["kind"] == k for s in spans) for k in secrets.KINDS[:3]), brute.sha(listed)) == base[:4]
+        out, at = [], 0
+        for s in spans:
+            if s["start"] >= at:
+                out += [text[at : s["start"]], secrets.MARK]
+            at = max(at, s["end"])
+        assert row["redacted"] == "".join(out) + text[at:]
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_unlike_long_words_are_told_apart(spark, n):
+    one = thue_morse(n)
+    other = one.translate(str.maketrans("ab", "ba"))
+    common = [f"w{i}" for i in range(19)]
+    texts = [" ".join([*common, one]), " ".join([*common, other])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["n_removed"] for r in fmdedup.remove_repeated_windows(docs).collect()] == [0, 0]
+    assert by_component(jaccard.jaccard_components(docs, 20)) == {0: 0, 1: 1}
+    items = spark.createDataFrame([(1, " ".join([*common[-9:], one]))], "item_id long, text string")
+    assert {r["doc_id"]: len(r["hit_spans"]) for r in decontam.find_contamination(docs, items).collect()} == {0: 1, 1: 0}
+    twice = spark.createDataFrame([(1, f"x y {one} x y {other}"), (2, f"x y {one} x y {one}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_repeat_words"] for r in quality.judge_documents(twice).collect()} == {1: 0, 2: 6}
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_unlike_long_texts_of_two_words_are_told_apart(spark, n):
+    one = thue_morse(n)
+    words = [" ".join(t) for t in (one, one.translate(str.maketrans("ab", "ba")))]
+    docs = list(enumerate(words))
+    want = brute.removed_words(docs)
+    got = fmdedup.remove_repeated_windows(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()} == want
+
+
+def by_component(df):
+    return {r["doc_id"]: r["component_id"] for r in df.collect()}
+
+
+def test_items_without_an_id_hit(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "nothing"), (3, "x y z")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "A b c d e f g h i j"), (None, "x y"), (4, "y z"), (None, None)], "item_id long, text string")
+    for part_bytes in (5, 1 << 20):
+        got = {r["doc_id"]: (r["items"], r["hit_spans"] != [], [m["item"] for m in r["near"]]) for r in decontam.find_contamination(docs, items, part_bytes=part_bytes).collect()}
+        assert got == {1: ([None], True, [None]), 2: ([], False, []), 3: ([4, None], True, [4, None])}
