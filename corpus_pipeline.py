@@ -7,11 +7,11 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointferry.llm.decontam import find_contamination
-from pointferry.llm.jaccard import jaccard_components
+from pointferry.llm.jaccard import jaccard_components, row_mark
 from pointferry.llm.packing import pack_documents
 from pointferry.llm.quality import judge_documents
 from pointferry.llm.secrets import redacted, scan_secrets
-from pointferry.llm.textkit import as_before
+from pointferry.llm.textkit import NO_ID, as_before
 from pointferry.operators.sizing import broadcast_if_small
 from pointferry.session import scratch_dir
 
@@ -27,11 +27,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the least id.
 
-    Rows without an id can't be told apart and all stay.
+    Rows are known by id and text, so unlike texts under one id, or without one, are documents of their
+    own. Equal rows are one document and stay or go together.
     """
-    groups = jaccard_components(docs, 5, Fraction(8, 10))
-    gone = groups.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(broadcast_if_small(gone, "near-duplicates"), "doc_id", "left_anti").select(*docs.columns)
+    groups = jaccard_components(docs, 5, Fraction(8, 10), rows=True)
+    gone = groups.where("NOT stays").select(F.col("mark").alias("_row_mark")).distinct()
+    marked = docs.withColumn("_row_mark", row_mark(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.coalesce("text", F.lit(""))))
+    return marked.join(broadcast_if_small(gone, "near-duplicates"), "_row_mark", "left_anti").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
