@@ -29,7 +29,7 @@ from pointferry.llm.anchors import CHUNK_BYTES, pack_arrays, unpack_arrays
 from pointferry.llm.anchors import _by_shard, _rows, _shards_of
 from pointferry.llm.components import components
 from pointferry.llm.textkit import LOWER, NO_ID, SPACES, documents, id_and_text, mix, row_of, slices, small_batches, text_bytes, tidy, with_doc_id, word_bounds, word_codes, window_codes
-from pointferry.operators.sizing import broadcast_if_small
+from pointferry.operators.sizing import broadcast_if_small, maybe_members, measured
 from pointferry.session import scratch_dir
 
 SHINGLE, THRESHOLD = 5, Fraction(8, 10)
@@ -407,11 +407,14 @@ def jaccard_components(df: DataFrame, n: int = SHINGLE, threshold: Fraction = TH
     joined = spark.read.schema(_FOUND).parquet(f"{folder}/joined")
     far = joined.where(F.col("kind") == FAR)
     hot = far.groupBy("pivot").agg(F.max("salts").alias("all_salts"), F.count(F.lit(1)).alias("n_far"))
-    hot = hot.withColumn("blocks", F.ceil(F.col("n_far") / BLOCK).cast("int")).drop("n_far")
+    hot, small = measured(hot.withColumn("blocks", F.ceil(F.col("n_far") / BLOCK).cast("int")).drop("n_far"), "hot-regions")
+    # A hot region has over REGION documents, so there are few; sets of all other regions stay where they are.
+    of_hot = members if small else maybe_members(members, hot, "pivot")
+    hot = F.broadcast(hot) if small else hot
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     block = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block")
     replicated = far.join(hot, "pivot").select("pivot", spread("all_salts").alias("to"), F.col("salt").alias("own"), block, "a", "gap", "codes").where("own <> to")
-    held = members.join(hot, "pivot").select("pivot", F.col("salt").alias("to"), spread("blocks").alias("block"), "doc", "codes")
+    held = of_hot.join(hot, "pivot").select("pivot", F.col("salt").alias("to"), spread("blocks").alias("block"), "doc", "codes")
     key = ["pivot", "to", "block"]
     crossed = held.groupBy(*key).cogroup(replicated.select(*key, "a", "gap", "codes").groupBy(*key)).applyInArrow(tidy(lambda left, right: _join_far(left, right, threshold)), _FOUND)
     edges = joined.where(F.col("kind") == EDGE).select("a", "b").unionAll(crossed.select("a", "b"))
