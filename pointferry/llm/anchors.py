@@ -10,8 +10,11 @@ equal anchors, so windows are compared where their anchors meet. Neighbouring wi
    where that differs from the owner the segment came with.
 5. A chunk sets each window's first owner and returns a row for each document.
 
-What is frequent in a chunk is sent once by it, so no passage makes a shard hot. Whole-document copies are found first, by
-their digest, and stay out of steps 1 to 4. The chunks' shuffle is used by steps 1, 3 and 5 of one plan.
+What is frequent in a chunk is sent once by it. A passage in many different surroundings still has many segments with one
+anchor. Chunks tell with each code how many different segments it has; the shard adds them up and names anchors with more
+than ``HOT``. Their windows are sent one by one, equal ones once, to the shard of the window's own code, so no anchor makes a
+shard hot, and equal windows still meet. Whole-document copies are found first, by their digest, and stay out of steps 1
+to 4. The chunks' shuffle is used by steps 1, 3 and 5 of one plan.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from pointferry.llm.textkit import SPACES, mix, powers, text_bytes, tidy, window_codes, word_bounds, word_codes
 
 CHUNK_BYTES = 2 << 20  # text a task holds at once, but for longer documents
-COPY, REPLY = 0, 1
+HOT = 8192  # different segments of one anchor in one shard
+COPY, REPLY, WINDOW = 0, 1, 2
 _SENT = "shard long, chunk long, payload binary"
 _BACK = "chunk long, kind int, number long, payload binary"
 
@@ -116,6 +120,23 @@ def close_anchors(units: Units, n: int, k: int) -> np.ndarray:
     return np.unique(mix(grams[at[1:][close]]))
 
 
+def _codes_of(grams: np.ndarray, first: np.ndarray, length: np.ndarray, k: int) -> np.ndarray:
+    """Codes of runs of units, by their first unit and length.
+
+    Of the grams' codes, not of the units': a sum of few different values times powers is 0 for unlike long runs.
+    """
+    sums = np.zeros(len(grams) + 1, np.uint64)
+    np.cumsum(grams * powers(len(grams)), dtype=np.uint64, out=sums[1:])
+    return mix((sums[first + length - k + 1] - sums[first]) * powers(len(grams), True)[first] + length.astype(np.uint64))
+
+
+def windows_of(units: Units, n: int, k: int, first: np.ndarray) -> Segments:
+    """The windows that begin at some units, as segments of their own that meet by their own codes."""
+    grams = window_codes(units.codes, k)
+    codes = _codes_of(grams, first, np.full(len(first), n), k) if len(first) else np.empty(0, np.uint64)
+    return Segments(first, np.ones(len(first), np.int64), codes, codes, units.row[first])
+
+
 def segments_of(units: Units, n: int, k: int) -> Segments:
     total = len(units.codes)
     if total < n:
@@ -133,11 +154,7 @@ def segments_of(units: Units, n: int, k: int) -> Segments:
     last_of_row = np.maximum(units.units_at[1:] - n + 1, units.units_at[:-1])[row[first]]
     after = np.append(first[1:], len(least))
     windows = np.minimum(after, last_of_row) - first
-    # Of the grams' codes, not of the units': a sum of few different values times powers is 0 for unlike long runs.
-    sums = np.zeros(len(grams) + 1, np.uint64)
-    np.cumsum(grams * powers(len(grams)), dtype=np.uint64, out=sums[1:])
-    length = windows + n - 1
-    code = mix((sums[first + length - k + 1] - sums[first]) * powers(len(grams), True)[first] + length.astype(np.uint64))
+    code = _codes_of(grams, first, windows + n - 1, k)
     return Segments(first, windows, mix(least[first]), code, row[first])
 
 
@@ -169,7 +186,7 @@ class RepeatedWindows:
     """
 
     def __init__(self, units: Callable, n: int, k: int, within: bool, resolve: Callable):
-        self.units, self.n, self.k, self.within, self.resolve = units, n, k, within, resolve
+        self.units, self.n, self.k, self.within, self.resolve, self.hot = units, n, k, within, resolve, HOT
 
     def _load(self, left: pa.Table, right: pa.Table) -> tuple[Units, np.ndarray, list[tuple[int, bytes]]]:
         left = left.sort_by([("doc_id", "ascending"), ("text", "ascending")])
@@ -207,31 +224,43 @@ class RepeatedWindows:
                 return _rows(_SENT, [])
             chunk = left.column("chunk")[0].as_py()
             units, _, _ = self._load(left, right)
-            codes, _ = self._anchor_codes(units, segments_of(units, self.n, self.k))
+            seg = segments_of(units, self.n, self.k)
+            codes, _ = self._anchor_codes(units, seg)
+            different = np.unique(seg.code, return_index=True)[1]
+            counts = np.bincount(np.searchsorted(codes, seg.anchor[different] >> np.uint64(16)), minlength=len(codes))
             rows = []
             for shard, run in _by_shard(_shards_of(codes << np.uint64(16), shards)):
-                rows.append((shard, chunk, codes[run].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
+                many = np.flatnonzero(counts[run] > 1)
+                short = codes[run].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                several = np.concatenate([many, counts[run][many]]).astype("<u4").tobytes()  # codes not named have one segment
+                rows.append((shard, chunk, (run.stop - run.start).to_bytes(4, "little") + short + several))
             return _rows(_SENT, rows)
 
         return ask
 
-    @staticmethod
-    def _met(table: pa.Table) -> pa.Table:
+    def _met(self, table: pa.Table) -> pa.Table:
         payloads = table.column("payload").to_pylist()
-        sizes = [len(p) // 6 for p in payloads]
+        sizes = [int.from_bytes(p[:4], "little") for p in payloads]
         codes = np.zeros((sum(sizes), 8), np.uint8)
-        codes[:, :6] = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, 6)
+        codes[:, :6] = np.frombuffer(b"".join(p[4 : 4 + 6 * n] for p, n in zip(payloads, sizes)), np.uint8).reshape(-1, 6)
         codes = codes.reshape(-1).view(np.uint64)
+        counts, at = np.ones(len(codes), np.int64), 0
+        for p, n in zip(payloads, sizes):
+            many, count = np.frombuffer(p, "<u4", offset=4 + 6 * n).reshape(2, -1)
+            counts[at + many] = count
+            at += n
         order = np.argsort(codes, kind="stable")
-        same = codes[order][1:] == codes[order][:-1]
-        met = np.zeros(len(codes), bool)
-        met[order[1:][same]] = True
-        met[order[:-1][same]] = True
+        first = np.flatnonzero(np.concatenate([[True], codes[order][1:] != codes[order][:-1]]))
+        size = np.diff(np.append(first, len(codes)))
+        met, hot = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        met[order] = np.repeat(size > 1, size)
+        hot[order] = np.repeat(np.add.reduceat(counts[order], first) > self.hot, size)
         shard = table.column("shard")[0].as_py()
         rows, at = [], 0
-        for chunk, size in zip(table.column("chunk").to_pylist(), sizes):
-            rows.append((chunk, REPLY, shard, np.packbits(met[at : at + size]).tobytes()))
-            at += size
+        for chunk, n in zip(table.column("chunk").to_pylist(), sizes):
+            split = np.flatnonzero(hot[at : at + n]).astype("<u4").tobytes()
+            rows.append((chunk, REPLY, shard, np.packbits(met[at : at + n]).tobytes() + split))
+            at += n
         return _rows(_BACK, rows)
 
     def _own(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -252,26 +281,42 @@ class RepeatedWindows:
             units, _, replies = self._load(left, right)
             seg = segments_of(units, self.n, self.k)
             codes, live = self._anchor_codes(units, seg)
+            hot = np.zeros(len(codes), bool)
             by_shard = dict(_by_shard(_shards_of(codes << np.uint64(16), anchor_shards)))
             for shard, payload in replies:
                 run = by_shard[shard]
-                live[run] |= np.unpackbits(np.frombuffer(payload, np.uint8), count=run.stop - run.start).view(bool)
-            wanted = live[np.searchsorted(codes, seg.anchor >> np.uint64(16))]
+                bits = -(-(run.stop - run.start) // 8)
+                live[run] |= np.unpackbits(np.frombuffer(payload, np.uint8, bits), count=run.stop - run.start).view(bool)
+                hot[run.start + np.frombuffer(payload, "<u4", offset=bits).astype(np.int64)] = True
+            place = np.searchsorted(codes, seg.anchor >> np.uint64(16))
             found, first, owner, _ = self._own(units, seg)
-            keep = wanted[first]
-            found, first, owner = found[keep], first[keep], owner[keep]
-            shard = _shards_of(mix(seg.anchor[first] >> np.uint64(16)), shards)
-            order = np.argsort(shard, kind="stable")
-            rows = []
-            for number, run in _by_shard(shard[order]):
-                at = order[run]
-                begin, units_long = seg.first[first[at]], seg.windows[first[at]] + self.n - 1
-                start = begin - units.units_at[seg.row[first[at]]]
-                rows.append((number, chunk, pack_arrays(found[at], units_long.astype(np.int32), owner[at], start.astype(np.int64), *self._text(units, begin, units_long))))
+            keep = (live & ~hot)[place[first]]
+            shard = _shards_of(mix(seg.anchor[first[keep]] >> np.uint64(16)), shards)
+            rows = self._sent(chunk, units, seg, shard, found[keep], first[keep], owner[keep], np.empty(0, bool))
+            split = np.flatnonzero((live & hot)[place])
+            if len(split):
+                count = seg.windows[split]
+                at = np.repeat(seg.first[split] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                single = windows_of(units, self.n, self.k, at)
+                found, first, owner, inverse = self._own(units, single)
+                # What the chunk has twice it must be told of in any case: its documents don't know which windows were split.
+                rows += self._sent(chunk, units, single, _shards_of(mix(found), shards), found, first, owner, np.bincount(inverse) > 1)
             return _rows(_SENT, rows)
 
         return send
 
+    def _sent(self, chunk: int, units: Units, seg: Segments, shard: np.ndarray, codes: np.ndarray, first: np.ndarray, owner: np.ndarray, always: np.ndarray) -> list[tuple]:
+        """Rows of segments for their shards; single windows have flags ``always``, whether a reply is due in any case."""
+        order = np.argsort(shard, kind="stable")
+        rows = []
+        for number, run in _by_shard(shard[order]):
+            at = order[run]
+            begin, units_long = seg.first[first[at]], seg.windows[first[at]] + self.n - 1
+            start = begin - units.units_at[seg.row[first[at]]]
+            flags = always[at] if len(always) else always
+            rows.append((number, chunk, pack_arrays(codes[at], units_long.astype(np.int32), owner[at], start.astype(np.int64), *self._text(units, begin, units_long), flags.view(np.uint8))))
+        return rows
+
     def _text(self, units: Units, begin: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of each segment one after the other, and how many each has."""
         if units.starts is None:
@@ -286,6 +331,7 @@ class RepeatedWindows:
         parts = [unpack_arrays(p) for p in table.column("payload").to_pylist()]
         chunks = table.column("chunk").to_pylist()
         counts = [len(p[0]) for p in parts]
+        flags = [p[6].view(bool) for p in parts]
         codes, long, owner, start, data, size = (np.concatenate([p[i] for p in parts]) for i in range(6))
         # Equal segments of several chunks are resolved once, with the least owner.
         order = np.lexsort((start, owner, codes))
@@ -302,7 +348,7 @@ class RepeatedWindows:
         best_owner, best_start = self.resolve(data[pick], size[rep].astype(np.int64), long[rep].astype(np.int64), self.n, owner[rep][w_seg], w_start)
         rows, at = [], 0
         shard = table.column("shard")[0].as_py()
-        for chunk, n in zip(chunks, counts):
+        for chunk, n, always in zip(chunks, counts, flags):
             mine = np.arange(at, at + n)
             at += n
             seg = number[mine]
@@ -312,11 +358,11 @@ class RepeatedWindows:
             place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
             got_owner, got_start = best_owner[w_at[seg][of] + place], best_start[w_at[seg][of] + place]
             differs = (got_owner != owner[mine][of]) | (self.within & (got_start != start[mine][of] + place))
-            tell = np.zeros(n, bool)
+            tell = always.copy() if len(always) else np.zeros(n, bool)
             tell[of[differs]] = True
             if tell.any():
                 told = tell[of]
-                rows.append((chunk, REPLY, shard, pack_arrays(codes[mine][tell], count[tell].astype(np.int32), got_owner[told], got_start[told])))
+                rows.append((chunk, WINDOW if len(always) else REPLY, shard, pack_arrays(codes[mine][tell], count[tell].astype(np.int32), got_owner[told], got_start[told])))
         return _rows(_BACK, rows)
 
     def _finish(self, result: Callable) -> Callable:
@@ -355,12 +401,31 @@ class RepeatedWindows:
             earlier = w_owner[at] < doc[of]
             if self.within:
                 earlier |= (w_owner[at] == doc[of]) & (w_start[at] < start[of] + step)
-            return result(left.sort_by([("doc_id", "ascending"), ("text", "ascending")]), units, copies, unit[earlier])
+            starts = np.concatenate([unit[earlier], self._of_split(units, right)])
+            return result(left.sort_by([("doc_id", "ascending"), ("text", "ascending")]), units, copies, starts)
 
         return finish
 
-    def run(self, docs: DataFrame, schema: str, result: Callable) -> DataFrame:
-        """``result(documents, units, copies, starts)`` makes the rows of a chunk; ``starts`` are repeated windows' first units."""
+    def _of_split(self, units: Units, right: pa.Table) -> np.ndarray:
+        """First units of repeated windows, of those that were sent one by one."""
+        told = [unpack_arrays(p) for k, p in zip(right.column("kind").to_pylist(), right.column("payload").to_pylist()) if k == WINDOW]
+        if not told:
+            return np.empty(0, np.int64)
+        codes, _, owner, start = (np.concatenate([t[i] for t in told]) for i in range(4))
+        order = np.argsort(codes)
+        codes, owner, start = codes[order], owner[order], start[order]
+        row = units.row
+        at = np.flatnonzero(row[: len(row) - self.n + 1] == row[self.n - 1 :])
+        own = windows_of(units, self.n, self.k, at)
+        spot = np.minimum(np.searchsorted(codes, own.code), len(codes) - 1)
+        doc = units.doc_ids[own.row]
+        earlier = owner[spot] < doc
+        if self.within:
+            earlier |= (owner[spot] == doc) & (start[spot] < at - units.units_at[own.row])
+        return at[earlier & (codes[spot] == own.code)]
+
+    def sent(self, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The documents by chunk, the copies among them, and the segments that go to the shards."""
         spark = docs.sparkSession
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -372,6 +437,11 @@ class RepeatedWindows:
         sent = dealt.groupBy("chunk").cogroup(copies.groupBy("chunk")).applyInArrow(tidy(self._ask(anchor_shards)), _SENT)
         met = sent.groupBy("shard").applyInArrow(tidy(self._met), _BACK)
         segments = dealt.groupBy("chunk").cogroup(copies.unionAll(met).groupBy("chunk")).applyInArrow(tidy(self._send(anchor_shards, shards)), _SENT)
+        return dealt, copies, segments
+
+    def run(self, docs: DataFrame, schema: str, result: Callable) -> DataFrame:
+        """``result(documents, units, copies, starts)`` makes the rows of a chunk; ``starts`` are repeated windows' first units."""
+        dealt, copies, segments = self.sent(docs)
         owners = segments.groupBy("shard").applyInArrow(tidy(self._answer), _BACK)
         return dealt.groupBy("chunk").cogroup(copies.unionAll(owners).groupBy("chunk")).applyInArrow(tidy(self._finish(result)), schema)
 

@@ -324,3 +324,45 @@ def test_items_without_an_id_hit(spark):
     for part_bytes in (5, 1 << 20):
         got = {r["doc_id"]: (r["items"], r["hit_spans"] != [], [m["item"] for m in r["near"]]) for r in decontam.find_contamination(docs, items, part_bytes=part_bytes).collect()}
         assert got == {1: ([None], True, [None]), 2: ([], False, []), 3: ([4, None], True, [4, None])}
+
+
+def surrounded(n, seed=3):
+    """Documents with one passage in surroundings of their own; a few have it twice, or share more than it."""
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(2, 4)))
+    passage = " ".join(f"p{i}assage" for i in range(30))
+    texts = []
+    for i in range(n):
+        left, right = (" ".join(word() for _ in range(rng.randint(0, 30))) for _ in range(2))
+        texts.append(f"{left} {passage} {right}" + (f" {passage} {left}" if i % 7 == 0 else ""))
+    return texts + texts[:3]
+
+
+@pytest.mark.parametrize("unit", ["bytes", "words"])
+def test_windows_of_an_anchor_with_many_segments_are_split(spark, monkeypatch, unit):
+    monkeypatch.setattr(anchors, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(anchors, "HOT", 5)
+    rows = list(enumerate(surrounded(60)))
+    within = unit == "words"
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = fmdedup.remove_repeated_windows(docs) if within else suffixdedup.remove_repeats(docs)
+    want = brute.removed_words(rows) if within else brute.removed_bytes(rows)
+    names = ["n_words", "n_removed"] if within else ["n_bytes", "n_removed", "n_spans"]
+    assert {r["doc_id"]: (*(r[n] for n in names), r["kept_sha256"]) for r in got.collect()} == want
+
+
+def test_a_passage_of_very_many_documents_makes_no_hot_shard(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "CHUNK_BYTES", 1 << 16)
+    rows = [(i, t) for i, t in enumerate(surrounded(4000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def largest(hot):
+        monkeypatch.setattr(anchors, "HOT", hot)
+        job = anchors.RepeatedWindows(anchors.word_units, 20, 6, within=True, resolve=fmdedup.least_owners)
+        n = job.sent(docs)[2].groupBy("shard").agg(F.sum(F.octet_length("payload")).alias("n")).toPandas()["n"]
+        return n.max() / n.median(), len(n)
+
+    whole, split = largest(1 << 30), largest(64)
+    assert split[0] < 4 and split[0] < whole[0]
