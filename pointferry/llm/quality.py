@@ -38,7 +38,7 @@ class LineRules:
     max_symbol_share: float = 0.3
     min_letter_share: float = 0.4
     boilerplate_words: int = 15
-    require_end_mark: bool = False
+    require_end_mark: bool = True
     navigation: tuple[str, ...] = field(default=NAVIGATION)
     boilerplate: tuple[str, ...] = field(default=BOILERPLATE)
 
@@ -60,11 +60,12 @@ class LineRules:
                 return "navigation"
             if any(p in low for p in self.boilerplate):
                 return "boilerplate"
-        if self.require_end_mark and line.rstrip(_SPACE)[-1:] not in tuple(".!?\"'”»:;…"):
+        if self.require_end_mark and line.rstrip(_SPACE)[-1:] not in _END_MARKS:
             return "end mark"
         return None
 
 
+_END_MARKS = frozenset(".!?\"'”’»:;…)]。！？")
 _NO_LETTERS = {c: None for c in [*range(0x41, 0x5B), *range(0x61, 0x7B)]}
 
 
