@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointferry.llm.textkit import SPACES, documents, id_and_text, row_of, slices, with_doc_id, word_bounds, word_codes
+from pointferry.operators.sizing import stored
 
 FREQUENT = 4096  # words with a number of their own
 BUCKETS = 256  # numbers of all other words
@@ -158,7 +159,9 @@ def frequent_words(docs: DataFrame, n: int = LISTED) -> np.ndarray:
         yield rows()
 
     counted = docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return np.array([r["code"] for r in counted.orderBy(F.desc("n"), "code").limit(n).collect()], np.int64).view(np.uint64)
+    # A task merges what the partitions offer, not the driver.
+    top = stored(counted.orderBy(F.desc("n"), "code").limit(n), "frequent-words")
+    return np.array([r["code"] for r in top.orderBy(F.desc("n"), "code").collect()], np.int64).view(np.uint64)
 
 
 class Numbers:

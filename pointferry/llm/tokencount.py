@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointferry.llm.textkit import Kept, documents, id_and_text, small_batches, with_doc_id
+from pointferry.operators.sizing import stored
 
 LIMIT = 4096
 FREQUENT = 65_536  # rows of the broadcast table, whatever the corpus
@@ -97,7 +98,7 @@ def frequent_pretokens(docs: DataFrame) -> list[str]:
 
     offered = docs.select("text").mapInArrow(offer, "part string, n long")
     top = offered.groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(FREQUENT)
-    return [r["part"] for r in top.select("part").collect()]
+    return [r["part"] for r in stored(top.select("part"), "frequent-pretokens").collect()]  # merged by a task, not by the driver
 
 
 def count_tokens(df: DataFrame, model: str = "piece_bpe_32k.model", limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
