@@ -7,10 +7,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pointferry.functions.ids import number_id
 from pointferry.model import id_text, payload_value
 from pointferry.operators import verify
+from pointferry.operators.sizing import stored
 from pointferry.sources import normalize_mongodb
 from pointferry.suite import sql, staging
 
 
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source's points, written once.
+
+    Both sides read them several times, each with other rows filtered. Once the embeddings are too large for a
+    broadcast, the join that gives documents their vectors would shuffle whole texts for every one of these reads.
+    """
+    return stored(staging.collection_raw(spark, sf_dir), "points")
+
+
 def _target(points: DataFrame) -> DataFrame:
     """Every 11th document is missing, every 13th has another payload, every 17th another vector; extras are added."""
     doc = F.col("source_ord")
@@ -35,7 +45,7 @@ SELECT shard, source_count, target_count, source_count = target_count AS matches
 
 
 def v02_compare_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = staging.collection_raw(spark, sf_dir)
+    points = _points(spark, sf_dir)
     return verify.compare_points(points, _target(points)).select(id_text(F.col("id")).alias("point_id"), "status")
 
 
@@ -49,13 +59,13 @@ UNION ALL SELECT (doc_id + 1000000000)::VARCHAR, 'extra' FROM p WHERE doc_id % 1
 
 def v02_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids that differ, by descent into buckets of ids whose sums differ."""
-    points = staging.collection_raw(spark, sf_dir)
+    points = _points(spark, sf_dir)
     return verify.differences(points, _target(points)).select(id_text(F.col("id")).alias("point_id"), "status")
 
 
 def v02_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth point stands twice in the source, but only every tenth twice in the target."""
-    points = staging.collection_raw(spark, sf_dir)
+    points = _points(spark, sf_dir)
     twice = lambda n: points.unionByName(points.filter(F.col("source_ord") % n == 0))
     return verify.compare_points(twice(5), twice(10)).select(id_text(F.col("id")).alias("point_id"), "status")
 

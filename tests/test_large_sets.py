@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointferry.operators import scan, search, sizing, verify
+from pointferry.suite import verification
 from tests.test_table import writes
 
 
@@ -58,3 +59,19 @@ def test_equal_tables_shuffle_sums_only(spark):
     plan = unequal._jdf.queryExecution().executedPlan().toString()
     first = plan.index("Exchange hashpartitioning(bucket")
     assert "HashAggregate" in plan[first:] and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("name", ["v02_compare_points", "v02_differences", "v02_repeated_ids"])
+def test_compared_points_are_joined_with_their_vectors_once(spark, tmp_path, name):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"), (F.col("id") + 9).alias("n_chars"))
+    docs.unionByName(docs.filter("doc_id = 7")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(4).select(F.col("id").alias("vec_id"), F.array(F.lit(0.5).cast("float")).alias("embedding")).write.parquet(str(tmp_path / "embeddings.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the embeddings were many
+    try:
+        got = verification.ENTRIES[name][0](spark, str(tmp_path))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "embeddings.parquet" not in plan and "vec_id" not in plan
+        differ = {r["status"] for r in got.collect()} - {"same"}
+        assert differ == ({"changed"} if name == "v02_repeated_ids" else {"missing", "changed", "extra"})
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
