@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from bisect import bisect_left, insort
+from codecs import charmap_decode
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,12 +26,13 @@ from pointferry.session import scratch_dir
 
 CAPACITY = 4096
 END_ID = 1
-WORDS, CORES = 300_000, 200_000  # entries of each generation of a worker's two caches
+WORDS = 500_000  # entries of each generation of a worker's cache
 RUN_ROWS = 2_000  # rows of one size that one task ranks
 # Latin letters, and after them a run of ASCII marks without apostrophes: two pre-tokens.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-# How byte-level models write bytes that are no visible characters.
+# How byte-level models write a byte: those that are no visible characters by letters of their own.
 _BYTE_CHARS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+_VISIBLE = "".join(chr(_BYTE_CHARS.get(b, b)) for b in range(256))
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
@@ -43,32 +45,29 @@ class WordIds:
 
     The tokenizer drops white space and never joins over it, so the ids of a text are those of its
     words. A plain word is letters, taken in lower case as the tokenizer does, and the marks after
-    them; all other words go through the whole tokenizer.
+    them; all other words go through the whole tokenizer. Most words of a text that are new are plain
+    and in lower case, so the parts of a word are kept among the words, each once.
     """
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.cores = Kept(self._core, CORES)
+        self.tokenize = self.tokenizer.model.tokenize
         self.words = Kept(self._word, WORDS)
 
-    def _encode(self, text: str) -> bytes:
-        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _core(self, text: str) -> bytes:
-        if not text.isalpha():
-            return self._encode(text)
-        # One pre-token; the model reads its bytes as characters.
-        seen = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return pack_ids([t.id for t in self.tokenizer.model.tokenize(seen)])
-
     def _word(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if not plain:
-            return self._encode(word)
+            return pack_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
         core, mark = plain.groups()
-        return self.cores[core.lower()] + self.cores[mark] if mark else self.cores[core.lower()]
+        if mark:
+            return self.words[core] + self.words[mark]
+        lower = core.lower()
+        if lower != core:
+            return self.words[lower]
+        # One pre-token; the model reads its bytes as characters.
+        return pack_ids([t.id for t in self.tokenize(charmap_decode(core.encode(), "strict", _VISIBLE)[0])])
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))

@@ -366,3 +366,17 @@ def test_a_passage_of_very_many_documents_makes_no_hot_shard(spark, monkeypatch)
 
     whole, split = largest(1 << 30), largest(64)
     assert split[0] < 4 and split[0] < whole[0]
+
+
+def test_a_plain_word_is_kept_once():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    words = packing.WordIds(file)
+    plain = [f"{a}{b}é" for a in ("straße", "ndin", "hÿort") for b in ("an", "bis", "corzu", "d" * 70)]
+    text = " ".join(plain) + "\n" + " ".join(w.upper() + "!?" for w in plain) + "\tDon't état  µ ªº İx Ǆ 12a a12   " + " ".join(w + "." for w in plain)
+    want = Tokenizer.from_file(file).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.encode(text), "<u4").tolist() == want == np.frombuffer(words.encode(text), "<u4").tolist()
+    kept = [key for cache in vars(words).values() if isinstance(cache, packing.Kept) for key in cache]
+    assert all(kept.count(w) == (len(w) <= 64) for w in plain)
