@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from pointferry.llm.textkit import SPACES, mix, powers, text_bytes, tidy, window_codes, word_bounds, word_codes
+from pointferry.llm.textkit import BLOCK, SPACES, mix, powers, text_bytes, tidy, window_codes, word_bounds, word_codes
 
 CHUNK_BYTES = 2 << 20  # text a task holds at once, but for longer documents
 HOT = 8192  # different segments of one anchor in one shard
@@ -58,12 +58,15 @@ def unpack_arrays(payload: bytes) -> list[np.ndarray]:
 
 def smallest_in_windows(codes: np.ndarray, width: int) -> np.ndarray:
     """The least of every ``width`` neighbouring codes."""
-    least, have = codes, 1
-    while have < width:
-        step = min(have, width - have)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        have += step
-    return least
+    made = np.empty(max(0, len(codes) - width + 1), codes.dtype)
+    for i in range(0, len(made), BLOCK):
+        least, have = codes[i : i + BLOCK + width - 1], 1
+        while have < width:
+            step = min(have, width - have)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            have += step
+        made[i : i + BLOCK] = least
+    return made
 
 
 @dataclass
@@ -83,9 +86,12 @@ class Units:
         return np.repeat(np.arange(len(self.doc_ids)), np.diff(self.units_at))
 
 
+_BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def byte_units(doc_ids: np.ndarray, texts: pa.Array) -> Units:
     data, at = text_bytes(texts)
-    return Units(doc_ids, data, at, mix(data.astype(np.uint64) + np.uint64(1)), at)
+    return Units(doc_ids, data, at, _BYTE_CODES[data], at)
 
 
 def word_units(doc_ids: np.ndarray, texts: pa.Array) -> Units:
@@ -125,8 +131,11 @@ def _codes_of(grams: np.ndarray, first: np.ndarray, length: np.ndarray, k: int)
 
     Of the grams' codes, not of the units': a sum of few different values times powers is 0 for unlike long runs.
     """
-    sums = np.zeros(len(grams) + 1, np.uint64)
-    np.cumsum(grams * powers(len(grams)), dtype=np.uint64, out=sums[1:])
+    sums, by = np.zeros(len(grams) + 1, np.uint64), powers(len(grams))
+    for i in range(0, len(grams), BLOCK):
+        part = grams[i : i + BLOCK] * by[i : i + BLOCK]
+        part[0] += sums[i]
+        np.cumsum(part, dtype=np.uint64, out=sums[i + 1 : i + 1 + BLOCK])
     return mix((sums[first + length - k + 1] - sums[first]) * powers(len(grams), True)[first] + length.astype(np.uint64))
 
 
@@ -144,18 +153,35 @@ def segments_of(units: Units, n: int, k: int) -> Segments:
         return Segments(empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty)
     grams = window_codes(units.codes, k)
     least = smallest_in_windows(grams, n - k + 1)  # by window
-    row = units.row
-    inside = row[: total - n + 1] == row[n - 1 :]
-    change = np.ones(len(least), bool)
-    change[1:] = (least[1:] != least[:-1]) | (row[1 : len(least)] != row[: len(least) - 1])
-    change &= inside
+    change = np.ones(total, bool)
+    change[1 : len(least)] = least[1:] != least[:-1]
+    change[units.units_at[:-1][units.units_at[:-1] < total]] = True
+    short = np.minimum(np.diff(units.units_at), n - 1)  # a document's last units, at which no window begins
+    change[np.repeat(units.units_at[1:] - np.cumsum(short), short) + np.arange(short.sum())] = False
     first = np.flatnonzero(change)
+    row = np.searchsorted(units.units_at, first, "right") - 1
     # A segment ends where the next begins or its document has no further window.
-    last_of_row = np.maximum(units.units_at[1:] - n + 1, units.units_at[:-1])[row[first]]
+    last_of_row = np.maximum(units.units_at[1:] - n + 1, units.units_at[:-1])[row]
     after = np.append(first[1:], len(least))
     windows = np.minimum(after, last_of_row) - first
     code = _codes_of(grams, first, windows + n - 1, k)
-    return Segments(first, windows, mix(least[first]), code, row[first])
+    return Segments(first, windows, mix(least[first]), code, row)
+
+
+def _sorted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of codes, and where in it the runs of equal ones begin."""
+    order = np.argsort(codes)
+    run = codes[order]
+    new = np.ones(len(run), bool)
+    new[1:] = run[1:] != run[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _numbers(order: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The number of each code's run."""
+    numbers = np.empty(len(order), np.int64)
+    numbers[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    return numbers
 
 
 def _shards_of(codes: np.ndarray, shards: int) -> np.ndarray:
@@ -204,19 +230,16 @@ class RepeatedWindows:
             texts = pc.if_else(pa.array(~copies), texts, pa.scalar("", texts.type))
         return self.units(ids, texts), copies, replies
 
-    def _anchor_codes(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray]:
-        """Different anchor codes, 48 bits each and ascending, and which of them repeat inside the chunk."""
+    def _anchor_codes(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different anchor codes, 48 bits each and ascending, which of them repeat inside the chunk, and each segment's place among them."""
         codes = seg.anchor >> np.uint64(16)
+        order, begin = _sorted(codes)
+        found, place = codes[order[begin]], _numbers(order, begin)
         if self.within:
-            found, counts = np.unique(codes, return_counts=True)
-            return found, (counts > 1) | np.isin(found, close_anchors(units, self.n, self.k) >> np.uint64(16))
-        order = np.lexsort((seg.row, codes))
-        c, r = codes[order], seg.row[order]
-        new = np.concatenate([[True], c[1:] != c[:-1]]) if len(c) else np.empty(0, bool)
-        found = c[new]
-        at = np.flatnonzero(new)
-        last = np.append(at[1:], len(c)) - 1
-        return found, r[at] != r[last] if len(c) else np.empty(0, bool)
+            twice = np.diff(np.append(begin, len(order))) > 1
+            return found, twice | np.isin(found, close_anchors(units, self.n, self.k) >> np.uint64(16)), place
+        rows = seg.row[order]
+        return found, np.minimum.reduceat(rows, begin) != np.maximum.reduceat(rows, begin) if len(rows) else np.empty(0, bool), place
 
     def _ask(self, shards: int) -> Callable:
         def ask(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -225,9 +248,9 @@ class RepeatedWindows:
             chunk = left.column("chunk")[0].as_py()
             units, _, _ = self._load(left, right)
             seg = segments_of(units, self.n, self.k)
-            codes, _ = self._anchor_codes(units, seg)
-            different = np.unique(seg.code, return_index=True)[1]
-            counts = np.bincount(np.searchsorted(codes, seg.anchor[different] >> np.uint64(16)), minlength=len(codes))
+            codes, _, place = self._anchor_codes(units, seg)
+            order, begin = _sorted(seg.code)
+            counts = np.bincount(place[order[begin]], minlength=len(codes))
             rows = []
             for shard, run in _by_shard(_shards_of(codes << np.uint64(16), shards)):
                 many = np.flatnonzero(counts[run] > 1)
@@ -265,7 +288,9 @@ class RepeatedWindows:
 
     def _own(self, units: Units, seg: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different segment codes, where each is first, its owner's document and first unit there, and each segment's number."""
-        codes, first, inverse = np.unique(seg.code, return_index=True, return_inverse=True)
+        order, begin = _sorted(seg.code)
+        codes, inverse = seg.code[order[begin]], _numbers(order, begin)
+        first = np.minimum.reduceat(order, begin) if len(order) else order
         # Documents ascend by id and segments by place, so the first of equal segments has the least owner,
         # unless a row with the same id has one nearer to its start.
         if self.within and len(codes) and (units.doc_ids[1:] == units.doc_ids[:-1]).any():
@@ -280,7 +305,7 @@ class RepeatedWindows:
             chunk = left.column("chunk")[0].as_py()
             units, _, replies = self._load(left, right)
             seg = segments_of(units, self.n, self.k)
-            codes, live = self._anchor_codes(units, seg)
+            codes, live, place = self._anchor_codes(units, seg)
             hot = np.zeros(len(codes), bool)
             by_shard = dict(_by_shard(_shards_of(codes << np.uint64(16), anchor_shards)))
             for shard, payload in replies:
@@ -288,7 +313,6 @@ class RepeatedWindows:
                 bits = -(-(run.stop - run.start) // 8)
                 live[run] |= np.unpackbits(np.frombuffer(payload, np.uint8, bits), count=run.stop - run.start).view(bool)
                 hot[run.start + np.frombuffer(payload, "<u4", offset=bits).astype(np.int64)] = True
-            place = np.searchsorted(codes, seg.anchor >> np.uint64(16))
             found, first, owner, _ = self._own(units, seg)
             keep = (live & ~hot)[place[first]]
             shard = _shards_of(mix(seg.anchor[first[keep]] >> np.uint64(16)), shards)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pointferry.llm import oracle
 from pointferry.llm.anchors import RepeatedWindows, Units, byte_units
-from pointferry.llm.textkit import covered, documents, id_and_text, with_doc_id
+from pointferry.llm.textkit import covered, documents, id_and_text, with_doc_id, word_bounds
 
 LENGTH = 50
 ANCHOR = 20
@@ -37,39 +37,54 @@ def _distances() -> np.ndarray:
     return found
 
 
-def _words(text: np.ndarray, at: np.ndarray, n: int) -> list[np.ndarray]:
-    """The first 8 n bytes of suffixes as n big-endian numbers; ``text`` is padded."""
-    eight = np.lib.stride_tricks.as_strided(text.view(np.uint8), (len(text) - 7, 8), (1, 1))
-    return [np.ascontiguousarray(eight[at + 8 * i]).view(">u8").ravel().astype(np.uint64) for i in range(n)]
+def _word(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one big-endian number; ``text`` is padded."""
+    return np.ndarray(len(text) - 7, ">u8", text, strides=(1,))[at].astype(np.uint64)
+
+
+def _word_of(text: np.ndarray, at: np.ndarray, i: int, depth: int) -> np.ndarray:
+    """The i-th eight of the first ``depth`` bytes, fewer if it is the last."""
+    word = _word(text, at + 8 * i)
+    return word >> np.uint64(max(0, 64 * (i + 1) - 8 * depth))
+
+
+def by_leading_bytes(text: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order of their first ``depth`` bytes, and which differ there from the one before.
+
+    Eight bytes are sorted first; only suffixes that tie in them are read on and sorted by the next eight.
+    """
+    word = _word_of(text, at, 0, depth)
+    order = np.argsort(word, kind="stable")
+    at, word = at[order], word[order]
+    new = np.ones(len(at), bool)
+    new[1:] = word[1:] != word[:-1]
+    for i in range(1, -(-depth // 8)):
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        open_ = np.flatnonzero(tied)
+        if not len(open_):
+            break
+        mine, name = at[open_], np.cumsum(new)[open_]
+        word = _word_of(text, mine, i, depth)
+        move = np.lexsort((word, name))
+        at[open_], word = mine[move], word[move]
+        differs = np.zeros(len(open_), bool)
+        differs[1:] = word[1:] != word[:-1]
+        new[open_] |= differs
+    return at, new
 
 
 def cover_ranks(text: np.ndarray, n: int, depth: int) -> np.ndarray:
     """The rank of every sample position's first ``depth`` bytes among all of them; -1 elsewhere."""
-    at = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
-    words = _words(text, at, -(-depth // 8))
-    spare = 8 * len(words) - depth
-    words[-1] = words[-1] >> np.uint64(8 * spare)
-    order = np.lexsort(words[::-1])
-    new = np.zeros(len(at), bool)
-    for w in words:
-        w = w[order]
-        new[1:] |= w[1:] != w[:-1]
+    at, new = by_leading_bytes(text, np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER)), depth)
     ranks = np.full(n, -1, np.int32)
-    ranks[at[order]] = np.cumsum(new)
+    ranks[at] = np.cumsum(new) - 1
     return ranks
 
 
 def sort_bucket(text: np.ndarray, at: np.ndarray, ranks: np.ndarray, distances: np.ndarray) -> np.ndarray:
     """Suffixes in order: by 32 bytes, then by cover ranks."""
-    words = _words(text, at, 4)
-    order = np.lexsort(words[::-1])
-    at = at[order]
-    new = np.ones(len(at), bool)
-    new[1:] = False
-    for w in words:
-        w = w[order]
-        new[1:] |= w[1:] != w[:-1]
-    del words
+    at, new = by_leading_bytes(text, at, 32)
     # A tied run is named by the place of its first suffix; runs keep their places while they are split.
     first = np.flatnonzero(new)
     run = np.repeat(first, np.diff(np.append(first, len(at))))
@@ -80,7 +95,7 @@ def sort_bucket(text: np.ndarray, at: np.ndarray, ranks: np.ndarray, distances:
         pivot = at[name]
         d = distances[mine % PERIOD, pivot % PERIOD]
         sign = np.sign(ranks[mine + d].astype(np.int64) - ranks[pivot + d])
-        move = np.lexsort((sign, name))
+        move = np.argsort(3 * name + sign, kind="stable")
         at[open_] = mine[move]
         sign, name = sign[move], name[move]
         change = np.ones(len(name), bool)
@@ -109,12 +124,11 @@ def least_owners(data: np.ndarray, size: np.ndarray, long: np.ndarray, n: int, o
     while a < len(at):  # one bucket at a time: whole runs of equal leading bytes
         b = int(bounds[max(np.searchsorted(bounds, a + BUCKET, "right") - 1, np.searchsorted(bounds, a, "right"))])
         order = sort_bucket(text, at[by_lead[a:b]], ranks, distances)
-        words = _words(text, order, -(-n // 8))
-        words[-1] = words[-1] >> np.uint64(8 * (8 * len(words) - n))
+        equal = np.arange(1, len(order))  # to the suffix before, as far as they are read
+        for i in range(-(-n // 8)):
+            equal = equal[_word_of(text, order[equal], i, n) == _word_of(text, order[equal - 1], i, n)]
         new = np.ones(len(order), bool)
-        new[1:] = False
-        for w in words:
-            new[1:] |= w[1:] != w[:-1]
+        new[equal] = False
         first = np.flatnonzero(new)
         mine = number[order]
         best[mine] = np.repeat(np.minimum.reduceat(owner[mine], first), np.diff(np.append(first, len(mine))))
@@ -124,29 +138,31 @@ def least_owners(data: np.ndarray, size: np.ndarray, long: np.ndarray, n: int, o
 
 def _result(docs: pa.Table, units: Units, copies: np.ndarray, starts: np.ndarray, length: int) -> pa.Table:
     flags = covered(starts, length, len(units.codes))
-    ids = docs.column("doc_id").to_pylist()
-    columns: list[list] = [[] for _ in range(6)]
+    first, end, spans_at = word_bounds(flags.view(np.uint8), units.at, np.array([True, False]))
+    n_spans, n_bytes = np.diff(spans_at), np.diff(units.at)
+    first, n = first - np.repeat(units.at[:-1], n_spans), end - first
+    kept = units.data[~flags]
+    gone_at = np.concatenate([[0], np.cumsum(n)])[spans_at]
+    kept_at = units.at - gone_at
+    digests = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(kept_at[:-1].tolist(), kept_at[1:].tolist())]
+    n_removed = np.diff(gone_at)
     texts = docs.column("text")
-    for i, doc_id in enumerate(ids):
-        if copies[i]:
-            raw = texts[i].as_py().encode()
-            gone = len(raw) >= length
-            spans = [{"first": 0, "n": len(raw)}] if gone else []
-            kept, n = b"" if gone else raw, len(raw)
+    for i in np.flatnonzero(copies).tolist():  # empty so far
+        raw = texts[i].as_py().encode()
+        n_bytes[i] = len(raw)
+        if len(raw) < length:
+            digests[i] = hashlib.sha256(raw).hexdigest()
         else:
-            a, b = units.at[i], units.at[i + 1]
-            n = int(b - a)
-            mine = flags[a:b]
-            spans, kept = [], units.data[a:b]
-            if mine.any():
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
-                spans = [{"first": int(s), "n": int(e - s)} for s, e in zip(edges[::2], edges[1::2])]
-                kept = kept[~mine]
-            kept = kept.tobytes()
-        for column, value in zip(columns, (doc_id, n, sum(s["n"] for s in spans), len(spans), hashlib.sha256(kept).hexdigest(), spans)):
-            column.append(value)
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+            n_removed[i], n_spans[i] = len(raw), 1
+    spans_at = np.concatenate([[0], np.cumsum(n_spans)])
+    found = np.ones(spans_at[-1], bool)
+    found[spans_at[:-1][copies & (n_spans > 0)]] = False
+    spans = np.zeros((2, len(found)), np.int64)
+    spans[0, found], spans[1, found] = first, n
+    spans[1, ~found] = n_bytes[copies & (n_spans > 0)]
+    spans = pa.ListArray.from_arrays(pa.array(spans_at, pa.int32()), pa.StructArray.from_arrays([pa.array(x) for x in spans], names=["first", "n"]))
+    columns = [docs.column("doc_id").combine_chunks(), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(digests, pa.string()), spans]
+    return pa.table(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

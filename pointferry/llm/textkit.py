@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 1 << 20
+BLOCK = 1 << 15  # codes that are worked on at once, so that what is made of them on the way stays near the processor
 BATCH_ROWS = 1024  # rows of an Arrow batch that are taken at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -110,11 +111,15 @@ def as_before(df: DataFrame, columns: list[str], text_col: str = "text", length_
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread codes over all 64 bits."""
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
+    made = np.empty(len(h), np.uint64)
+    for i in range(0, len(h), BLOCK):
+        part = h[i : i + BLOCK]
+        part = part ^ (part >> np.uint64(31))
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= part >> np.uint64(29)
+        part *= np.uint64(0x94D049BB133111EB)
+        np.bitwise_xor(part, part >> np.uint64(32), out=made[i : i + BLOCK])
+    return made
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
@@ -192,12 +197,17 @@ def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def window_codes(codes: np.ndarray, n: int) -> np.ndarray:
-    """The code of every run of n neighbouring codes, by position of its first; shorter input gives none."""
-    if len(codes) < n:
-        return np.empty(0, np.uint64)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers(len(codes)), dtype=np.uint64, out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * powers(len(codes), True)[: len(codes) - n + 1])
+    """The code of every run of n neighbouring codes, by position of its first; shorter input gives none.
+
+    A code does not depend on where its run stands, so blocks that overlap give the same ones.
+    """
+    made = np.empty(max(0, len(codes) - n + 1), np.uint64)
+    for i in range(0, len(made), BLOCK):
+        part = codes[i : i + BLOCK + n - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * powers(len(part)), dtype=np.uint64, out=sums[1:])
+        made[i : i + BLOCK] = mix((sums[n:] - sums[:-n]) * powers(len(part) - n + 1, True))
+    return made
 
 
 def row_of(at: np.ndarray) -> np.ndarray:
@@ -207,10 +217,10 @@ def row_of(at: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of n places lie in a run of the given length that begins at one of the starts."""
-    steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, np.minimum(starts + length, n), -1)
-    return np.cumsum(steps[:-1]) > 0
+    starts = starts.astype(np.int64, copy=False)
+    begun = np.bincount(starts, minlength=n + 1)
+    begun -= np.bincount(np.minimum(starts + length, n), minlength=n + 1)
+    return np.cumsum(begun[:-1]) > 0
 
 
 def counts_in_rows(flags: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -1,11 +1,14 @@
 """Empty tables, null ids, repeated rows, other column names; the index structures; language model; the pipeline."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pointferry.llm import anchors, components, decontam, fmdedup, jaccard, licenses, lmscore, packing, quality, secrets, suffixdedup, tokencount
+from pointferry.llm import anchors, components, decontam, fmdedup, jaccard, licenses, lmscore, packing, quality, secrets, suffixdedup, textkit, tokencount
 from tests.conftest import SF_DIR
 from tests.llm import brute
 
@@ -380,3 +383,43 @@ def test_a_plain_word_is_kept_once():
     assert np.frombuffer(words.encode(text), "<u4").tolist() == want == np.frombuffer(words.encode(text), "<u4").tolist()
     kept = [key for cache in vars(words).values() if isinstance(cache, packing.Kept) for key in cache]
     assert all(kept.count(w) == (len(w) <= 64) for w in plain)
+
+
+def test_codes_of_long_chunks_are_made_in_blocks():
+    n = 5 * textkit.BLOCK + 77
+    codes = textkit.mix(np.random.default_rng(3).integers(0, 9, n).astype(np.uint64))
+    whole = np.array([sum(int(c) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(codes[a : a + 20])) % (1 << 64) for a in range(0, n - 19, 997)], np.uint64)
+    least = np.lib.stride_tricks.sliding_window_view(codes, 31).min(1)
+    for made, want in ((lambda: textkit.window_codes(codes, 20), None), (lambda: anchors.smallest_in_windows(codes, 31), least), (lambda: textkit.mix(codes), None)):
+        made()  # tables that are kept
+        tracemalloc.start()
+        got = made()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert want is None or (got == want).all()
+        assert peak < got.nbytes + 6 * 8 * (textkit.BLOCK + 100)  # the result, and a few blocks
+    assert (textkit.window_codes(codes, 20)[::997] == textkit.mix(whole)).all()
+    assert len(textkit.window_codes(codes[:19], 20)) == 0 == len(anchors.smallest_in_windows(codes[:30], 31))
+
+
+def test_only_tied_suffixes_are_read_on(monkeypatch):
+    data = np.random.default_rng(6).integers(97, 123, 20_000).astype(np.uint8)
+    data[5_000:5_060] = data[9_000:9_060] = data[100:160]
+    text = np.concatenate([data, np.zeros(200, np.uint8)])
+    read, word = [], suffixdedup._word
+    monkeypatch.setattr(suffixdedup, "_word", lambda text, at: read.append(len(at)) or word(text, at))
+    order, new = suffixdedup.by_leading_bytes(text, np.arange(19_000), 50)
+    keys = [text[i : i + 50].tobytes() for i in order]
+    assert keys == sorted(keys) and new.tolist() == [True, *(a != b for a, b in zip(keys, keys[1:]))]
+    assert (~new).sum() == 22 and sum(read) < 19_000 + 6 * 200
+
+
+def test_segments_end_with_their_documents():
+    texts = pa.array(["", "a" * 49, "b" * 50, "", "c" * 130 + "d" * 3, "e", "abc" * 40, "f" * 49, ""])
+    units = anchors.byte_units(np.arange(len(texts)), texts)
+    seg = anchors.segments_of(units, 50, 20)
+    windows = [[] for _ in texts]
+    for first, n, row in zip(seg.first.tolist(), seg.windows.tolist(), seg.row.tolist()):
+        windows[row] += range(first - int(units.at[row]), first - int(units.at[row]) + n)
+    assert windows == [list(range(max(0, len(t.as_py()) - 49))) for t in texts]
+    assert len(anchors.segments_of(anchors.byte_units(np.arange(3), pa.array(["x" * 49, "", "y" * 30])), 50, 20).first) == 0
