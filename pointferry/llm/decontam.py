@@ -111,12 +111,26 @@ class Index:
             phrase, start = phrase[keep], start[keep]
         return phrase, start
 
+    def sketch(self, before: int, after: int) -> np.ndarray:
+        """For every place the bits of the terms in use that stand from ``before`` words before it to ``after`` behind it."""
+        width = before + after + 1
+        bits = np.zeros(len(self.term_at) + width - 1, np.uint64)
+        used = self.positions
+        bits[used + before] = _bits(self.term_at[used])
+        done = 1
+        while done < width:
+            step = min(done, width - done)
+            bits = bits[:-step] | bits[step:]
+            done += step
+        return bits
+
     def near(self, phrases: Phrases, slack: int, share: float) -> tuple[np.ndarray, np.ndarray]:
         """(phrase, start) where enough terms stand within ``slack`` of their places, at least one of them in its place.
 
         A match lacks at most ``n - needed`` terms, so it holds one of any ``n - needed + 1``: the
         places it is looked for are those of that many of the phrase's rarest terms, each within
-        ``slack``. What else the slice holds changes the work only.
+        ``slack``. What else the slice holds changes the work only. A term has one of 64 bits; places
+        around which more than ``n - needed`` bits of the phrase are missing can't be matches and are left out first.
         """
         n = phrases.length
         needed = int(np.ceil(share * n - 1e-9))
@@ -125,20 +139,31 @@ class Index:
         able = np.flatnonzero((counts > 0).sum(axis=1) >= needed)
         anchors = n - needed + 1
         work = np.cumsum(np.take_along_axis(counts, order, axis=1)[able, :anchors].sum(axis=1) * (2 * slack + 1)) // NEAR_BLOCK
-        found = [self._near(phrases, block, order, anchors, slack) for block in np.split(able, np.flatnonzero(np.diff(work)) + 1)]
+        bits = np.bitwise_or.reduce(_bits(phrases.terms), axis=1)
+        around = [self.sketch(reach, n - 1 + reach) for reach in (2 * slack, slack)]
+        found = [self._near(phrases, block, order, anchors, slack, bits, around) for block in np.split(able, np.flatnonzero(np.diff(work)) + 1)]
         return np.concatenate([p for p, _ in found]), np.concatenate([s for _, s in found])
 
-    def _near(self, phrases: Phrases, able: np.ndarray, order: np.ndarray, anchors: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
-        """The matches of some phrases from their first ``anchors`` terms in the given order."""
+    def _near(
+        self, phrases: Phrases, able: np.ndarray, order: np.ndarray, anchors: int, slack: int, bits: np.ndarray, around: list[np.ndarray],
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The matches of some phrases from their first ``anchors`` terms in the given order.
+
+        ``bits`` are those of each phrase, ``around`` those that stand within twice ``slack`` and within ``slack`` of a phrase's places.
+        """
         n, total = phrases.length, len(self.row_of)
         keys = [np.empty(0, np.int64)]
         for k in range(anchors):
             phrase, start = self.shifted(phrases, able, order[able, k])
+            keep = np.bitwise_count(bits[phrase] & ~around[0][np.clip(start, 0, total - 1)]) < anchors
+            phrase, start = phrase[keep], start[keep]
             for s in range(-slack, slack + 1):
                 moved = start - s
-                keep = self._inside(moved, n)
+                keep = np.flatnonzero(self._inside(moved, n))
+                keep = keep[np.bitwise_count(bits[phrase[keep]] & ~around[1][moved[keep]]) < anchors]
                 keys.append(phrase[keep] * total + moved[keep])
-        phrase, start = np.divmod(np.unique(np.concatenate(keys)), max(total, 1))
+        key = np.sort(np.concatenate(keys))
+        phrase, start = np.divmod(key[np.diff(key, prepend=-1) != 0], max(total, 1))
         row = self.row_of[start]
         missed, exact = np.zeros(len(phrase), np.int64), np.zeros(len(phrase), bool)
         for k in range(n):
@@ -156,6 +181,11 @@ class Index:
         return phrase[exact], start[exact]
 
 
+def _bits(terms: np.ndarray) -> np.ndarray:
+    """One of 64 bits for each term number."""
+    return np.uint64(1) << (terms % 64).astype(np.uint64)
+
+
 def _runs(flags: np.ndarray) -> list[dict]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
     return [{"first": int(a), "n": int(b - a)} for a, b in zip(edges[::2], edges[1::2])]

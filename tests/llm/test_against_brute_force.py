@@ -1,7 +1,10 @@
 """Operators on hard texts and on the smallest tables, against plain versions of their contracts."""
 
+import random
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +158,44 @@ def test_proximity_matches_do_not_depend_on_neighbours(spark, part_bytes):
     assert rows[0]["n_near"] > 0
 
 
+def test_proximity_search_tests_few_places(monkeypatch):
+    """Most places of a phrase's rarest terms are left out before their starts are tried; no match is."""
+    r, share, slack = random.Random(5), decontam.NEAR_SHARE, decontam.NEAR_SLACK
+    vocabulary = [f"w{i}" for i in range(100)]
+    items = [[r.choice(vocabulary) for _ in range(n)] for n in (40, 40, 13, 10, 4, 1)]
+    texts = [[r.choice(vocabulary) for _ in range(300)] for _ in range(20)]
+    for k, text in enumerate(texts):
+        source = list(items[k % 4])
+        source[r.randrange(len(source))] = "other"
+        if k % 3:
+            source.insert(r.randrange(len(source)), "more")
+        texts[k] = text[: 40 * (k % 8)] + source + text[40 * (k % 8) :]
+    made = decontam.phrases_of(list(range(len(items))), [" ".join(x) for x in items])
+    codes, words_at = decontam._words(*decontam.text_bytes(pa.array([" ".join(x) for x in texts])))
+    index = decontam.Index(codes, words_at, made.vocabulary)
+    tried = []
+    inside = decontam.Index._inside
+    monkeypatch.setattr(decontam.Index, "_inside", lambda self, start, length: (tried.append(len(start)), inside(self, start, length))[1])
+    got, listed = set(), 0
+    for phrases in made.phrases:
+        phrase, start = index.near(phrases, slack, share)
+        row = index.row_of[start]
+        got |= set(zip(phrases.items[phrase].tolist(), row.tolist(), (start - words_at[row]).tolist()))
+        counts = np.sort(index.counts[phrases.terms], axis=1)
+        listed += counts[:, : phrases.length - int(np.ceil(share * phrases.length - 1e-9)) + 1].sum()
+    want = set()
+    for i, item in enumerate(items):
+        n = min(len(item), decontam.WINDOW)
+        for phrase in (item[k : k + n] for k in range(len(item) - n + 1)):
+            for d, words in enumerate(texts):
+                for at in range(len(words) - n + 1):
+                    near = [w in words[max(0, at + p - slack) : at + p + slack + 1] for p, w in enumerate(phrase)]
+                    if 10 * sum(near) >= 8 * n and any(words[at + p] == w for p, w in enumerate(phrase)):
+                        want.add((i, d, at))
+    assert got == want and len(want) > 50
+    assert sum(tried) < listed, (sum(tried), listed)
+
+
 def test_contamination_query(spark):
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     got = by_id(ENTRIES["op7_benchmark_decontamination"][0](spark, SF_DIR), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
